@@ -27,6 +27,9 @@ TTL_SECONDS = 6 * 3600
 TTL_CLOCK = "2024-01-31 00:00:00"
 SAMPLE = 25
 POINT_KEY = "fs:events:7"
+GEN_SALT = "42"
+GEN_TOMBSTONE_SHARE = 0.03
+STREAM_FILES = 5
 
 
 # ----------------------------------------------------------------- snapshots
@@ -249,6 +252,28 @@ def history_merge_schema(spark, sf):
     return S.latest(hist, R.EVENTS).select(*R.EVENT_COLUMNS)
 
 
+def generated_history_invariants(spark, sf):
+    from ..operators import datagen as G
+    path = scratch_path(spark, "generated-history")
+    hist = G.generate_history(R.table(spark, sf, "customer"), "c_custkey", tombstone_share=GEN_TOMBSTONE_SHARE,
+                              salt=GEN_SALT)
+    EX.append_history(hist, path, "event_time", files_per_hour=2)
+    back = R.read_history(spark, path)
+    return S.snapshot_counts(back, G.GENERATED_CONTRACT)
+
+
+def incremental_latest(spark, sf):
+    from ..streaming import refresh as RF
+    src = scratch_path(spark, "stream-src")
+    ev = R.table(spark, sf, "events")
+    ev.repartitionByRange(STREAM_FILES, "ts").write.parquet(src)
+    root, ck = scratch_path(spark, "online"), scratch_path(spark, "stream-ckpt")
+    q = RF.refresh(spark, src, ev.schema, R.EVENTS, root, ck, max_files_per_trigger=1,
+                   adapter=lambda d: R.flag_column(d, "is_deleted", "event_type = 'error'"))
+    q.awaitTermination()
+    return ON.typed_view(OT.read_online(spark, root, "events"), R.EVENTS)
+
+
 QUERIES = {
     "latest_events": latest_events,
     "latest_orders_tiebreak": latest_orders_tiebreak,
@@ -283,6 +308,8 @@ QUERIES = {
     "history_partition_scan": history_partition_scan,
     "hourly_arrivals": hourly_arrivals,
     "history_merge_schema": history_merge_schema,
+    "generated_history_invariants": generated_history_invariants,
+    "incremental_latest": incremental_latest,
 }
 
 
@@ -355,6 +382,20 @@ d AS (SELECT ks.key,
       FROM ks LEFT JOIN mm ON ks.key = mm.key)
 """
 
+ORACLE_TYPED_VIEW = f"""SELECT 'fs:events:' || CAST(user_id AS VARCHAR) AS key, CAST(user_id AS VARCHAR) AS user_id,
+                       value, event_type FROM ({EV_LATEST}) AS s"""
+
+_GEN_SQL = f"""
+WITH e AS (SELECT format('C{{:06d}}', c_custkey) AS cid FROM customer),
+f AS (SELECT cid,
+             CAST('0x' || substr(md5('{GEN_SALT}' || 'v' || cid), 1, 8) AS BIGINT) % 3 + 1 AS n,
+             CAST('0x' || substr(md5('{GEN_SALT}' || 'd' || cid), 1, 8) AS BIGINT) / 4294967296.0
+                 < {GEN_TOMBSTONE_SHARE} AS tomb
+      FROM e)
+SELECT sum(n) + count(*) FILTER (WHERE tomb) AS raw_records, count(*) AS entities,
+       count(*) FILTER (WHERE tomb) AS tombstoned, count(*) FILTER (WHERE NOT tomb) AS live
+FROM f"""
+
 ORACLE = {
     "latest_events": EV_LATEST,
     "latest_orders_tiebreak": OR_LATEST,
@@ -384,8 +425,7 @@ ORACLE = {
                                    value := value, props := props)) AS doc
         FROM ({EV_LATEST}) AS s""",
     "event_time_iso": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS event_time FROM events",
-    "typed_view": f"""SELECT 'fs:events:' || CAST(user_id AS VARCHAR) AS key, CAST(user_id AS VARCHAR) AS user_id,
-                             value, event_type FROM ({EV_LATEST}) AS s""",
+    "typed_view": ORACLE_TYPED_VIEW,
     "tag_aggregate": f"""SELECT event_type, round(avg(value), 4) AS avg_value, count(*) AS n
                          FROM ({EV_LATEST}) AS s GROUP BY event_type ORDER BY avg_value DESC""",
     "derived_aggregate": f"""SELECT CAST(floor(value / 100) AS BIGINT) AS value_band,
@@ -419,4 +459,6 @@ ORACLE = {
         "(SELECT event_id, ts, user_id, event_type, value, "
         "CASE WHEN event_type IN ('click', 'view') THEN props END AS props FROM events)",
         "user_id", EV_ORDER, EV_COLS, EV_LIVE),
+    "generated_history_invariants": _GEN_SQL,
+    "incremental_latest": ORACLE_TYPED_VIEW,
 }

@@ -27,8 +27,9 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def hour_columns(ts_column: str) -> list:
-    """Zero-padded year/month/day/hour partition values of an event time."""
-    ts = F.col(ts_column)
+    """Zero-padded year/month/day/hour partition values of an event time
+    (timestamp, zone-less timestamp or ISO text with ``Z``), in session time."""
+    ts = F.col(ts_column).cast("timestamp")
     return [F.date_format(ts, "yyyy").alias("year"), F.date_format(ts, "MM").alias("month"),
             F.date_format(ts, "dd").alias("day"), F.date_format(ts, "HH").alias("hour")]
 

@@ -74,6 +74,37 @@ def merge_records(old: DataFrame, new: DataFrame) -> DataFrame:
     return j.select(*[pick[x].alias(x) for x in ONLINE_COLUMNS])
 
 
+def upsert_records(old: DataFrame, live: DataFrame, deleted_keys: DataFrame) -> DataFrame:
+    """Key-wise upsert: records of ``live`` replace whole stored records, keys in
+    ``deleted_keys`` are removed, every other stored key stays as it is."""
+    touched = live.select(KEY).unionByName(deleted_keys.select(KEY))
+    kept = old.select(*ONLINE_COLUMNS).join(touched, KEY, "left_anti")
+    return kept.unionByName(live.select(*ONLINE_COLUMNS))
+
+
+def apply_changes(spark: SparkSession, root: str, c: Contract, live: DataFrame, deleted_keys: DataFrame) -> str:
+    """Upsert live records and delete tombstoned keys in one feature group.
+
+    The new group content is checkpointed (shared folder) before the group's
+    partition is swapped, so the job never overwrites what it is reading and
+    a re-run of the same change set gives the same table (idempotent).
+    """
+    old = read_online(spark, root, c.feature_group, check_ttl=False, missing_ok=True)
+    out = live.select(*ONLINE_COLUMNS) if old is None else \
+        upsert_records(old, live, deleted_keys).checkpoint(eager=True)
+    _overwrite_group(out, root, c)
+    return root
+
+
+def _overwrite_group(out: DataFrame, root: str, c: Contract) -> None:
+    (out.sortWithinPartitions(KEY)
+        .withColumn(GROUP, F.lit(c.feature_group))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(GROUP)
+        .parquet(root))
+
+
 def write_online(spark: SparkSession, recs: DataFrame, root: str, c: Contract, *, mode: str = "replace",
                  partitions: int | None = None) -> str:
     """Write encoded records of one feature group into the online table.
@@ -92,12 +123,7 @@ def write_online(spark: SparkSession, recs: DataFrame, root: str, c: Contract, *
             out = merge_records(old.select(*ONLINE_COLUMNS), recs).checkpoint(eager=True)
     if partitions:
         out = out.repartition(partitions, KEY)
-    (out.sortWithinPartitions(KEY)
-        .withColumn(GROUP, F.lit(c.feature_group))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(GROUP)
-        .parquet(root))
+    _overwrite_group(out, root, c)
     return root
 
 
