@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,14 +136,12 @@ def read_online(spark: SparkSession, root: str, group: str | None = None, *, clo
     """
     try:
         df = spark.read.parquet(root)
-    except Exception:
+    except AnalysisException:
         if missing_ok:
             return None
         raise
     if group is not None:
         df = df.filter(F.col(GROUP) == group)
-        if missing_ok and df.isEmpty():
-            return None
     if check_ttl:
         now = F.current_timestamp() if clock is None else F.to_timestamp(F.lit(clock)) \
             if isinstance(clock, str) else F.lit(clock)

@@ -52,12 +52,17 @@ def changes_to_online(spark: SparkSession, root: str, c: Contract, *, ttl_anchor
                       mode: str = "contract") -> Callable[[DataFrame, int], None]:
     """foreachBatch function: upsert live entities, delete tombstoned ones."""
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        live_pred = S.not_deleted(c, batch)
-        live = batch if live_pred is None else batch.filter(live_pred)
-        gone = batch.limit(0) if live_pred is None else batch.filter(~live_pred)
-        recs = OT.records(live, c, mode=mode, ttl_anchor=ttl_anchor)
-        deleted = gone.select(online_key(c).alias(KEY))
-        OT.apply_changes(batch.sparkSession, root, c, recs, deleted)
+        # the micro-batch is read twice (live + deleted): keep it instead of recomputing
+        batch = batch.persist()
+        try:
+            live_pred = S.not_deleted(c, batch)
+            live = batch if live_pred is None else batch.filter(live_pred)
+            gone = batch.limit(0) if live_pred is None else batch.filter(~live_pred)
+            recs = OT.records(live, c, mode=mode, ttl_anchor=ttl_anchor)
+            deleted = gone.select(online_key(c).alias(KEY))
+            OT.apply_changes(batch.sparkSession, root, c, recs, deleted)
+        finally:
+            batch.unpersist()
     return apply
 
 
