@@ -59,28 +59,29 @@ def select_fields(online: DataFrame, names: Sequence[str]) -> DataFrame:
     return online.select(F.col(KEY), *[field_value(n).alias(n) for n in names])
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
-
-    The check is a limited count (stops after max_rows+1 rows). Beyond the
-    bound the frame is returned as is and the join shuffles (AQE may still
-    switch strategy from runtime sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True if ``df`` provably has at most ``max_rows`` rows (a limited count:
+    it stops after max_rows+1 rows)."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def batch_get(online: DataFrame, wanted: DataFrame, c: Contract, entity_column: str | None = None,
               max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Stored record for each wanted entity (left join; missing ones get nulls).
 
-    ``wanted`` is a spine with an entity column. It is broadcast only if its
-    size is checked to be small; the online side is never broadcast.
+    Small spine (size checked): the spine is broadcast into an inner join that
+    streams the store once without shuffling it; the matches (at most one per
+    wanted key, so bounded by the spine) are then broadcast back onto the spine
+    to restore the rows without a match. Large spine: one shuffled left join.
+    The store is never the broadcast side.
     """
     ec = entity_column or c.entity_column
     spine = wanted.select(F.col(ec), F.concat(F.lit(c.key_prefix + ":"), F.col(ec).cast("string")).alias(KEY))
-    spine = bounded_broadcast(spine, max_broadcast_rows) if max_broadcast_rows else spine
-    store = in_group(online, c).select(KEY, FIELDS)
+    store = in_group(online, c).select(KEY, FIELDS).hint("no_broadcast_hash")
+    if max_broadcast_rows and fits(spine, max_broadcast_rows):
+        keys = spine.select(KEY).distinct()
+        found = store.join(F.broadcast(keys), KEY, "inner")
+        return spine.join(F.broadcast(found), KEY, "left")
     return spine.join(store, KEY, "left")
 
 

@@ -170,6 +170,40 @@ def snapshot_changes(old: DataFrame, new: DataFrame, c: Contract,
     return j.select(F.col(e), status.alias("change"))
 
 
+def changes_since(df: DataFrame, c: Contract, upper: datetime | str,
+                  columns: list[str] | None = None) -> DataFrame:
+    """Same classification as :func:`snapshot_changes` for the common case
+    "snapshot as of ``upper`` vs snapshot now" of one history, in one pass.
+
+    One aggregate per entity keeps two winners: the newest version overall and
+    the newest version with event time before ``upper`` (rows outside the
+    as-of range get a null ordering, which ``max_by`` ignores). Map-side
+    partial aggregation keeps one candidate pair per entity per task, so this
+    needs one shuffle and no join.
+    """
+    cols = columns or payload_columns(c, df)
+    ts = F.to_timestamp(F.lit(upper)) if isinstance(upper, str) else F.lit(upper)
+    if isinstance(df.schema[c.event_time_column].dataType, T.TimestampNTZType):
+        ts = ts.cast("timestamp_ntz")
+    deleted = F.coalesce(F.col(c.deleted_column), F.lit(False)) \
+        if c.deleted_column and c.deleted_column in df.columns else F.lit(False)
+    payload = F.struct(*[F.col(x) for x in cols], deleted.alias("__d"))
+    order = ordering_struct(df, c)
+    e = c.entity_column
+    agg = (df.filter(F.col(e).isNotNull())
+             .groupBy(e)
+             .agg(F.max_by(payload, order).alias("n"),
+                  F.max_by(payload, F.when(F.col(c.event_time_column) < ts, order)).alias("o")))
+    o_live = F.col("o").isNotNull() & ~F.col("o.__d")
+    n_live = ~F.col("n.__d")
+    same = F.struct(*[F.col(f"o.{x}") for x in cols]).eqNullSafe(F.struct(*[F.col(f"n.{x}") for x in cols]))
+    status = (F.when(~o_live & n_live, "added")
+               .when(o_live & ~n_live, "removed")
+               .when(o_live & n_live & same, "same")
+               .when(o_live & n_live, "changed"))
+    return agg.select(F.col(e), status.alias("change")).filter(F.col("change").isNotNull())
+
+
 def drop_partition_columns(df: DataFrame, c: Contract) -> DataFrame:
     """Discovered year/month/day/hour must not leak into the payload."""
     keep = set(c.contract_columns())

@@ -99,6 +99,10 @@ def snapshot_changes(spark, sf):
     return S.snapshot_changes(old, new, R.EVENTS)
 
 
+def changes_since(spark, sf):
+    return S.changes_since(R.events(spark, sf), R.EVENTS, CHANGES_AS_OF)
+
+
 # ------------------------------------------------------------------ encoding
 def hash_fields(spark, sf):
     return ENC.long_fields(S.latest(R.events(spark, sf), R.EVENTS), R.EVENTS)
@@ -287,6 +291,7 @@ QUERIES = {
     "snapshot_sql": snapshot_sql,
     "snapshot_as_of": snapshot_as_of,
     "snapshot_changes": snapshot_changes,
+    "changes_since": changes_since,
     "hash_fields": hash_fields,
     "orders_hash_fields": orders_hash_fields,
     "json_docs": json_docs,
@@ -462,3 +467,4 @@ ORACLE = {
     "generated_history_invariants": _GEN_SQL,
     "incremental_latest": ORACLE_TYPED_VIEW,
 }
+ORACLE["changes_since"] = ORACLE["snapshot_changes"]

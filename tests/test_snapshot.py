@@ -151,3 +151,27 @@ def test_empty_source_is_an_error(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     with pytest.raises(EmptySource):
         read_history(spark, str(tmp_path / "empty"))
+
+
+def test_changes_since_equals_two_snapshot_join(spark):
+    ev = read_history(spark, "/root/testdata/sf0.01/events.parquet").withColumn(
+        "is_deleted", F.col("event_type") == "error")
+    from onlineview.plans.roles import EVENTS
+    for cut in ["2024-01-10 00:00:00", "2024-01-30 00:00:00"]:
+        a = sorted(tuple(r) for r in S.changes_since(ev, EVENTS, cut).collect())
+        b = sorted(tuple(r) for r in S.snapshot_changes(S.snapshot_as_of(ev, EVENTS, cut),
+                                                        S.latest(ev, EVENTS), EVENTS).collect())
+        assert a == b
+
+
+def test_changes_since_edge_rows(spark):
+    rows = [("a", T1, W1, False, 1), ("a", T2, W2, True, 2),      # removed (tombstoned after cut)
+            ("b", T2, W2, False, 3),                               # added
+            ("c", T1, W1, True, 4), ("c", T2, W2, False, 5),       # deleted before, re-created: added
+            ("d", T1, W1, False, 6), ("d", T2, W2, False, 6),      # same payload, newer time: changed (time)
+            ("e", T1, W1, False, 7)]                               # same
+    df = spark.createDataFrame(rows, SCHEMA)
+    cut = datetime(2026, 8, 19, 12, 30)
+    got = dict((r[0], r[1]) for r in S.changes_since(df, C, cut).collect())
+    want = dict((r[0], r[1]) for r in S.snapshot_changes(S.snapshot_as_of(df, C, cut), S.latest(df, C), C).collect())
+    assert got == want == {"a": "removed", "b": "added", "c": "added", "d": "changed", "e": "same"}
