@@ -46,7 +46,7 @@ def diff(expected: DataFrame, stored: DataFrame, strict: bool = True) -> DataFra
     fields = F.when(F.col("e").isNotNull() & F.col("s").isNotNull(), bad) \
         .otherwise(F.array().cast("array<string>"))
     return j.select(F.col(KEY), status.alias("status"), fields.alias("mismatched_fields"),
-                    F.size(fields).alias("n_mismatched"))
+                    F.size(fields).cast("long").alias("n_mismatched"))
 
 
 def summary(d: DataFrame) -> DataFrame:

@@ -397,7 +397,7 @@ f AS (SELECT cid,
              CAST('0x' || substr(md5('{GEN_SALT}' || 'd' || cid), 1, 8) AS BIGINT) / 4294967296.0
                  < {GEN_TOMBSTONE_SHARE} AS tomb
       FROM e)
-SELECT sum(n) + count(*) FILTER (WHERE tomb) AS raw_records, count(*) AS entities,
+SELECT CAST(sum(n) + count(*) FILTER (WHERE tomb) AS BIGINT) AS raw_records, count(*) AS entities,
        count(*) FILTER (WHERE tomb) AS tombstoned, count(*) FILTER (WHERE NOT tomb) AS live
 FROM f"""
 
@@ -426,8 +426,8 @@ ORACLE = {
     "orders_hash_fields": OR_LONG,
     "json_docs": f"""
         SELECT 'fs:events:' || CAST(user_id AS VARCHAR) AS key,
-               to_json(struct_pack(ts := {_iso('ts')}, user_id := user_id, event_type := event_type,
-                                   value := value, props := props)) AS doc
+               CAST(to_json(struct_pack(ts := {_iso('ts')}, user_id := user_id, event_type := event_type,
+                                        value := value, props := props)) AS VARCHAR) AS doc
         FROM ({EV_LATEST}) AS s""",
     "event_time_iso": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS event_time FROM events",
     "typed_view": ORACLE_TYPED_VIEW,
@@ -450,14 +450,15 @@ ORACLE = {
     "readback_sample": f"""SELECT key FROM (SELECT 'fs:events:' || CAST(user_id AS VARCHAR) AS key
                            FROM ({EV_LATEST}) AS s) AS k ORDER BY md5(key), key LIMIT {SAMPLE}""",
     "reconcile_report": _DIFF_SQL + "SELECT key, status, n_mismatched, mismatched FROM d",
-    "reconcile_summary": _DIFF_SQL + "SELECT status, count(*) AS keys, sum(n_mismatched) AS fields "
+    "reconcile_summary": _DIFF_SQL + "SELECT status, count(*) AS keys, CAST(sum(n_mismatched) AS BIGINT) AS fields "
                                      "FROM d GROUP BY status",
     "stale_keys": _DIFF_SQL + "SELECT key FROM d WHERE status = 'extra'",
     "count_check": f"""SELECT e.n AS expected, s.n AS stored, e.n = s.n AS ok
                        FROM (SELECT count(*) AS n FROM ({EV_LATEST}) AS a) AS e,
                             (SELECT count(*) AS n FROM ({EV_CHANGES_OLD}) AS b) AS s""",
     "snapshot_roundtrip": EV_LATEST,
-    "history_partition_scan": """SELECT year(ts) AS year, month(ts) AS month, day(ts) AS day, hour(ts) AS hour,
+    "history_partition_scan": """SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+                                        CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour,
                                         count(*) AS records FROM events GROUP BY 1, 2, 3, 4""",
     "hourly_arrivals": "SELECT date_trunc('hour', ts) AS window_start, count(*) AS arrivals FROM events GROUP BY 1",
     "history_merge_schema": _latest_sql(
