@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import Contract
+from ..session import scratch_path
 from ..operators.encode import DOC, FIELDS, KEY, doc_column, fields_column, online_key
 
 GROUP = "feature_group"
@@ -83,16 +84,28 @@ def upsert_records(old: DataFrame, live: DataFrame, deleted_keys: DataFrame) ->
     return kept.unionByName(live.select(*ONLINE_COLUMNS))
 
 
+def _staged(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Cut lineage through a written table in the shared checkpoint folder.
+
+    Computes ``df`` once (a reliable checkpoint would compute it twice: once to
+    count, once to save) and returns a DataFrame over the written files, so
+    the caller can overwrite the partition ``df`` was read from.
+    """
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def apply_changes(spark: SparkSession, root: str, c: Contract, live: DataFrame, deleted_keys: DataFrame) -> str:
     """Upsert live records and delete tombstoned keys in one feature group.
 
-    The new group content is checkpointed (shared folder) before the group's
+    The new group content is staged (shared folder) before the group's
     partition is swapped, so the job never overwrites what it is reading and
     a re-run of the same change set gives the same table (idempotent).
     """
     old = read_online(spark, root, c.feature_group, check_ttl=False, missing_ok=True)
     out = live.select(*ONLINE_COLUMNS) if old is None else \
-        upsert_records(old, live, deleted_keys).checkpoint(eager=True)
+        _staged(spark, upsert_records(old, live, deleted_keys))
     _overwrite_group(out, root, c)
     return root
 
@@ -111,9 +124,9 @@ def write_online(spark: SparkSession, recs: DataFrame, root: str, c: Contract, *
     """Write encoded records of one feature group into the online table.
 
     ``partitions`` caps the number of files/writer tasks (else the snapshot's
-    partitioning is reused). Merge mode first checkpoints the merged result
-    (reliable checkpoint in the shared folder) so the group's partition is
-    never read and overwritten by the same job.
+    partitioning is reused). Merge mode first stages the merged result in the
+    shared checkpoint folder, so the group's partition is never read and
+    overwritten by the same job.
     """
     if mode not in ("replace", "merge"):
         raise ValueError("mode must be 'replace' or 'merge'")
@@ -121,7 +134,7 @@ def write_online(spark: SparkSession, recs: DataFrame, root: str, c: Contract, *
     if mode == "merge":
         old = read_online(spark, root, c.feature_group, check_ttl=False, missing_ok=True)
         if old is not None:
-            out = merge_records(old.select(*ONLINE_COLUMNS), recs).checkpoint(eager=True)
+            out = _staged(spark, merge_records(old.select(*ONLINE_COLUMNS), recs))
     if partitions:
         out = out.repartition(partitions, KEY)
     _overwrite_group(out, root, c)
