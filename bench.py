@@ -21,6 +21,7 @@ HEADLINE = [
     "latest_by_max_by",
     "snapshot_counts",
     "snapshot_changes",
+    "changes_since",
     "hash_fields",
     "json_docs",
     "tag_aggregate",
