@@ -23,6 +23,30 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, *, executors_cores: int, target_partition_bytes: int = 256 << 20,
+               streaming_state: bool = False) -> dict[str, str]:
+    """Settings sized from the input, for large clusters (pass to the builder).
+
+    Scan splits of ``target_partition_bytes``; an initial shuffle width that
+    keeps each reducer's share near that size even before AQE coalesces
+    (at least 2 tasks per core); AQE skew splitting for joins and rebalances;
+    RocksDB state for streaming groups with many entities.
+    """
+    width = max(2 * executors_cores, input_bytes // target_partition_bytes)
+    conf = {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+    if streaming_state:
+        conf["spark.sql.streaming.stateStore.providerClass"] = \
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    return conf
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "onlineview",
                   extra: dict | None = None) -> SparkSession:
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)

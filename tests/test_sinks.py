@@ -154,3 +154,23 @@ def test_job_end_to_end_kv_and_contract_file(spark, tmp_path):
     c = load_contract(spark, str(cpath))
     res = J.materialize(spark, src, c, kv_url=str(tmp_path / "kv"), partitions=3, batch_size=50)
     assert res.ok and res.live == 120
+
+
+def test_job_json_target_and_export(spark, tmp_path):
+    src = str(tmp_path / "hist")
+    R.orders(spark, SF).write.parquet(src)
+    root = str(tmp_path / "online")
+    exp = str(tmp_path / "export")
+    res = J.materialize(spark, src, R.ORDERS, online_root=root, target="json", export_path=exp)
+    assert res.ok and res.live == 1000
+    docs = OT.read_online(spark, root, "orders").select("doc").limit(5).collect()
+    assert all(json.loads(r["doc"])["o_custkey"] is not None for r in docs)
+    back = EX.read_snapshot(spark, exp)
+    assert back.count() == 1000 and "is_deleted" not in back.columns
+
+
+def test_scale_conf_sizes_from_input():
+    from onlineview.session import scale_conf
+    conf = scale_conf(100 << 40, executors_cores=8000, streaming_state=True)
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert "RocksDB" in conf["spark.sql.streaming.stateStore.providerClass"]
