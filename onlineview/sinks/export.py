@@ -8,16 +8,15 @@ from pyspark.sql import functions as F
 from ..sources.history import read_history
 
 
-def export_snapshot(snapshot: DataFrame, path: str, *, single_file: bool = False) -> str:
+def export_snapshot(snapshot: DataFrame, path: str) -> str:
     """Write the deduped snapshot as Parquet into a path that must not exist yet.
 
     ``errorifexists`` mirrors the "target prefix must be empty" rule of an
-    UNLOAD: a re-run never mixes two snapshots. ``single_file`` funnels the
-    output through one task -- only for small snapshots that a downstream
-    single-file importer needs; the default keeps one file per partition.
+    UNLOAD: a re-run never mixes two snapshots. One file per partition (the
+    snapshot is never funnelled through a single task); importers read the
+    whole folder.
     """
-    out = snapshot.coalesce(1) if single_file else snapshot
-    out.write.mode("errorifexists").parquet(path)
+    snapshot.write.mode("errorifexists").parquet(path)
     return path
 
 
