@@ -148,6 +148,14 @@ def snapshot_counts(df: DataFrame, c: Contract) -> DataFrame:
                .withColumn("live", F.col("entities") - F.col("tombstoned")))
 
 
+def winner_counts(winners: DataFrame, c: Contract) -> DataFrame:
+    """entities / tombstoned / live from already-ranked winners (one row per entity)."""
+    deleted = F.coalesce(F.col(c.deleted_column), F.lit(False)) \
+        if c.deleted_column and c.deleted_column in winners.columns else F.lit(False)
+    return (winners.agg(F.count("*").alias("entities"), F.count_if(deleted).alias("tombstoned"))
+                   .withColumn("live", F.col("entities") - F.col("tombstoned")))
+
+
 def payload_columns(c: Contract, df: DataFrame) -> list[str]:
     return [x for x in c.contract_columns() if x in df.columns and x != c.entity_column]
 

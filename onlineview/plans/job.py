@@ -3,8 +3,9 @@
 Stages (one Spark application):
   1. read the contract and the history (partition discovery, empty = error)
   2. validate the contract against the schema (strict by default)
-  3. counts (raw / entities / tombstoned / live) in one aggregate
-  4. snapshot, persisted once (recomputed from lineage if an executor is lost)
+  3. rank the history once; persist the winners (recomputed from lineage if an
+     executor is lost); counts (raw / entities / tombstoned / live) from them
+  4. live snapshot = winners without tombstones
   5. encode + write (online Parquet table or key-value sink)
   6. register the typed view (the index)
   7. reconcile: count check, sampled read-back, full diff; raise on mismatch
@@ -64,14 +65,22 @@ def materialize(spark: SparkSession, source: str, contract: Contract, *, online_
     hist = read_history(spark, source, recursive=recursive, check_empty=True)
     c = contract.validate(hist.schema, strict=strict)
     hist = S.drop_partition_columns(hist, c)
-    counts = S.snapshot_counts(hist, c).first()
-    keys_unique = c.dedupe_enabled
-    snap = S.latest(hist, c)
-    if not keys_unique:
-        dup = snap.groupBy(c.entity_column).count().filter("count > 1").limit(1).count()
+    raw = hist.count()  # scan-only: row counts from file metadata
+    if c.dedupe_enabled:
+        # rank the history ONCE: winners (tombstones included) feed both the
+        # counts and the live snapshot; recomputed from lineage if lost
+        winners = S.latest(hist, c, drop_tombstones=False).persist(StorageLevel.MEMORY_AND_DISK)
+        wc = S.winner_counts(winners, c).first()
+        counts = {"raw_records": raw, "entities": wc["entities"], "tombstoned": wc["tombstoned"],
+                  "live": wc["live"]}
+        live = S.not_deleted(c, winners)
+        snap = winners if live is None else winners.filter(live)
+    else:
+        dup = hist.groupBy(c.entity_column).count().filter("count > 1").limit(1).count()
         if dup:
             raise ValueError("dedupe is disabled and entity keys are not unique; refusing to write")
-    snap = snap.persist(StorageLevel.MEMORY_AND_DISK)
+        winners = snap = hist.persist(StorageLevel.MEMORY_AND_DISK)
+        counts = {"raw_records": raw, "entities": raw, "tombstoned": 0, "live": raw}
     try:
         expected = ENC.hash_fields(snap, c, write_mode, keep_metadata)
         if online_root:
@@ -96,7 +105,7 @@ def materialize(spark: SparkSession, source: str, contract: Contract, *, online_
         exported = EX.export_snapshot(ENC.project(snap, c, "all", keep_metadata), export_path) \
             if export_path else None
     finally:
-        snap.unpersist()
+        winners.unpersist()
     res = JobResult(int(counts["raw_records"]), int(counts["entities"]), int(counts["tombstoned"]),
                     int(counts["live"]), rep, index, exported)
     for line in rep.lines():
