@@ -105,3 +105,17 @@ def test_metadata_projection_modes(spark):
     assert ENC.project(df, c, "all", keep_metadata=True).columns == ["id", "ts", "x", "flag", "s", "w", "d"]
     assert ENC.project(df, c, "contract").columns == ["id", "ts", "x", "flag", "s"]
     assert F is not None
+
+
+def test_float_date_decimal_text(spark):
+    from datetime import date
+    from decimal import Decimal
+
+    from onlineview.functions.text import field_text
+    schema = T.StructType([T.StructField("f", T.FloatType()), T.StructField("d", T.DateType()),
+                           T.StructField("m", T.DecimalType(10, 2)), T.StructField("i", T.LongType())])
+    df = spark.createDataFrame([(0.1, date(2024, 1, 2), Decimal("1.50"), 7)], schema)
+    row = df.select(*[field_text(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]).first()
+    f32 = df.first()["f"]  # the value as Python sees it after the float32 round trip
+    assert row["f"] == repr(float(f32))
+    assert (row["d"], row["m"], row["i"]) == (str(date(2024, 1, 2)), str(Decimal("1.50")), "7")
