@@ -58,7 +58,8 @@ def _keyboard() -> dict[str, set[str]]:
 
 _NEAR = _keyboard()
 _KEYS = len(_NEAR)
-_DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d")
+_DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d")
+_YEAR = re.compile(r"(?:19|20)\d\d")
 _STEP = math.log10(2)
 
 
@@ -71,45 +72,66 @@ def char_cost(text: str) -> float:
 def guess_cost(text: str, words: dict[str, int]) -> tuple[float, list[tuple[str, int, int]]]:
     """log10 guesses of the cheapest segmentation, and that segmentation as (kind, start, end).
 
-    ``words`` maps lower-case words to their rank from 1. Time is linear in the text but for
-    the longest word; repeats and walks are taken whole and in every shorter end.
+    ``words`` maps lower-case words to their rank from 1. Walks and brute force grow by a fixed cost a
+    character, so one state each carries their best start; a repeat's start is dropped once an earlier
+    one is cheaper, as it then is for every longer repeat. Time is about linear in the text.
     """
     n, low = len(text), text.lower()
-    longest = max(map(len, words), default=0)
-    per = char_cost(text)
-    spans: list[list[tuple[int, float, str]]] = [[] for _ in range(n + 1)]  # by end: start, cost, kind
-    for i in range(n):
-        for j in range(i + 3, min(n, i + longest) + 1):
-            if rank := words.get(low[i:j]):
-                spans[j].append((i, math.log10(rank + 1) + (_STEP if text[i:j] != low[i:j] else 0), "word"))
-        if m := _DATE.match(text, i):
-            spans[m.end()].append((i, math.log10(365 * 200) if m.end() - i > 4 else math.log10(200), "date"))
-    for size in (1, 2, 3, 4):  # runs of one block
-        run = 0
-        for i in range(size, n):
-            run = run + 1 if low[i] == low[i - size] else 0
-            if run >= max(2, size):
-                start = i - size - run + 1
-                spans[i + 1].append((start, size * per + math.log10((i + 1 - start) / size), "repeat"))
-    run = 0
-    for i in range(1, n):
-        run = run + 1 if low[i] in _NEAR.get(low[i - 1], ()) else 0
-        if run >= 2:
-            spans[i + 1].append((i - run, math.log10(_KEYS) + run * _STEP, "walk"))
-    best, back = [0.0] + [math.inf] * n, [(0, "")] * (n + 1)
+    longest, per, inf = max(map(len, words), default=0), char_cost(text), math.inf
+    best, back = [0.0] + [inf] * n, [(0, "")] * (n + 1)
+    dates: dict[int, list[tuple[int, float]]] = {}
+    walk_cost, walk_start, walk_run = inf, 0, 0  # best segmentation that ends here in a walk of 3 or more
+    force_cost, force_start = inf, 0  # the same in brute force
+    runs, starts = [0] * 5, [[] for _ in range(5)]  # by block size: matches so far, starts of repeats worth keeping
+
     for j in range(1, n + 1):
-        for i, cost, kind in [(j - 1, per, "brute"), *spans[j]]:
-            joined = kind == "brute" and back[i][1] == "brute"
-            total = best[i] + cost + (_STEP if i and not joined else 0)
+        i = j - 1
+        for pattern, days in ((_DATE, 365 * 200), (_YEAR, 200)):
+            if m := pattern.match(text, i):
+                dates.setdefault(m.end(), []).append((i, math.log10(days)))
+        force_cost += per
+        if best[i] + (_STEP if i else 0) + per < force_cost:
+            force_cost, force_start = best[i] + (_STEP if i else 0) + per, i
+        found = [(force_start, per * (j - force_start), "brute")]
+        for size in range(1, min(longest, j) + 1):
+            if rank := words.get(low[j - size:j]):
+                found.append((j - size, math.log10(rank + 1) + (_STEP if text[j - size:j] != low[j - size:j] else 0), "word"))
+        found += [(a, cost, "date") for a, cost in dates.pop(j, ())]
+
+        walk_run = walk_run + 1 if i and low[i] in _NEAR.get(low[i - 1], ()) else 0
+        walk_cost = walk_cost + _STEP if walk_run >= 2 else inf
+        if walk_run >= 2:
+            a = j - 3
+            fresh = best[a] + (_STEP if a else 0) + math.log10(_KEYS) + 2 * _STEP
+            if fresh < walk_cost:
+                walk_cost, walk_start = fresh, a
+            found.append((walk_start, walk_cost - best[walk_start] - (_STEP if walk_start else 0), "walk"))
+
+        for size in range(1, 5):
+            runs[size] = runs[size] + 1 if i >= size and low[i] == low[i - size] else 0
+            need = max(2, size)
+            if runs[size] < need:
+                starts[size] = []
+                continue
+            kept, least = [], inf
+            for a in [*starts[size], j - size - need]:  # earlier starts first
+                cost = size * per + math.log10((j - a) / size)
+                total = best[a] + (_STEP if a else 0) + cost
+                if total < least:
+                    kept.append(a)
+                    least = total
+                    found.append((a, cost, "repeat"))
+            starts[size] = kept
+
+        for a, cost, kind in found:
+            total = best[a] + cost + (_STEP if a else 0)
             if total < best[j]:
-                best[j], back[j] = total, (i, kind)
+                best[j], back[j] = total, (a, kind)
+
     parts, j = [], n
     while j:
         i, kind = back[j]
-        if parts and kind == "brute" and parts[-1][0] == "brute":
-            parts[-1] = ("brute", i, parts[-1][2])
-        else:
-            parts.append((kind, i, j))
+        parts.append((kind, i, j))
         j = i
     return best[n], parts[::-1]
 
@@ -126,7 +148,7 @@ def guess_spans(text: bytes, base: list[tuple[int, int, int]], words: dict[str,
     """Credential values of high guess cost that touch no span of ``base``."""
     out = []
     for m in CONTEXT.finditer(text):
-        value = m[1].rstrip(b".!?:")
+        value = m[1].rstrip(b".:")
         st, en = m.start(1), m.start(1) + len(value)
         if len(value) < MIN_LENGTH or any(a < en and st < b for a, _, b in base):
             continue
