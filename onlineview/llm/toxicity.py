@@ -4,8 +4,8 @@ P(grade > k) = sigmoid(w . x - theta_k) for ordered thresholds theta_1 < ... < t
 share one weight vector; the expected severity is the sum of these probabilities.
 
 Features are folded words and their 4- and 5-byte beginnings, hashed; those whose
-document frequency differs between the two labels are kept, with log(1 + count) as
-value. Labels are 0/1, so the training grades of label-1 documents are the thirds of
+document frequency differs between the two labels are kept, each with two values:
+log(1 + count), and log(1 + count per hundred words). Labels are 0/1, so the training grades of label-1 documents are the thirds of
 their count of label-1 evidence (grades 1 to 3); label 0 is grade 0.
 
 Defined results: a null or empty text has no features and gets the base severity;
@@ -29,12 +29,13 @@ PER_CLASS = 3000
 BITS = 20
 GRADES = 3
 MAX_FEATURES = 4096
-MIN_Z = 4.0
+MIN_Z = 5.0
+PER_WORDS = 100
 _KINDS = (None, 4, 5)
 
 
-def _features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Document and feature of each occurrence in a run of documents."""
+def _features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document and feature of each occurrence in a run of documents, and the documents' words."""
     w = Words(FOLD[data], offs, PUNCTUATION)
     doc, out = [], []
     for k, size in enumerate(_KINDS):
@@ -45,7 +46,7 @@ def _features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
             h, d = w.hash_to(np.minimum(w.en, w.st + size))[at], w.doc[at]
         out.append(mix(h + U64(k + 1)) >> U64(64 - BITS))
         doc.append(d)
-    return np.concatenate(doc), np.concatenate(out).astype(np.int64)
+    return np.concatenate(doc), np.concatenate(out).astype(np.int64), w.count
 
 
 @dataclass
@@ -55,16 +56,18 @@ class Ordinal:
     theta: np.ndarray
 
     def rows(self, texts: pa.Array) -> learn.Sparse:
+        """Count features (even columns) and rate features (odd ones) of each text."""
         data, offs = blob(texts)
         doc, col, val = [], [], []
         for i, j in chunks(offs):
-            d, f = _features(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+            d, f, words = _features(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
             c = self.column[f]
             known = np.flatnonzero(c >= 0)  # few: only these are grouped
-            key, n = np.unique((d[known].astype(np.int64) + i) * MAX_FEATURES + c[known], return_counts=True)
-            doc.append(key // MAX_FEATURES)
-            col.append(key % MAX_FEATURES)
-            val.append(np.log1p(n))
+            key, n = np.unique(d[known].astype(np.int64) * MAX_FEATURES + c[known], return_counts=True)
+            own, at = key // MAX_FEATURES, 2 * (key % MAX_FEATURES)
+            doc.append(np.repeat(own + i, 2))
+            col.append(np.stack([at, at + 1], 1).ravel())
+            val.append(np.log1p(np.stack([n, PER_WORDS * n / words[own]], 1)).ravel())
         none = np.zeros(0)
         doc = np.concatenate([none, *doc]).astype(np.int64)
         at = np.searchsorted(doc, np.arange(len(offs)))
@@ -116,7 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: in
         y = b.column(1).to_numpy()
         total = []
         for i, j in chunks(offs):
-            d, f = _features(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+            d, f, _ = _features(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
             key = np.unique((d.astype(np.int64) << BITS) | f)
             total.append(np.stack([key & ((1 << BITS) - 1), y[i + (key >> BITS)]], 1))
         total = np.concatenate(total)
@@ -144,10 +147,11 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: in
 
     rows = sorted(mapped(sample, each, "doc_id long, y int, idx binary, val binary").collect(), key=lambda r: r.doc_id)
     x, y = learn.Sparse.collect(rows), np.array([r.y for r in rows])
-    evidence = learn.row_sum(np.array([r.z > 0 for r in kept], float)[x.idx] * np.expm1(x.val), x.at)
+    for_label = np.array([[r.z > 0, False] for r in kept], float).ravel()
+    evidence = learn.row_sum(for_label[x.idx] * np.expm1(x.val), x.at)
     grade = np.zeros(len(y), np.int64)
     grade[y == 1] = 1 + np.searchsorted(np.quantile(evidence[y == 1], [1 / 3, 2 / 3]), evidence[y == 1], "left")
-    w, theta = fit_ordinal(x, grade, len(kept))
+    w, theta = fit_ordinal(x, grade, 2 * len(kept))
     return Ordinal(column, w, theta - learn.prior_shift(base, y.astype(float)))
 
 
