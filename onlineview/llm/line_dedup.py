@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import staged
+
 MAX_RATIO = 0.1
 MIN_PAGES = 5
 
@@ -47,8 +49,12 @@ def boilerplate(pages: DataFrame, host: str = "source", text: str = "text", max_
 
 
 def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``pages`` without each host's boilerplate lines; every row and column stays."""
-    bad = boilerplate(pages, host, text, max_ratio, min_pages).select(F.col("host").alias("__host"), F.col("bad").alias("__bad"))
+    """``pages`` without each host's boilerplate lines; every row and column stays.
+
+    The boilerplate table is written first, so that its true size decides how it is joined: the pages
+    are shuffled only if it is too large to broadcast.
+    """
+    bad = staged(boilerplate(pages, host, text, max_ratio, min_pages), "line-boilerplate").select(F.col("host").alias("__host"), F.col("bad").alias("__bad"))
     kept = F.array_join(F.filter(_lines(F.col("__p.`" + text + "`")), lambda x: (x == "") | ~F.array_contains(F.col("__bad"), F.xxhash64(x))), "\n")
     new = F.when(F.col("__bad").isNull(), F.col("__p.`" + text + "`")).otherwise(kept)
     joined = pages.alias("__p").join(bad.alias("__b"), F.col(f"__p.`{host}`").eqNullSafe(F.col("__host")), "left")
