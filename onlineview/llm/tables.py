@@ -11,9 +11,24 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once under ``spark.checkpoint.dir`` and read it back: lineage ends at files all executors share."""
+    """Write ``df`` once under ``spark.checkpoint.dir`` and read it back: lineage ends at files all executors share.
+
+    The shuffle files of the write are removed when it is done, since nothing can need them again;
+    they would else stay until the driver collects its garbage.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
