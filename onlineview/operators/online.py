@@ -13,9 +13,6 @@ from .encode import FIELDS, KEY, field_value
 
 GROUP = "feature_group"
 
-# Largest spine of wanted keys that a batch lookup ships to every task.
-BROADCAST_MAX_ROWS = 1_000_000
-
 
 def in_group(online: DataFrame, c: Contract) -> DataFrame:
     """Keys of one feature group: partition pruning on the group plus exact prefix."""
@@ -59,30 +56,14 @@ def select_fields(online: DataFrame, names: Sequence[str]) -> DataFrame:
     return online.select(F.col(KEY), *[field_value(n).alias(n) for n in names])
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True if ``df`` provably has at most ``max_rows`` rows (a limited count:
-    it stops after max_rows+1 rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def batch_get(online: DataFrame, wanted: DataFrame, c: Contract, entity_column: str | None = None,
-              max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Stored record for each wanted entity (left join; missing ones get nulls).
+def batch_get(online: DataFrame, wanted: DataFrame, c: Contract, entity_column: str | None = None) -> DataFrame:
+    """Stored record for each wanted entity (missing ones get nulls): one left join on the key.
 
-    Small spine (size checked): the spine is broadcast into an inner join that
-    streams the store once without shuffling it; the matches (at most one per
-    wanted key, so bounded by the spine) are then broadcast back onto the spine
-    to restore the rows without a match. Large spine: one shuffled left join.
-    The store is never the broadcast side.
+    Spark picks the join from sizes it knows at run time and splits hot keys; no side is forced.
     """
     ec = entity_column or c.entity_column
     spine = wanted.select(F.col(ec), F.concat(F.lit(c.key_prefix + ":"), F.col(ec).cast("string")).alias(KEY))
-    store = in_group(online, c).select(KEY, FIELDS).hint("no_broadcast_hash")
-    if max_broadcast_rows and fits(spine, max_broadcast_rows):
-        keys = spine.select(KEY).distinct()
-        found = store.join(F.broadcast(keys), KEY, "inner")
-        return spine.join(F.broadcast(found), KEY, "left")
-    return spine.join(store, KEY, "left")
+    return spine.join(in_group(online, c).select(KEY, FIELDS), KEY, "left")
 
 
 def key_count(online: DataFrame, c: Contract | None = None) -> DataFrame:

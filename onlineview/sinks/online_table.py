@@ -1,21 +1,28 @@
-"""The online table: a Parquet table of encoded records, one partition per feature group.
+"""The online table: versioned, hash-bucketed Parquet storage of encoded records.
 
-Layout ``root/feature_group=<g>/part-*.parquet`` with columns
-``key, entity, fields MAP<STRING,STRING>, doc, written_at, expires_at``.
-Files are written hash-partitioned by entity (the snapshot's own shuffle is
-reused) and sorted by key inside each file, so a point or batch lookup prunes
-row groups through Parquet min/max statistics.
+Layout, per feature group::
 
-Two write modes per feature group:
+    root/data/feature_group=<g>/version=<v>/bucket=<b>/part-*.parquet
+    root/versions/feature_group=<g>/version=<v>/part-*.parquet     (bucket, at)
 
-* ``replace`` -- the group's partition becomes exactly the new snapshot:
-  tombstoned keys and fields that became null disappear.
-* ``merge`` -- like a key-value store's field-wise upsert: new non-null
-  fields overwrite, untouched keys and fields stay (and are reported stale by
-  the reconciliation).
+Records live in bucket ``pmod(xxhash64(key), buckets)``; the bucket count is a stored
+property of the group. A write puts the new content of the buckets it touches into
+a fresh version folder and then commits one small version table that says, for
+each bucket, which version folder holds it (null: the bucket is empty). That
+table is the pointer: readers take the highest committed version, so they see a
+group before or after a write, never in between, and nothing that is being read is
+overwritten. Untouched buckets are neither read nor rewritten; a point read opens
+one bucket.
 
-Either way the group is swapped by a dynamic partition overwrite, staged by
-Spark's committer, so a failed or retried task never leaves half a group.
+Write modes:
+
+* ``replace`` -- the group becomes exactly the new snapshot, empty ones included.
+* ``merge`` -- like a key-value store's field-wise upsert: new non-null fields
+  overwrite, other keys and fields stay.
+* :func:`apply_changes` -- whole records are upserted and keys deleted.
+
+A stored record whose deadline has passed counts as absent in merge and upsert.
+Folders that the last versions no longer name are removed after each write.
 """
 
 from __future__ import annotations
@@ -27,20 +34,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import Contract
-from ..session import scratch_path
 from ..operators.encode import DOC, FIELDS, KEY, doc_column, fields_column, online_key
 
 GROUP = "feature_group"
 ENTITY = "entity"
 WRITTEN_AT = "written_at"
 EXPIRES_AT = "expires_at"
+BUCKET = "bucket"
+VERSION = "version"
 
 ONLINE_COLUMNS = (KEY, ENTITY, FIELDS, DOC, WRITTEN_AT, EXPIRES_AT)
+_DATA_SCHEMA = (f"{KEY} string, {ENTITY} string, {FIELDS} map<string,string>, {DOC} string, {WRITTEN_AT} timestamp, "
+                f"{EXPIRES_AT} timestamp, {GROUP} string, {VERSION} long, {BUCKET} int")
+
+#: Buckets of a new group. Choose so that one bucket is a few hundred MB at most.
+DEFAULT_BUCKETS = 16
+#: Committed versions whose files stay readable.
+KEEP_VERSIONS = 2
 
 
 def records(snapshot: DataFrame, c: Contract, *, mode: str = "contract", keep_metadata: bool = False,
             with_doc: bool = False, ttl_anchor: str = "write", written_at: datetime | None = None,
-            exact_floats: bool = False) -> DataFrame:
+            exact_floats: bool = True) -> DataFrame:
     """Encode a snapshot into online-table rows (no write).
 
     ``ttl_anchor='write'`` counts the TTL from the write clock (what a
@@ -59,6 +74,16 @@ def records(snapshot: DataFrame, c: Contract, *, mode: str = "contract", keep_me
                            doc.alias(DOC), now.alias(WRITTEN_AT), expires.alias(EXPIRES_AT))
 
 
+def bucket_of(key: Column | str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key) if isinstance(key, str) else key), F.lit(buckets)).cast("int")
+
+
+def _alive(clock: datetime | str | None) -> Column:
+    now = F.current_timestamp() if clock is None else F.to_timestamp(F.lit(clock)) \
+        if isinstance(clock, str) else F.lit(clock).cast("timestamp")
+    return F.col(EXPIRES_AT).isNull() | (F.col(EXPIRES_AT) > now)
+
+
 def overlay_fields(old: Column, new: Column) -> Column:
     """Field-wise upsert of two maps: new values win, other old fields stay."""
     keep_old = F.map_filter(old, lambda k, v: ~F.array_contains(F.map_keys(new), k))
@@ -66,12 +91,15 @@ def overlay_fields(old: Column, new: Column) -> Column:
 
 
 def merge_records(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Merge-mode result of writing ``new`` over ``old`` (one full outer join on key)."""
+    """Merge-mode result of writing ``new`` over live ``old`` records (one full outer join on key).
+
+    A written key takes document, times and deadline from the new record.
+    """
     o = old.select(*[F.col(x).alias(f"o_{x}") for x in ONLINE_COLUMNS])
     n = new.select(*ONLINE_COLUMNS)
     j = o.join(n, o[f"o_{KEY}"] == n[KEY], "full_outer")
-    both = F.col(KEY).isNotNull() & F.col(f"o_{KEY}").isNotNull()
-    pick = {x: F.coalesce(F.col(x), F.col(f"o_{x}")) for x in ONLINE_COLUMNS}
+    written, both = F.col(KEY).isNotNull(), F.col(KEY).isNotNull() & F.col(f"o_{KEY}").isNotNull()
+    pick = {x: F.when(written, F.col(x)).otherwise(F.col(f"o_{x}")) for x in ONLINE_COLUMNS}
     pick[FIELDS] = F.when(both, overlay_fields(F.col(f"o_{FIELDS}"), F.col(FIELDS))).otherwise(pick[FIELDS])
     return j.select(*[pick[x].alias(x) for x in ONLINE_COLUMNS])
 
@@ -84,79 +112,140 @@ def upsert_records(old: DataFrame, live: DataFrame, deleted_keys: DataFrame) ->
     return kept.unionByName(live.select(*ONLINE_COLUMNS))
 
 
-def _staged(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Cut lineage through a written table in the shared checkpoint folder.
+# ----------------------------------------------------------------- versions
+def _group_path(root: str, kind: str, group: str) -> str:
+    return f"{root.rstrip('/')}/{kind}/{GROUP}={group}"
 
-    Computes ``df`` once (a reliable checkpoint would compute it twice: once to
-    count, once to save) and returns a DataFrame over the written files, so
-    the caller can overwrite the partition ``df`` was read from.
-    """
-    path = scratch_path(spark, "stage")
-    df.write.parquet(path)
-    return spark.read.parquet(path)
 
+def _missing(e: AnalysisException) -> bool:
+    return e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
-def apply_changes(spark: SparkSession, root: str, c: Contract, live: DataFrame, deleted_keys: DataFrame) -> str:
-    """Upsert live records and delete tombstoned keys in one feature group.
 
-    The new group content is staged (shared folder) before the group's
-    partition is swapped, so the job never overwrites what it is reading and
-    a re-run of the same change set gives the same table (idempotent).
+def _current(spark: SparkSession, root: str, group: str | None = None) -> dict[str, tuple[int, dict[int, int | None]]]:
+    """group -> (version, bucket -> version folder that holds it); a few integers per bucket."""
+    base = f"{root.rstrip('/')}/versions"
+    try:
+        t = (spark.read.schema(f"bucket int, at long, {GROUP} string, {VERSION} long")
+             .option("basePath", base).parquet(base if group is None else _group_path(root, "versions", group)))
+    except AnalysisException as e:
+        if _missing(e):
+            return {}
+        raise
+    last = t.groupBy(GROUP).agg(F.max(VERSION).alias("last"))
+    rows = t.join(last, GROUP).filter(F.col(VERSION) == F.col("last")).select(GROUP, "last", "bucket", "at").collect()
+    out: dict[str, tuple[int, dict[int, int | None]]] = {}
+    for r in rows:
+        out.setdefault(r[GROUP], (r["last"], {}))[1][r["bucket"]] = r["at"]
+    return out
+
+
+def _read_buckets(spark: SparkSession, root: str, current: dict[str, tuple[int, dict[int, int | None]]],
+                  only: set[int] | None = None) -> DataFrame:
+    """Rows of the named buckets; nothing else is listed or opened."""
+    paths = [f"{_group_path(root, 'data', g)}/{VERSION}={at}/{BUCKET}={b}"
+             for g, (_, buckets) in current.items() for b, at in buckets.items()
+             if at is not None and (only is None or b in only)]
+    if not paths:
+        return spark.createDataFrame([], _DATA_SCHEMA)
+    return spark.read.schema(_DATA_SCHEMA).option("basePath", f"{root.rstrip('/')}/data").parquet(*paths)
+
+
+def _commit(spark: SparkSession, root: str, c: Contract, out: DataFrame, touched: set[int] | None, buckets: int,
+            current: tuple[int, dict[int, int | None]] | None) -> int:
+    """Write ``out`` as the new content of the touched buckets (None: all) and move the pointer."""
+    version, before = (current[0] + 1, current[1]) if current else (1, {})
+    data = f"{_group_path(root, 'data', c.feature_group)}/{VERSION}={version}"
+    # REBALANCE: a bucket is one task's file, and AQE splits one that is too large
+    (out.select(*ONLINE_COLUMNS).withColumn(BUCKET, bucket_of(KEY, buckets)).hint("rebalance", BUCKET)
+        .sortWithinPartitions(BUCKET, KEY)
+        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(data))
+    # buckets that got files; only folder names are looked at
+    full = {r[0] for r in spark.read.schema(f"{KEY} string, {BUCKET} int").parquet(data).select(BUCKET).distinct().collect()}
+    now = {b: version if b in full else None if touched is None or b in touched else before.get(b) for b in range(buckets)}
+    (spark.createDataFrame(sorted(now.items()), "bucket int, at long").coalesce(1)
+        .write.mode("errorifexists").parquet(f"{_group_path(root, 'versions', c.feature_group)}/{VERSION}={version}"))
+    _remove_unused(spark, root, c.feature_group)
+    return version
+
+
+def _remove_unused(spark: SparkSession, root: str, group: str, keep: int = KEEP_VERSIONS) -> None:
+    """Delete data and version folders that the last ``keep`` committed versions do not name."""
+    base = f"{root.rstrip('/')}/versions"
+    t = (spark.read.schema(f"bucket int, at long, {GROUP} string, {VERSION} long").option("basePath", base)
+         .parquet(_group_path(root, "versions", group)))
+    versions = sorted(r[0] for r in t.select(VERSION).distinct().collect())
+    kept = versions[-keep:]
+    used = {r[0] for r in t.filter(F.col(VERSION).isin(kept) & F.col("at").isNotNull()).select("at").distinct().collect()}
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for kind, named in (("versions", set(kept)), ("data", used | set(kept))):
+        for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(_group_path(root, kind, group))):
+            name = st.getPath().getName()
+            if name.startswith(f"{VERSION}=") and int(name.partition("=")[2]) not in named:
+                fs.delete(st.getPath(), True)
+
+
+# ------------------------------------------------------------------- writes
+def _touched(keys: DataFrame, buckets: int) -> set[int]:
+    return {r[0] for r in keys.select(bucket_of(KEY, buckets).alias(BUCKET)).distinct().collect()}
+
+
+def apply_changes(spark: SparkSession, root: str, c: Contract, live: DataFrame, deleted_keys: DataFrame, *,
+                  buckets: int = DEFAULT_BUCKETS, clock: datetime | str | None = None) -> str:
+    """Upsert live records and delete keys in one feature group, rewriting only the buckets they fall into.
+
+    Re-running the same change set gives the same table (idempotent).
     """
-    old = read_online(spark, root, c.feature_group, check_ttl=False, missing_ok=True)
-    out = live.select(*ONLINE_COLUMNS) if old is None else \
-        _staged(spark, upsert_records(old, live, deleted_keys))
-    _overwrite_group(out, root, c)
+    current = _current(spark, root, c.feature_group).get(c.feature_group)
+    n = len(current[1]) if current else buckets
+    touched = _touched(live.select(KEY).unionByName(deleted_keys.select(KEY)), n)
+    if not touched and current:
+        return root
+    old = _read_buckets(spark, root, {c.feature_group: current} if current else {}, touched).filter(_alive(clock))
+    _commit(spark, root, c, upsert_records(old, live, deleted_keys), touched, n, current)
     return root
 
 
-def _overwrite_group(out: DataFrame, root: str, c: Contract) -> None:
-    (out.sortWithinPartitions(KEY)
-        .withColumn(GROUP, F.lit(c.feature_group))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(GROUP)
-        .parquet(root))
-
-
 def write_online(spark: SparkSession, recs: DataFrame, root: str, c: Contract, *, mode: str = "replace",
-                 partitions: int | None = None) -> str:
+                 buckets: int | None = None, clock: datetime | str | None = None) -> str:
     """Write encoded records of one feature group into the online table.
 
-    ``partitions`` caps the number of files/writer tasks (else the snapshot's
-    partitioning is reused). Merge mode first stages the merged result in the
-    shared checkpoint folder, so the group's partition is never read and
-    overwritten by the same job.
+    ``buckets`` sets the bucket count of a new or replaced group; a merge keeps the stored one.
     """
     if mode not in ("replace", "merge"):
         raise ValueError("mode must be 'replace' or 'merge'")
-    out = recs
-    if mode == "merge":
-        old = read_online(spark, root, c.feature_group, check_ttl=False, missing_ok=True)
-        if old is not None:
-            out = _staged(spark, merge_records(old.select(*ONLINE_COLUMNS), recs))
-    if partitions:
-        out = out.repartition(partitions, KEY)
-    _overwrite_group(out, root, c)
+    current = _current(spark, root, c.feature_group).get(c.feature_group)
+    if mode == "replace" or current is None:
+        n = buckets or (len(current[1]) if current else DEFAULT_BUCKETS)
+        _commit(spark, root, c, recs, None, n, current)
+        return root
+    n = len(current[1])
+    touched = _touched(recs, n)
+    if touched:
+        old = _read_buckets(spark, root, {c.feature_group: current}, touched).filter(_alive(clock))
+        _commit(spark, root, c, merge_records(old, recs), touched, n, current)
     return root
 
 
+# -------------------------------------------------------------------- reads
 def read_online(spark: SparkSession, root: str, group: str | None = None, *, clock: datetime | str | None = None,
-                check_ttl: bool = True, missing_ok: bool = False) -> DataFrame | None:
+                check_ttl: bool = True, key: str | None = None) -> DataFrame:
     """Online table rows, optionally one feature group, expired keys hidden.
 
-    ``clock`` fixes "now" for the expiry test (default: current time).
+    ``clock`` fixes "now" for the expiry test (default: current time). ``key`` restricts
+    the read to the bucket of that key. A root without a committed version is an error.
     """
-    try:
-        df = spark.read.parquet(root)
-    except AnalysisException:
-        if missing_ok:
-            return None
-        raise
-    if group is not None:
-        df = df.filter(F.col(GROUP) == group)
+    current = _current(spark, root, group)
+    if not current:
+        raise FileNotFoundError(f"no committed online table under {root}" + (f" for group {group!r}" if group else ""))
+    only = None
+    if key is not None:
+        if group is None:
+            raise ValueError("a point read needs the feature group")
+        only = {spark.range(1).select(bucket_of(F.lit(key), len(current[group][1]))).first()[0]}
+    df = _read_buckets(spark, root, current, only)
+    if key is not None:
+        df = df.filter(F.col(KEY) == key)
     if check_ttl:
-        now = F.current_timestamp() if clock is None else F.to_timestamp(F.lit(clock)) \
-            if isinstance(clock, str) else F.lit(clock)
-        df = df.filter(F.col(EXPIRES_AT).isNull() | (F.col(EXPIRES_AT) > now))
-    return df
+        df = df.filter(_alive(clock))
+    return df.select(*ONLINE_COLUMNS, GROUP)
