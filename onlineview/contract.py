@@ -126,8 +126,9 @@ class Contract:
     def validate(self, schema: T.StructType, strict: bool = True) -> Contract:
         """Check the contract against a history schema.
 
-        strict=True raises on a feature that is not in the data; strict=False
-        drops it from the returned contract (the lenient behaviour).
+        strict=True raises on a feature, write time or deleted column that is not
+        in the data; strict=False drops it from the returned contract (the lenient
+        behaviour), so a misspelled flag cannot silently turn off tombstones.
         Nested and binary features are rejected in both modes: they have no
         flat text form.
         """
@@ -142,6 +143,9 @@ class Contract:
                 raise ContractError(
                     f"deleted column {self.deleted_column!r} must be boolean, got {dt.simpleString()}; "
                     "cast it once in the source adapter")
+        unknown = [x for x in (self.write_time_column, self.deleted_column) if x and x not in names]
+        if unknown and strict:
+            raise ContractError(f"write time or deleted columns not in data: {unknown}")
         absent = [f for f in self.feature_names if f not in names]
         if absent and strict:
             raise ContractError(f"features not in data: {absent}")
@@ -153,4 +157,5 @@ class Contract:
         bad_tb = [c for c in self.tiebreak_columns if c not in names]
         if bad_tb:
             raise ContractError(f"tiebreak columns not in data: {bad_tb}")
-        return self if kept == self.features else self.with_(features=kept)
+        cleared = {k: "" for k in ("write_time_column", "deleted_column") if getattr(self, k) in unknown}
+        return self if kept == self.features and not cleared else self.with_(features=kept, **cleared)

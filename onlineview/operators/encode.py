@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..contract import PARTITION_COLUMNS, Contract
+from ..contract import Contract
 from ..functions.text import field_text, iso_timestamp
 
 KEY = "key"
@@ -33,7 +33,8 @@ def written_columns(df: DataFrame, c: Contract, mode: str = "contract",
 
     ``contract``: entity, event time and the contract features (missing ones
     skipped). ``all``: every column except feature-store metadata (unless
-    ``keep_metadata``) and discovered partition columns.
+    ``keep_metadata``); columns that partition discovery added are dropped
+    where the history is read (``drop_partition_columns``).
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -42,10 +43,8 @@ def written_columns(df: DataFrame, c: Contract, mode: str = "contract",
         if keep_metadata:
             cols += [m for m in c.metadata_columns if m in df.columns and m not in cols]
         return cols
-    skip = set(PARTITION_COLUMNS)
-    if not keep_metadata:
-        skip |= set(c.metadata_columns)
-    return [x for x in df.columns if x not in skip or x in (c.entity_column, c.event_time_column)]
+    skip = set() if keep_metadata else set(c.metadata_columns) - set(c.contract_columns())
+    return [x for x in df.columns if x not in skip]
 
 
 def project(df: DataFrame, c: Contract, mode: str = "contract", keep_metadata: bool = False) -> DataFrame:
@@ -59,7 +58,7 @@ def _text_columns(df: DataFrame, cols: list[str], exact_floats: bool) -> list[tu
 
 
 def fields_column(df: DataFrame, c: Contract, mode: str = "contract", keep_metadata: bool = False,
-                  exact_floats: bool = False) -> Column:
+                  exact_floats: bool = True) -> Column:
     """MAP<STRING,STRING> of the written columns' text, null-valued fields omitted."""
     cols = written_columns(df, c, mode, keep_metadata)
     pairs = _text_columns(df, cols, exact_floats)
@@ -68,14 +67,14 @@ def fields_column(df: DataFrame, c: Contract, mode: str = "contract", keep_metad
 
 
 def hash_fields(df: DataFrame, c: Contract, mode: str = "contract", keep_metadata: bool = False,
-                exact_floats: bool = False, extra: list[str] | None = None) -> DataFrame:
+                exact_floats: bool = True, extra: list[str] | None = None) -> DataFrame:
     """(key, fields MAP<STRING,STRING>) with null-valued fields omitted."""
     m = fields_column(df, c, mode, keep_metadata, exact_floats)
     return df.select(online_key(c).alias(KEY), m.alias(FIELDS), *[F.col(x) for x in (extra or [])])
 
 
 def long_fields(df: DataFrame, c: Contract, mode: str = "contract", keep_metadata: bool = False,
-                exact_floats: bool = False) -> DataFrame:
+                exact_floats: bool = True) -> DataFrame:
     """(key, field, value): one row per non-null field; the comparable shape."""
     cols = written_columns(df, c, mode, keep_metadata)
     pairs = _text_columns(df, cols, exact_floats)

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,42 +27,56 @@ from ..sources.history import hour_partition_filter
 
 RN = "__rn"
 
-_ORDERABLE = (T.NumericType, T.StringType, T.BooleanType, T.TimestampType, T.TimestampNTZType,
-              T.DateType, T.BinaryType)
+
+def _orderable(t: T.DataType) -> bool:
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    return isinstance(t, T.AtomicType) and not isinstance(t, T.VariantType)
+
+
+def _flag(df: DataFrame, c: Contract) -> Column | None:
+    if c.deleted_column and c.deleted_column in df.columns:
+        return F.coalesce(F.col(c.deleted_column), F.lit(False))
+    return None
 
 
 def tiebreak_columns(df: DataFrame, c: Contract) -> list[str]:
-    if c.tiebreak_columns:
-        return list(c.tiebreak_columns)
-    used = {c.entity_column, c.event_time_column, c.write_time_column}
+    """Columns that order full ties after the deletion flag: the contract's features, then every
+    other column that can be ordered, by name. Rows that agree in all of them are interchangeable."""
+    used = {c.entity_column, c.event_time_column, c.write_time_column, c.deleted_column, *c.tiebreak_columns}
     fields = {f.name: f.dataType for f in df.schema.fields}
-    return [n for n in c.feature_names
-            if n in fields and n not in used and isinstance(fields[n], _ORDERABLE)]
+    names = [n for n in c.feature_names if n in fields] + sorted(set(fields) - set(c.feature_names))
+    return [n for n in names if n not in used and _orderable(fields[n])]
+
+
+def _order_parts(df: DataFrame, c: Contract) -> list[Column]:
+    """Ranking keys, most significant first; larger is newer. A deletion beats a live version it ties with."""
+    parts = [F.col(c.event_time_column)]
+    if c.write_time_column and c.write_time_column in df.columns:
+        parts.append(F.col(c.write_time_column))
+    parts += [F.col(n) for n in c.tiebreak_columns]
+    flag = _flag(df, c)
+    if flag is not None:
+        parts.append(flag)
+    return parts + [F.col(n) for n in tiebreak_columns(df, c)]
 
 
 def ordering(df: DataFrame, c: Contract) -> list[Column]:
     """Sort keys that rank versions of one entity, newest first."""
-    keys = [F.col(c.event_time_column).desc_nulls_last()]
-    if c.write_time_column and c.write_time_column in df.columns:
-        keys.append(F.col(c.write_time_column).desc_nulls_last())
-    keys += [F.col(n).desc_nulls_last() for n in tiebreak_columns(df, c)]
-    return keys
+    return [p.desc_nulls_last() for p in _order_parts(df, c)]
 
 
 def ordering_struct(df: DataFrame, c: Contract) -> Column:
     """The same order as one comparable struct (nulls compare lowest, so they lose)."""
-    parts = [F.col(c.event_time_column).alias("e")]
-    if c.write_time_column and c.write_time_column in df.columns:
-        parts.append(F.col(c.write_time_column).alias("w"))
-    parts += [F.col(n).alias(f"t{i}") for i, n in enumerate(tiebreak_columns(df, c))]
-    return F.struct(*parts)
+    return F.struct(*[p.alias(f"o{i}") for i, p in enumerate(_order_parts(df, c))])
 
 
 def not_deleted(c: Contract, df: DataFrame) -> Column | None:
     """Null-safe live predicate: a null flag counts as live."""
-    if c.deleted_column and c.deleted_column in df.columns:
-        return ~F.coalesce(F.col(c.deleted_column), F.lit(False))
-    return None
+    flag = _flag(df, c)
+    return None if flag is None else ~flag
 
 
 def quarantined(df: DataFrame, c: Contract) -> DataFrame:
@@ -213,7 +228,19 @@ def changes_since(df: DataFrame, c: Contract, upper: datetime | str,
 
 
 def drop_partition_columns(df: DataFrame, c: Contract) -> DataFrame:
-    """Discovered year/month/day/hour must not leak into the payload."""
+    """Columns that partition discovery added must not leak into the payload.
+
+    ``df`` is a history as it was read. A column counts as discovered if the file paths
+    name it, so a feature of the data itself that is called ``hour`` stays.
+    """
     keep = set(c.contract_columns())
-    extra = [p for p in PARTITION_COLUMNS if p in df.columns and p not in keep]
-    return df.drop(*extra) if extra else df
+    named = [p for p in PARTITION_COLUMNS if p in df.columns and p not in keep]
+    if not named:
+        return df
+    try:
+        row = df.select("_metadata.file_path").first()  # all files of a history share one layout
+    except AnalysisException as e:
+        if (e.getCondition() or "").startswith("UNRESOLVED_COLUMN"):  # not read from files
+            return df
+        raise
+    return df.drop(*[p for p in named if row is None or f"/{p}=" in row[0]])

@@ -175,3 +175,59 @@ def test_changes_since_edge_rows(spark):
     got = dict((r[0], r[1]) for r in S.changes_since(df, C, cut).collect())
     want = dict((r[0], r[1]) for r in S.snapshot_changes(S.snapshot_as_of(df, C, cut), S.latest(df, C), C).collect())
     assert got == want == {"a": "removed", "b": "added", "c": "added", "d": "changed", "e": "same"}
+
+
+def test_tie_with_a_deletion_is_order_independent(spark):
+    rows = [("a", T1, W1, False, 1), ("a", T1, W1, True, 1), ("b", T1, W1, True, 1), ("b", T1, W1, False, 9)]
+    assert both_forms(spark, rows) == both_forms(spark, rows[::-1]) == []  # the deletion wins
+
+
+def test_tie_outside_the_contract_is_order_independent(spark):
+    schema = SCHEMA + ", note string, tags array<string>"
+    rows = [("a", T1, W1, False, 1, "n1", ["x"]), ("a", T1, W1, False, 1, "n2", ["x"]), ("a", T1, W1, False, 1, "n2", ["y"])]
+    for r in (rows, rows[::-1]):
+        df = spark.createDataFrame(r, schema)
+        for got in (S.latest(df, C).first(), S.latest_by_max_by(df, C).first()):
+            assert (got["note"], got["tags"]) == ("n2", ["y"])
+
+
+@pytest.mark.parametrize("kw", [{"deleted_column": "is_deletd"}, {"write_time_column": "wrte_time"}])
+def test_unknown_ranking_columns_are_errors(spark, kw):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    with pytest.raises(ContractError):
+        C.with_(**kw).validate(schema)
+    assert getattr(C.with_(**kw).validate(schema, strict=False), next(iter(kw))) == ""
+
+
+def test_utc_does_not_depend_on_the_session(spark, tmp_path):
+    from onlineview.functions.text import iso_millis_z
+    from onlineview.sinks.export import append_history, hour_columns
+    rows = [("a", "2024-01-01T00:30:00.250Z"), ("b", "2024-01-01T02:30:00.250+02:00"), ("c", "2024-01-01T00:30:00.250")]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Sao_Paulo", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame(rows, "id string, ts string")
+            out = df.select(iso_millis_z("ts", df.schema["ts"].dataType).alias("z"), *hour_columns(df, "ts")).collect()
+            assert {tuple(r) for r in out} == {("2024-01-01T00:30:00.250Z", "2024", "01", "01", "00")}
+            typed = df.filter("id = 'a'").select(F.col("ts").cast("timestamp").alias("ts"))
+            assert typed.select(iso_millis_z("ts", typed.schema["ts"].dataType)).first()[0] == "2024-01-01T00:30:00.250Z"
+            path = str(tmp_path / zone.replace("/", "-"))
+            append_history(typed, path, "ts")
+            c = C.with_(event_time_column="ts")
+            hist = read_history(spark, path)
+            # the bound is an instant: half an hour after the event, in any zone
+            upper = datetime(2024, 1, 1, 1, 0, tzinfo=__import__("datetime").timezone.utc)
+            assert S.as_of(hist, c, upper).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_data_columns_named_like_partitions_stay(spark, tmp_path):
+    df = spark.createDataFrame([("a", T1, W1, False, 1)], SCHEMA).withColumn("hour", F.lit(5))
+    df.write.parquet(str(tmp_path / "flat"))
+    flat = read_history(spark, str(tmp_path / "flat"))
+    assert "hour" in S.drop_partition_columns(flat, C).columns
+    df.drop("hour").withColumn("hour", F.lit(7)).write.partitionBy("hour").parquet(str(tmp_path / "laid"))
+    laid = read_history(spark, str(tmp_path / "laid"))
+    assert "hour" not in S.drop_partition_columns(laid, C).columns
