@@ -2,8 +2,8 @@
 
 The online store keeps every field as text, in the form a Python producer
 would write it: booleans ``true``/``false``, doubles like Python's ``repr``,
-timestamps in ISO-8601. Everything here is a Column expression, so it runs
-inside whole-stage codegen with no Python worker in the hot path.
+timestamps in ISO-8601. Everything is a native Column expression but for doubles
+outside the range in which the JVM's shortest text is known to be Python's.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ def py_float_text(x) -> Column:
     and ``d.ddde+XX`` outside it, ``nan``/``inf`` for the specials. The JVM
     prints fixed notation only for 1e-3 <= |x| < 1e7, so values between the
     two ranges are re-laid out from the mantissa and exponent.
-    Note: JDK 17's ``Double.toString`` is not always shortest for |x| >= 1e16
-    or subnormals; use :func:`py_float_text_exact` there.
+    Note: JDK 17's ``Double.toString`` is not always shortest outside
+    0.001 <= |x| < 1e7 (2^-44, for one); :func:`py_float_text_exact` is right everywhere.
     """
     v = _c(x).cast("double")
     s = v.cast("string")
@@ -63,17 +63,33 @@ def py_float_text(x) -> Column:
 
 @F.pandas_udf(T.StringType())
 def _repr_udf(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: None if pd.isna(v) and not isinstance(v, float) else repr(float(v)))
+    out = pd.Series([None] * len(s), index=s.index, dtype=object)
+    there = s.notna()
+    out[there] = [repr(v) for v in s[there].astype(float).tolist()]
+    return out
 
 
 def py_float_text_exact(x) -> Column:
-    """Python ``repr`` of a double computed by Python (Arrow batches).
+    """Python ``repr`` of any double: native where the JVM's digits are exact, else by Python.
 
-    Slower than :func:`py_float_text`; only needed on JVMs whose
-    ``Double.toString`` is not shortest-repr for very large/tiny values.
+    Zero, the specials and 0.001 <= |x| < 1e7 are native. Only other values reach the Arrow
+    UDF, which sees nulls for the rest.
     """
     v = _c(x).cast("double")
-    return F.when(v.isNull(), F.lit(None).cast("string")).otherwise(_repr_udf(v))
+    size = F.abs(v)
+    native = F.isnan(v) | (size == 0) | ((size >= 1e-3) & (size < 1e7)) | (size == float("inf"))
+    return F.when(native, py_float_text(v)).otherwise(_repr_udf(F.when(~native, v)))
+
+
+def utc(x, dtype: T.DataType) -> Column:
+    """A timestamp as zone-less UTC time, whatever the session's zone; zone-less ones are UTC already."""
+    ts = _c(x)
+    if isinstance(dtype, T.TimestampType):
+        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+    if isinstance(dtype, T.StringType):  # ISO text: with an offset it names an instant, without one it is UTC
+        marked = F.when(ts.rlike(r"(Z|[+-]\d\d:?\d\d)$"), ts).otherwise(F.concat(ts, F.lit("Z")))
+        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), marked.cast("timestamp").cast("timestamp_ntz"))
+    return ts.cast("timestamp_ntz")
 
 
 def iso_timestamp(x, dtype: T.DataType) -> Column:
@@ -84,7 +100,7 @@ def iso_timestamp(x, dtype: T.DataType) -> Column:
     """
     ts = _c(x)
     if isinstance(dtype, T.TimestampType):
-        ts = F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+        ts = utc(ts, dtype)
         suffix = F.lit("+00:00")
     else:
         suffix = F.lit("")
@@ -94,12 +110,12 @@ def iso_timestamp(x, dtype: T.DataType) -> Column:
     return F.when(ts.isNull(), F.lit(None).cast("string")).otherwise(F.concat(body, suffix))
 
 
-def iso_millis_z(x) -> Column:
-    """Event-time text ``YYYY-MM-DDTHH:MM:SS.mmmZ`` (milliseconds truncated)."""
-    return F.date_format(_c(x), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+def iso_millis_z(x, dtype: T.DataType) -> Column:
+    """Event-time text ``YYYY-MM-DDTHH:MM:SS.mmmZ`` in UTC (milliseconds truncated)."""
+    return F.date_format(utc(x, dtype), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
-def field_text(x, dtype: T.DataType, exact_floats: bool = False) -> Column:
+def field_text(x, dtype: T.DataType, exact_floats: bool = True) -> Column:
     """Any atomic value -> its online text form (null stays null)."""
     col = _c(x)
     if isinstance(dtype, T.BooleanType):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import utc
 from ..sources.history import read_history
 
 
@@ -25,28 +26,27 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return read_history(spark, path, recursive=True)
 
 
-def hour_columns(ts_column: str) -> list:
+def hour_columns(df: DataFrame, ts_column: str) -> list:
     """Zero-padded year/month/day/hour partition values of an event time
-    (timestamp, zone-less timestamp or ISO text with ``Z``), in session time."""
-    ts = F.col(ts_column).cast("timestamp")
+    (timestamp, zone-less timestamp or ISO text with ``Z``), in UTC."""
+    ts = utc(F.col(ts_column), df.schema[ts_column].dataType)
     return [F.date_format(ts, "yyyy").alias("year"), F.date_format(ts, "MM").alias("month"),
             F.date_format(ts, "dd").alias("day"), F.date_format(ts, "HH").alias("hour")]
 
 
-def append_history(df: DataFrame, path: str, ts_column: str, *, files_per_hour: int | None = None) -> str:
+def append_history(df: DataFrame, path: str, ts_column: str, *, writers: int = 1) -> str:
     """Append records to an hour-partitioned history ``year=/month=/day=/hour=``.
 
-    Default: a REBALANCE on the hour columns, so each hour directory gets few
-    files while AQE splits an hour that holds a large share of the data and
-    merges tiny ones. ``files_per_hour`` instead spreads every hour over N
-    files by a content hash (like multi-writer input).
+    A REBALANCE on the hour columns gives each hour directory few files, while AQE
+    splits an hour that holds a large share of the data and merges tiny ones.
+    ``writers`` appends that often, each time a share of the rows by content hash, as
+    several independent writers would: every hour gets at least one file from each
+    writer that has rows for it, and a hot hour is still split.
     """
-    out = df.select("*", *hour_columns(ts_column))
-    if files_per_hour:
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_hour))
-        out = out.repartition("year", "month", "day", "hour", spread)
-    else:
-        out = out.hint("rebalance", "year", "month", "day", "hour")
-    out.write.mode("append").partitionBy("year", "month", "day", "hour").parquet(path)
+    out = df.select("*", *hour_columns(df, ts_column))
+    share = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(writers))
+    for k in range(writers):
+        part = out if writers == 1 else out.filter(share == k)
+        (part.hint("rebalance", "year", "month", "day", "hour")
+             .write.mode("append").partitionBy("year", "month", "day", "hour").parquet(path))
     return path
-

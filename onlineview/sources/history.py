@@ -50,8 +50,7 @@ def read_history(spark: SparkSession, path: str | list[str], *, recursive: bool
     try:
         df = reader.parquet(*paths)
     except AnalysisException as e:
-        msg = str(e)
-        if "UNABLE_TO_INFER_SCHEMA" in msg or "PATH_NOT_FOUND" in msg:
+        if e.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
             _raise_empty(paths, e)
         raise
     if check_empty and df.isEmpty():
@@ -82,15 +81,17 @@ def hour_partition_filter(df: DataFrame, upper: datetime | str) -> Column | None
     """Coarse predicate on discovered hour partitions for ``event < upper``.
 
     Only partition columns appear in it, so Spark turns it into
-    ``PartitionFilters`` and skips whole directories. Returns None when the
-    history has no hour layout.
+    ``PartitionFilters`` and skips whole directories. Directories are laid out in
+    UTC; the caller's own filter on the event time stays exact. Returns None when
+    the history has no hour layout.
     """
     if not all(c in df.columns for c in PARTITION_COLUMNS):
         return None
     ts = F.to_timestamp(F.lit(upper)) if isinstance(upper, str) else F.lit(upper)
+    ts = F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
     part_start = F.make_timestamp_ntz(F.col("year"), F.col("month"), F.col("day"), F.col("hour"),
                                       F.lit(0), F.lit(0))
-    return part_start < ts.cast("timestamp_ntz")
+    return part_start < ts
 
 
 def load_contract(spark: SparkSession, raw: str) -> Contract:
