@@ -34,9 +34,10 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    from onlineview.session import local_session
+    from onlineview.session import local_session, ship_package
 
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="onlineview-bench")
+    ship_package(spark)
     from onlineview.plans import catalog, job, roles
     from onlineview.session import scratch_path
 

@@ -64,14 +64,17 @@ def count_check(expected: DataFrame, stored: DataFrame) -> DataFrame:
              .withColumn("ok", F.col("expected") == F.col("stored")))
 
 
+def _draw(salt: str) -> Column:
+    return F.md5(F.concat(F.lit(salt), F.col(KEY)))
+
+
 def sample_keys(df: DataFrame, n: int, salt: str = "") -> DataFrame:
     """Deterministic pseudo-random sample of ``n`` keys: order by md5(salt+key), key.
 
     A top-n per task then one merge of at most n rows per task; the sample
     size is the feature, not a cost cap.
     """
-    order = F.md5(F.concat(F.lit(salt), F.col(KEY)))
-    return df.select(KEY).orderBy(order, F.col(KEY)).limit(n)
+    return df.select(KEY).orderBy(_draw(salt), F.col(KEY)).limit(n)
 
 
 def sampled_diff(expected: DataFrame, stored: DataFrame, n: int, salt: str = "",
@@ -110,24 +113,30 @@ class Report:
         return self.count_ok and bad == 0 and self.sample_mismatches == 0
 
     def lines(self) -> list[str]:
-        pf = lambda b: "PASS" if b else "FAIL"
+        verdict = lambda b: "ok" if b else "MISMATCH"
         return [
-            f"{pf(self.count_ok)} key count: expected={self.expected} stored={self.stored}",
-            f"{pf(self.sample_mismatches == 0)} sample content: "
-            f"{self.sample_size - self.sample_mismatches}/{self.sample_size} keys match",
-            "full diff: " + ", ".join(f"{s}={self.counts.get(s, 0)}" for s in STATUSES),
+            f"keys: {self.expected} in the snapshot, {self.stored} stored: {verdict(self.count_ok)}",
+            f"read-back of {self.sample_size} keys, {self.sample_mismatches} differ: {verdict(self.sample_mismatches == 0)}",
+            "all keys by status: " + ", ".join(f"{s} {self.counts.get(s, 0)}" for s in STATUSES),
         ]
 
 
 def report(expected: DataFrame, stored: DataFrame, sample: int = 25, strict: bool = True,
            salt: str = "") -> Report:
-    """Count check + sampled check + full diff, reduced to a handful of numbers."""
-    d = diff(expected, stored, strict)
-    counts = {r["status"]: r["keys"] for r in summary(d).collect()}
+    """Count check, full diff and sampled check, reduced to a handful of numbers.
+
+    The sample is drawn from the diff itself, so expected and stored records are
+    compared once; the diff is kept for both uses and recomputed if lost.
+    """
+    d = diff(expected, stored, strict).select(KEY, "status", "n_mismatched").persist()
+    try:
+        counts = {r["status"]: r["keys"] for r in summary(d).collect()}
+        drawn = d.filter(F.col("status") != "extra").orderBy(_draw(salt), F.col(KEY)).limit(sample)
+        srow = drawn.agg(F.count("*").alias("n"), F.count_if(F.col("status") != "same").alias("bad")).first()
+    finally:
+        d.unpersist()
     exp_n = sum(counts.get(s, 0) for s in ("missing", "changed", "same"))
     got_n = sum(counts.get(s, 0) for s in ("extra", "changed", "same"))
-    sd = sampled_diff(expected, stored, sample, salt, strict)
-    srow = sd.agg(F.count("*").alias("n"), F.count_if(F.col("status") != "same").alias("bad")).first()
     return Report(exp_n, got_n, counts, int(srow["n"]), int(srow["bad"]))
 
 

@@ -63,11 +63,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder, creating a local one only if unset.
+    """Return the cluster's shared checkpoint folder, creating a local one only for a local master.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS, object
-    store); we never substitute a machine-local path there. Only when nothing
-    is configured (tests, laptops) do we pick a fresh temporary directory.
+    On a cluster ``spark.checkpoint.dir`` must name a shared folder (HDFS, object
+    store): a machine-local one would be a different folder on every executor.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -75,6 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="onlineview-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
@@ -85,3 +86,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/onlineview/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors of a session in which it is not installed.
+
+    The Python data source and batch functions are unpickled on the workers by module name. Once per application.
+    """
+    import shutil
+    import sys
+
+    sc = spark.sparkContext
+    if getattr(sc, "_onlineview_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="onlineview-src-")
+    stage = os.path.join(folder, "src")
+    skip = shutil.ignore_patterns("__pycache__", "*.pyc")
+    shutil.copytree(os.path.join(top, "onlineview"), os.path.join(stage, "onlineview"), ignore=skip)
+    before = list(sys.path)
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "onlineview_src"), "zip", stage))
+    sys.path[:] = before  # the driver goes on using what it has imported
+    shutil.rmtree(stage)
+    sc._onlineview_shipped = True

@@ -1,21 +1,19 @@
 """Key-value sink: a PySpark Python Data Source that writes online records.
 
 Each write task opens ONE client connection (so connections = write tasks;
-cap them with ``partitions``), buffers commands and flushes every
-``batch_size`` commands, non-transactionally, like a pipelined key-value
+cap them with ``partitions``), takes Arrow batches and flushes the commands of every
+``batch_size`` records, non-transactionally, like a pipelined key-value
 client. Per-key commands are idempotent upserts, so a retried task is harmless;
 the written-record counter comes from the commit messages of *successful*
 task attempts, never from side effects, so it is exact under retries.
 
-The client is pluggable: option ``client`` names ``module:factory``; the
-factory gets the option ``url`` and returns an object with
-``write_batch(commands)`` and ``close()``. Commands are tuples
-``("hset", key, {field: text})``, ``("json_set", key, doc)``,
+The client is pluggable: ``client`` names ``module:factory``; the factory gets the
+option ``url`` and returns an object with ``write_batch(commands)`` and ``close()``.
+Commands are tuples ``("hset", key, {field: text})``, ``("json_set", key, doc)``,
 ``("expire", key, seconds)`` and ``("del", key)``.
 
-``FileStoreClient`` is the built-in client: an append-only command log on any
-path every executor can reach (one JSON-lines file per flush), which
-``read_file_store`` folds back into the current key-value state with Spark.
+Reading back is pluggable too: ``reader`` names ``module:function``, called as
+``function(spark, url)``, which returns a DataFrame of (key, fields) or (key, doc).
 """
 
 from __future__ import annotations
@@ -23,58 +21,25 @@ from __future__ import annotations
 import importlib
 import json
 import os
-import time
-import uuid
+import tempfile
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from ..operators.encode import DOC, FIELDS, KEY
+from ..contract import Contract
+from ..operators.encode import DOC, FIELDS, KEY, doc_column, fields_column
 
 FORMAT = "onlineview-kv"
+#: Records whose commands are flushed together.
 DEFAULT_BATCH = 500
-DEFAULT_CLIENT = "onlineview.sinks.kv:FileStoreClient"
-
-
-# ------------------------------------------------------------------ clients
-class FileStoreClient:
-    """Command log client: each flush appends one file ``batches/<conn>-<seq>.jsonl``."""
-
-    def __init__(self, url: str):
-        self.dir = os.path.join(url, "batches")
-        os.makedirs(self.dir, exist_ok=True)
-        self.conn = uuid.uuid4().hex[:16]
-        self.seq = 0
-
-    def write_batch(self, commands: list[tuple]) -> None:
-        if not commands:
-            return
-        ts = time.time_ns()
-        path = os.path.join(self.dir, f"{self.conn}-{self.seq:06d}.jsonl")
-        tmp = path + ".tmp"
-        with open(tmp, "w") as fh:
-            for i, cmd in enumerate(commands):
-                op, key = cmd[0], cmd[1]
-                rec = {"ts": ts, "conn": self.conn, "seq": self.seq, "i": i, "op": op, "key": key}
-                if op == "hset":
-                    rec["fields"] = cmd[2]
-                elif op == "json_set":
-                    rec["doc"] = cmd[2]
-                elif op == "expire":
-                    rec["ttl"] = int(cmd[2])
-                fh.write(json.dumps(rec) + "\n")
-        os.replace(tmp, path)  # a flush is visible whole or not at all
-        self.seq += 1
-
-    def close(self) -> None:
-        pass
-
-
-def load_client(spec: str, url: str):
+
+
+def load(spec: str):
+    """The object that ``module:attribute`` names."""
     mod, _, attr = spec.partition(":")
-    return getattr(importlib.import_module(mod), attr)(url)
+    return getattr(importlib.import_module(mod), attr)
 
 
 # -------------------------------------------------------------- data source
@@ -85,52 +50,57 @@ class KVCommit(WriterCommitMessage):
     flushes: int
 
 
-class KVWriter(DataSourceWriter):
+class KVWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
-        self.client_spec = options.get("client", DEFAULT_CLIENT)
+        self.client_spec = options["client"]
         self.url = options["url"]
         self.batch = int(options.get("batch_size", DEFAULT_BATCH))
         self.ttl = int(options.get("ttl_seconds", 0))
         self.target = options.get("target", "hash")
-        self.summary = options.get("summary_path")
+        self.summary = options["summary"]
+
+    def commands(self, keys, payloads):
+        """Commands of some records, and how many records they are for; a record without payload is a deletion."""
+        out = []
+        for key, value in zip(keys, payloads):
+            if value is None:
+                out.append(("del", key))
+                continue
+            out.append(("json_set", key, value) if self.target == "json" else ("hset", key, dict(value)))
+            if self.ttl > 0:
+                out.append(("expire", key, self.ttl))
+        return out
 
     def write(self, iterator):
-        client = load_client(self.client_spec, self.url)
-        buf, records, commands, flushes = [], 0, 0, 0
+        client = load(self.client_spec)(self.url)
+        keys, payloads = [], []
+        records = commands = flushes = 0
+
+        def flush(n):
+            nonlocal records, commands, flushes
+            cmds = self.commands(keys[:n], payloads[:n])
+            client.write_batch(cmds)
+            records, commands, flushes = records + n, commands + len(cmds), flushes + 1
+            del keys[:n], payloads[:n]
+
         try:
-            for row in iterator:
-                key = row[KEY]
-                if row["op"] == "del":
-                    buf.append(("del", key))
-                elif self.target == "json":
-                    buf.append(("json_set", key, row[DOC]))
-                else:
-                    buf.append(("hset", key, dict(row[FIELDS] or {})))
-                if self.ttl > 0 and row["op"] != "del":
-                    buf.append(("expire", key, self.ttl))
-                records += 1
-                if len(buf) >= self.batch:
-                    client.write_batch(buf)
-                    commands += len(buf)
-                    flushes += 1
-                    buf = []
-            if buf:
-                client.write_batch(buf)
-                commands += len(buf)
-                flushes += 1
+            for b in iterator:
+                keys += b.column(KEY).to_pylist()
+                payloads += b.column("payload").to_pylist()
+                while len(keys) >= self.batch:
+                    flush(self.batch)
+            if keys:
+                flush(len(keys))
         finally:
             client.close()
         return KVCommit(records, commands, flushes)
 
     def commit(self, messages):
-        if self.summary:
-            total = {"records": sum(m.records for m in messages if m),
-                     "commands": sum(m.commands for m in messages if m),
-                     "flushes": sum(m.flushes for m in messages if m),
-                     "tasks": sum(1 for m in messages if m)}
-            os.makedirs(os.path.dirname(self.summary), exist_ok=True)
-            with open(self.summary, "w") as fh:
-                json.dump(total, fh)
+        # runs in a helper process of the driver; the file hands the totals to the driver itself
+        done = [m for m in messages if m]
+        with open(self.summary, "w") as fh:
+            json.dump({"records": sum(m.records for m in done), "commands": sum(m.commands for m in done),
+                       "flushes": sum(m.flushes for m in done), "tasks": len(done)}, fh)
 
 
 class KVDataSource(DataSource):
@@ -139,7 +109,8 @@ class KVDataSource(DataSource):
         return FORMAT
 
     def schema(self):
-        return f"{KEY} string, {FIELDS} map<string,string>, {DOC} string, op string"
+        kind = "string" if self.options.get("target") == "json" else "map<string,string>"
+        return f"{KEY} string, payload {kind}"
 
     def writer(self, schema, overwrite):
         return KVWriter(dict(self.options))
@@ -150,63 +121,37 @@ def register(spark: SparkSession) -> None:
 
 
 # ------------------------------------------------------------------- write
-def write_kv(spark: SparkSession, recs: DataFrame, url: str, *, deletes: DataFrame | None = None,
-             client: str = DEFAULT_CLIENT, batch_size: int = DEFAULT_BATCH, ttl_seconds: int = 0,
-             target: str = "hash", partitions: int | None = None, summary_path: str | None = None) -> None:
-    """Write (key, fields[, doc]) records, plus optional key deletions, to a key-value store.
+def payload(df: DataFrame, c: Contract, target: str = "hash", mode: str = "contract", keep_metadata: bool = False,
+            exact_floats: bool = True) -> Column:
+    """The one column that a target needs: the JSON document, or the hash fields."""
+    if target == "json":
+        return doc_column(df, c, mode, keep_metadata).alias(DOC)
+    return fields_column(df, c, mode, keep_metadata, exact_floats).alias(FIELDS)
+
+
+def write_kv(spark: SparkSession, recs: DataFrame, url: str, *, client: str, deletes: DataFrame | None = None,
+             batch_size: int = DEFAULT_BATCH, ttl_seconds: int = 0, target: str = "hash",
+             partitions: int | None = None) -> dict:
+    """Write (key, fields) or (key, doc) records, plus optional key deletions, to a key-value store.
 
     ``partitions`` fixes the number of write tasks = concurrent connections
-    (hash of key, so each key is written by exactly one task).
+    (hash of key, so each key is written by exactly one task). Returns the records,
+    commands, flushes and tasks of the successful attempts.
     """
     register(spark)
-    out = recs.select(F.col(KEY), F.col(FIELDS),
-                      (F.col(DOC) if DOC in recs.columns else F.lit(None).cast("string")).alias(DOC),
-                      F.lit("set").alias("op"))
+    value, kind = (DOC, "string") if target == "json" else (FIELDS, "map<string,string>")
+    out = recs.select(F.col(KEY), F.col(value).alias("payload"))
     if deletes is not None:
-        out = out.unionByName(deletes.select(F.col(KEY), F.lit(None).cast("map<string,string>").alias(FIELDS),
-                                             F.lit(None).cast("string").alias(DOC), F.lit("del").alias("op")))
+        out = out.unionByName(deletes.select(F.col(KEY), F.lit(None).cast(kind).alias("payload")))
     if partitions:
         out = out.repartition(partitions, KEY)
-    w = (out.write.format(FORMAT).mode("append")
-         .option("url", url).option("client", client).option("batch_size", str(batch_size))
-         .option("ttl_seconds", str(ttl_seconds)).option("target", target))
-    if summary_path:
-        w = w.option("summary_path", summary_path)
-    w.save()
-
-
-def read_write_summary(path: str) -> dict:
-    with open(path) as fh:
-        return json.load(fh)
-
-
-# ------------------------------------------------------ read the file store
-LOG_SCHEMA = ("ts long, conn string, seq long, i long, op string, key string, "
-              "fields map<string,string>, doc string, ttl long")
-
-
-def read_file_store(spark: SparkSession, url: str, *, clock_ns: int | None = None) -> DataFrame:
-    """Current state of a ``FileStoreClient`` store as (key, fields, doc, expires_ns).
-
-    Hash semantics: a ``del`` clears the key; later ``hset`` commands merge
-    field by field (newest value per field wins); ``expire`` sets a deadline
-    from its own time. Keys whose deadline passed ``clock_ns`` are absent.
-    """
-    log = spark.read.schema(LOG_SCHEMA).json(os.path.join(url, "batches", "*.jsonl"))
-    order = [F.col("ts"), F.col("conn"), F.col("seq"), F.col("i")]
-    pos = F.struct(*order)
-    last_del = log.filter("op = 'del'").groupBy(KEY).agg(F.max(pos).alias("del_pos"))
-    live = log.join(last_del, KEY, "left").filter(F.col("del_pos").isNull() | (pos > F.col("del_pos")))
-    per_field = (live.filter("op = 'hset'").select(KEY, pos.alias("p"), F.explode(FIELDS).alias("f", "v"))
-                 .groupBy(KEY, "f").agg(F.max_by("v", "p").alias("v")))
-    fields = per_field.groupBy(KEY).agg(F.map_from_entries(F.collect_list(F.struct("f", "v"))).alias(FIELDS))
-    w = Window.partitionBy(KEY)
-    docs = (live.filter("op = 'json_set'").withColumn("rk", F.row_number().over(w.orderBy(pos.desc())))
-            .filter("rk = 1").select(KEY, DOC))
-    exp = (live.filter("op = 'expire'").groupBy(KEY)
-           .agg(F.max_by(F.col("ts") + F.col("ttl") * 1_000_000_000, pos).alias("expires_ns")))
-    keys = live.filter("op in ('hset', 'json_set')").select(KEY).distinct()
-    out = keys.join(fields, KEY, "left").join(docs, KEY, "left").join(exp, KEY, "left")
-    if clock_ns is not None:
-        out = out.filter(F.col("expires_ns").isNull() | (F.col("expires_ns") > F.lit(clock_ns)))
-    return out
+    handle, summary = tempfile.mkstemp(prefix="onlineview-kv-", suffix=".json")
+    os.close(handle)
+    try:
+        (out.write.format(FORMAT).mode("append")
+            .option("url", url).option("client", client).option("batch_size", str(batch_size))
+            .option("ttl_seconds", str(ttl_seconds)).option("target", target).option("summary", summary).save())
+        with open(summary) as fh:
+            return json.load(fh)
+    finally:
+        os.unlink(summary)

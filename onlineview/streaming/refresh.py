@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..contract import Contract
 from ..operators import snapshot as S
 from ..operators.encode import KEY, online_key
+from ..sinks import kv as KV
 from ..sinks import online_table as OT
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -48,37 +49,65 @@ def latest_stream(stream: DataFrame, c: Contract) -> DataFrame:
     return S.latest_by_max_by(stream, c, drop_tombstones=False)
 
 
+def _split(batch: DataFrame, c: Contract) -> tuple[DataFrame, DataFrame]:
+    """Live rows of a batch of changed entities, and the keys of deleted ones."""
+    pred = S.not_deleted(c, batch)
+    live = batch if pred is None else batch.filter(pred)
+    gone = batch.limit(0) if pred is None else batch.filter(~pred)
+    return live, gone.select(online_key(c).alias(KEY))
+
+
 def changes_to_online(spark: SparkSession, root: str, c: Contract, *, ttl_anchor: str = "write",
-                      mode: str = "contract") -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: upsert live entities, delete tombstoned ones."""
+                      mode: str = "contract", buckets: int = OT.DEFAULT_BUCKETS) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function for the online table: upsert live entities, delete tombstoned ones.
+
+    Only the buckets that the batch touches are rewritten.
+    """
+    def apply(batch: DataFrame, epoch_id: int) -> None:
+        # the micro-batch is read several times (buckets, live, deleted): keep it instead of recomputing
+        batch = batch.persist()
+        try:
+            live, deleted = _split(batch, c)
+            OT.apply_changes(batch.sparkSession, root, c, OT.records(live, c, mode=mode, ttl_anchor=ttl_anchor),
+                             deleted, buckets=buckets)
+        finally:
+            batch.unpersist()
+    return apply
+
+
+def changes_to_kv(url: str, c: Contract, *, client: str, mode: str = "contract", target: str = "hash",
+                  partitions: int | None = None, batch_size: int = KV.DEFAULT_BATCH) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function for a key-value store: the same changes as key writes and deletions.
+
+    Writes are idempotent, so a replayed batch is harmless.
+    """
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        # the micro-batch is read twice (live + deleted): keep it instead of recomputing
         batch = batch.persist()
         try:
-            live_pred = S.not_deleted(c, batch)
-            live = batch if live_pred is None else batch.filter(live_pred)
-            gone = batch.limit(0) if live_pred is None else batch.filter(~live_pred)
-            recs = OT.records(live, c, mode=mode, ttl_anchor=ttl_anchor)
-            deleted = gone.select(online_key(c).alias(KEY))
-            OT.apply_changes(batch.sparkSession, root, c, recs, deleted)
+            live, deleted = _split(batch, c)
+            recs = live.select(online_key(c).alias(KEY), KV.payload(live, c, target, mode))
+            KV.write_kv(batch.sparkSession, recs, url, deletes=deleted, client=client, target=target,
+                        ttl_seconds=c.ttl_seconds, partitions=partitions, batch_size=batch_size)
         finally:
             batch.unpersist()
     return apply
 
 
-def refresh(spark: SparkSession, source: str, schema: T.StructType, c: Contract, online_root: str,
+def refresh(spark: SparkSession, source: str, schema: T.StructType, c: Contract, online_root: str | None,
             checkpoint: str, *, adapter: Callable[[DataFrame], DataFrame] | None = None,
+            sink: Callable[[DataFrame, int], None] | None = None,
             max_files_per_trigger: int | None = None, available_now: bool = True,
             processing_time: str | None = None) -> StreamingQuery:
     """Start the refresh stream. ``available_now`` processes what is there and stops
-    (a scheduled refresh); otherwise it runs every ``processing_time``."""
+    (a scheduled refresh); otherwise it runs every ``processing_time``. Changes go to the
+    online table, or to ``sink`` (see :func:`changes_to_kv`)."""
     stream = history_stream(spark, source, schema, max_files_per_trigger=max_files_per_trigger)
     if adapter is not None:
         stream = adapter(stream)
     w = (latest_stream(stream, c).writeStream
          .outputMode("update")
          .option("checkpointLocation", checkpoint)
-         .foreachBatch(changes_to_online(spark, online_root, c)))
+         .foreachBatch(sink or changes_to_online(spark, online_root, c)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start()
 

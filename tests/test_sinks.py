@@ -17,6 +17,7 @@ from onlineview.plans import roles as R
 from onlineview.sinks import export as EX
 from onlineview.sinks import kv as KV
 from onlineview.sinks import online_table as OT
+from onlineview.sources.history import read_history
 
 C = Contract.from_dict({
     "feature_group": "g", "entity_column": "id", "event_time_column": "t", "key_prefix": "fs:g",
@@ -86,34 +87,110 @@ def test_export_refuses_non_empty_target(spark, tmp_path):
     assert EX.read_snapshot(spark, path).count() == 1
 
 
-def test_kv_sink_batches_connections_and_counts(spark, tmp_path):
+CLIENT = "kv_log:LogClient"
+
+
+@pytest.fixture
+def kv(spark):
+    import kv_log
+    spark.sparkContext.addPyFile(kv_log.__file__)
+    return kv_log
+
+
+def test_kv_sink_batches_connections_and_counts(spark, tmp_path, kv):
     url = str(tmp_path / "kv")
     recs = spark.range(1234).select(F.concat(F.lit("fs:g:"), F.col("id").cast("string")).alias("key"),
                                     F.create_map(F.lit("x"), F.col("id").cast("string")).alias("fields"))
-    summary = str(tmp_path / "summary.json")
-    KV.write_kv(spark, recs, url, batch_size=100, partitions=4, ttl_seconds=60, summary_path=summary)
-    files = os.listdir(os.path.join(url, "batches"))
-    conns = {f.split("-")[0] for f in files}
-    assert len(conns) <= 4
-    s = KV.read_write_summary(summary)
-    assert s["records"] == 1234 and s["commands"] == 2468
-    assert s["flushes"] == len(files)
-    state = KV.read_file_store(spark, url)
-    assert state.count() == 1234
-    assert state.filter("expires_ns is null").count() == 0
-
-
-def test_kv_hash_merge_and_delete(spark, tmp_path):
+    s = KV.write_kv(spark, recs, url, client=CLIENT, batch_size=100, partitions=4, ttl_seconds=60)
+    batches = kv.commands(url)
+    assert len({f.split("-")[0] for f in os.listdir(url)}) <= 4
+    assert s["records"] == 1234 and s["commands"] == 2468 and s["flushes"] == len(batches)
+    assert max(map(len, batches)) == 200  # 100 records, each with its deadline
+    assert sum(c[0] == "expire" for b in batches for c in b) == 1234
+    assert len(kv.state(url)) == 1234
+
+
+def test_kv_hash_merge_and_delete(spark, tmp_path, kv):
     url = str(tmp_path / "kv")
     m = lambda d: F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v))])
     one = spark.range(1).select(F.lit("k1").alias("key"), m({"a": "1", "b": "2"}).alias("fields"))
-    KV.write_kv(spark, one, url)
+    KV.write_kv(spark, one, url, client=CLIENT)
     two = spark.range(1).select(F.lit("k1").alias("key"), m({"a": "9"}).alias("fields"))
-    KV.write_kv(spark, two, url, deletes=spark.range(1).select(F.lit("k2").alias("key")))
-    got = {r["key"]: r["fields"] for r in KV.read_file_store(spark, url).collect()}
-    assert got == {"k1": {"a": "9", "b": "2"}}
-    KV.write_kv(spark, two.limit(0), url, deletes=spark.range(1).select(F.lit("k1").alias("key")))
-    assert KV.read_file_store(spark, url).count() == 0
+    KV.write_kv(spark, two, url, client=CLIENT, deletes=spark.range(1).select(F.lit("k2").alias("key")))
+    assert kv.state(url) == {"k1": {"a": "9", "b": "2"}}
+    KV.write_kv(spark, two.limit(0), url, client=CLIENT, deletes=spark.range(1).select(F.lit("k1").alias("key")))
+    assert kv.state(url) == {}
+
+
+def test_stream_into_kv(spark, tmp_path, kv):
+    from onlineview.streaming import refresh as RF
+    src, url = str(tmp_path / "src"), str(tmp_path / "kv")
+    c = C.with_(deleted_column="is_deleted", ttl_seconds=60)
+    spark.createDataFrame([("a", T1, 1.0, False), ("b", T1, 2.0, False)], SCHEMA).write.parquet(src + "/f1")
+    for k, rows in enumerate(([], [("b", T2, 2.0, True), ("a", datetime(2023, 1, 1), 9.0, False)])):
+        if rows:
+            spark.createDataFrame(rows, SCHEMA).write.parquet(src + "/f2")
+        RF.refresh(spark, src + "/*", spark.createDataFrame([], SCHEMA).schema, c, None, str(tmp_path / "ck"),
+                   sink=RF.changes_to_kv(url, c, client=CLIENT)).awaitTermination()
+    assert {k: v["x"] for k, v in kv.state(url).items()} == {"fs:g:a": "1.0"}
+
+
+def test_empty_result_removes_everything(spark, tmp_path):
+    root = str(tmp_path / "online")
+    write(spark, root, [("a", T1, 1.0, False), ("b", T1, 2.0, False)], "replace")
+    write(spark, root, [("a", T2, 1.0, True), ("b", T2, 2.0, True)], "replace")
+    assert store_fields(spark, root) == {}
+    write(spark, root, [("a", T1, 1.0, False)], "replace")
+    none = OT.records(spark.createDataFrame([], SCHEMA), C)
+    OT.apply_changes(spark, root, C, none, spark.createDataFrame([("fs:g:a",)], "key string"))
+    assert store_fields(spark, root) == {}
+    OT.apply_changes(spark, root, C, none, spark.createDataFrame([], "key string"))
+    assert store_fields(spark, root) == {}
+
+
+def test_only_touched_buckets_are_rewritten_and_old_files_go(spark, tmp_path):
+    root = str(tmp_path / "online")
+    snap = spark.range(500).select(F.col("id").cast("string").alias("id"), F.lit(T1).alias("t"), F.lit(1.0).alias("x"))
+    OT.write_online(spark, OT.records(snap, C), root, C, buckets=8)
+    one = snap.filter("id = '7'").withColumn("x", F.lit(2.0))
+    for _ in range(4):
+        OT.apply_changes(spark, root, C, OT.records(one, C), spark.createDataFrame([], "key string"))
+    version, at = OT._current(spark, root, "g")["g"]
+    assert version == 5 and sorted(at.values()) == [1] * 7 + [5]
+    assert sorted(os.listdir(root + "/data/feature_group=g")) == ["version=1", "version=4", "version=5"]
+    assert OT.read_online(spark, root, "g").count() == 500
+    got = OT.read_online(spark, root, "g", key="fs:g:7")
+    assert got.first()["fields"]["x"] == "2.0" and len({os.path.dirname(f) for f in got.inputFiles()}) == 1
+
+
+def test_failed_write_leaves_the_old_version(spark, tmp_path):
+    root = str(tmp_path / "online")
+    write(spark, root, [("a", T1, 1.0, False)], "replace")
+    bad = OT.records(spark.createDataFrame([("b", T1, 1.0, False)], SCHEMA), C).withColumn(
+        "doc", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception):
+        OT.write_online(spark, bad, root, C)
+    assert list(store_fields(spark, root)) == ["fs:g:a"]
+    write(spark, root, [("b", T1, 1.0, False)], "merge")
+    assert sorted(store_fields(spark, root)) == ["fs:g:a", "fs:g:b"]
+
+
+def test_merge_ignores_expired_records(spark, tmp_path):
+    root = str(tmp_path / "online")
+    c = C.with_(ttl_seconds=60)
+    old = spark.createDataFrame([("a", T1, 1.0, False), ("z", T1, 1.0, False)], SCHEMA)
+    OT.write_online(spark, OT.records(old, c, ttl_anchor="event"), root, c)
+    new = spark.createDataFrame([("a", T2, None, False)], SCHEMA)
+    OT.write_online(spark, OT.records(new, C), root, C, mode="merge")
+    assert store_fields(spark, root) == {"fs:g:a": {"id": "a", "t": "2024-01-02T00:00:00+00:00"}}
+    OT.write_online(spark, OT.records(old, c, ttl_anchor="event"), root, c)
+    OT.apply_changes(spark, root, C, OT.records(new, C), spark.createDataFrame([], "key string"))
+    assert list(store_fields(spark, root)) == ["fs:g:a"]
+
+
+def test_reading_where_nothing_was_written_is_an_error(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        OT.read_online(spark, str(tmp_path / "none"), "g")
 
 
 def test_reconcile_detects_planted_faults(spark, tmp_path):
@@ -152,8 +229,60 @@ def test_job_end_to_end_kv_and_contract_file(spark, tmp_path):
     cpath.write_text(json.dumps(R.EVENTS.to_dict()))
     from onlineview.sources.history import load_contract
     c = load_contract(spark, str(cpath))
-    res = J.materialize(spark, src, c, kv_url=str(tmp_path / "kv"), partitions=3, batch_size=50)
+    import kv_log
+    spark.sparkContext.addPyFile(kv_log.__file__)
+    url = str(tmp_path / "kv")
+    res = J.materialize(spark, src, c, kv_url=url, kv_client="kv_log:LogClient", kv_reader="kv_log:read",
+                        partitions=3, batch_size=50)
+    assert res.ok and res.report.ok and res.live == res.written == 120
+    with pytest.raises(ValueError):
+        J.materialize(spark, src, c, kv_url=url)
+
+
+def test_job_sets_rows_without_id_aside(spark, tmp_path):
+    src = str(tmp_path / "hist")
+    rows = [("a", T1, 1.0, False), (None, T2, 2.0, False), ("b", T1, 3.0, False)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(src)
+    for c in (C, C.with_(event_time_column="")):
+        res = J.materialize(spark, src, c, online_root=str(tmp_path / "online"))
+        assert res.ok and (res.raw_records, res.quarantined, res.live, res.written) == (3, 1, 2, 2)
+
+
+def test_job_prunes_and_exports_ready_snapshots(spark, tmp_path):
+    src, exp = str(tmp_path / "hist"), str(tmp_path / "exp")
+    R.events(spark, SF).write.parquet(src)
+    needed = J._needed(read_history(spark, src), R.EVENTS, "contract", False, False)
+    assert "props" not in needed.columns and {"user_id", "ts", "event_id", "is_deleted", "value"} <= set(needed.columns)
+    J.materialize(spark, src, R.EVENTS, online_root=str(tmp_path / "a"), export_path=exp)
+    res = J.materialize(spark, exp, R.EVENTS, online_root=str(tmp_path / "b"), ready_snapshot=True, recursive=True)
     assert res.ok and res.live == 120
+    one, two = (store_fields(spark, str(tmp_path / x), "events") for x in "ab")
+    assert one == two
+    spark.table(f"parquet.`{src}`").createOrReplaceTempView("hist_view")
+    assert J.materialize(spark, None, R.EVENTS, table="hist_view", online_root=str(tmp_path / "c")).live == 120
+
+
+def test_empty_source_exits_2(tmp_path, spark):
+    args = ["--source", str(tmp_path / "nothing"), "--contract", json.dumps(C.to_dict()), "--online-root", str(tmp_path / "o")]
+    assert J.main(args) == 2
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    from onlineview import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(lambda: Conf())
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
 
 
 def test_job_json_target_and_export(spark, tmp_path):
