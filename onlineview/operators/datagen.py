@@ -2,12 +2,10 @@
 
 Every entity of the input gets 1-3 versions in distinct hours of a 3-hour
 span; a hash-chosen share of entities additionally gets a tombstone that is
-always its newest version (minutes 45-59 of the last hour; live versions use
-minutes 0-44). All randomness is a hash of (salt, entity, version, field), so
-the output does not depend on partitioning, task order or retries.
-
-Rules that decide counts (versions per entity, tombstoned or not) use md5, so
-the same numbers can be recomputed in plain SQL.
+always its newest version (the last ten minutes of the last hour; live versions
+use the minutes before). All randomness is an md5 of (salt, entity, version, field), so
+the output does not depend on partitioning, task order or retries, and the same
+values can be recomputed in plain SQL.
 """
 
 from __future__ import annotations
@@ -22,7 +20,8 @@ from ..contract import Contract
 # Fixed values of the generated schema (feature names, segments, ranges).
 SEGMENTS = ["retail", "premium", "private", "digital"]
 HOURS = 3
-DEFAULT_BASE = datetime(2026, 8, 19, 12, 0, 0)
+DEFAULT_BASE = datetime(2025, 3, 10, 6, 0, 0)
+LIVE_MINUTES = 50
 
 GENERATED_CONTRACT = Contract.from_dict({
     "feature_group": "customer-features",
@@ -49,24 +48,29 @@ def md5_int(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat(*[p.cast("string") for p in parts])), 1, 8), 16, 10).cast("long")
 
 
-def unit(*parts: Column) -> Column:
-    """Uniform [0,1) from xxhash64 (cheaper; for values that need no SQL twin)."""
-    return F.pmod(F.xxhash64(*parts), F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30))
-
-
 def entity_ids(entities: DataFrame, id_column: str) -> DataFrame:
     """``C000042``-style ids from an integer key column."""
     return entities.select(F.format_string("C%06d", F.col(id_column)).alias("customer_id"))
 
 
 def generate_history(entities: DataFrame, id_column: str, *, tombstone_share: float = 0.03,
-                     salt: str = "42", base: datetime = DEFAULT_BASE) -> DataFrame:
-    """History rows for every entity of ``entities`` (narrow: no shuffle)."""
+                     tombstones: int | None = None, salt: str = "42", base: datetime = DEFAULT_BASE) -> DataFrame:
+    """History rows for every entity of ``entities``.
+
+    A share of the entities is tombstoned (narrow: no shuffle), or exactly ``tombstones`` of them: those
+    with the smallest hashes.
+    """
     s = F.lit(salt)
     ids = entity_ids(entities, id_column)
     cid = F.col("customer_id")
     n_versions = (F.pmod(md5_int(s, F.lit("v"), cid), F.lit(3)) + 1).cast("int")
-    tomb = md5_unit(s, F.lit("d"), cid) < F.lit(tombstone_share)
+    draw = md5_unit(s, F.lit("d"), cid)
+    if tombstones is None:
+        tomb = draw < F.lit(tombstone_share)
+    else:
+        chosen = ids.distinct().orderBy(draw, cid).limit(tombstones).withColumn("chosen", F.lit(True))
+        ids = ids.join(chosen, "customer_id", "left")
+        tomb = F.col("chosen").isNotNull()
     # hours without replacement: rotate [0,1,2] by a hash and keep the first n
     rot = F.pmod(md5_int(s, F.lit("h"), cid), F.lit(3)).cast("int")
     per_entity = ids.select(cid, n_versions.alias("n"), tomb.alias("tomb"), rot.alias("rot"))
@@ -82,12 +86,12 @@ def generate_history(entities: DataFrame, id_column: str, *, tombstone_share: fl
     v = F.col("v")
 
     def u(name: str) -> Column:
-        return unit(s, cid, v, F.lit(name))
+        return md5_unit(s, cid, v, F.lit(name))
 
-    minute = F.when(F.col("is_deleted"), 45 + F.floor(u("m") * 15)).otherwise(F.floor(u("m") * 45))
+    minute = F.when(F.col("is_deleted"), LIVE_MINUTES + F.floor(u("m") * (60 - LIVE_MINUTES))).otherwise(F.floor(u("m") * LIVE_MINUTES))
     secs = F.floor(u("s") * 60)
     millis = F.floor(u("ms") * 1000)
-    event = (F.to_timestamp(F.lit(base.strftime("%Y-%m-%d %H:%M:%S")))
+    event = (F.lit(base.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
              + F.make_dt_interval(hours=F.col("hour_idx").cast("int"), mins=minute.cast("int"),
                                   secs=(secs + millis / 1000).cast("decimal(8,3)")))
     write = event + F.make_dt_interval(mins=(5 + F.floor(u("w") * 10)).cast("int"))

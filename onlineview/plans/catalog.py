@@ -29,7 +29,10 @@ SAMPLE = 25
 POINT_KEY = "fs:events:7"
 GEN_SALT = "42"
 GEN_TOMBSTONE_SHARE = 0.03
-STREAM_FILES = 5
+STREAM_SLICES = 4
+#: Factors that move ordinary values out of the range where the JVM's shortest text is exact.
+DOUBLE_SCALES = [2.0 ** -44, 2.0 ** 60, 1e-300, 1.0, 1e17 / 3]
+HOURLY_LATENESS_MINUTES = 15
 
 
 # ----------------------------------------------------------------- snapshots
@@ -118,7 +121,47 @@ def json_docs(spark, sf):
 
 def event_time_iso(spark, sf):
     from ..functions.text import iso_millis_z
-    return R.table(spark, sf, "events").select("event_id", iso_millis_z("ts").alias("event_time"))
+    ev = R.table(spark, sf, "events")
+    return ev.select("event_id", iso_millis_z("ts", ev.schema["ts"].dataType).alias("event_time"))
+
+
+def double_text(spark, sf):
+    """Values far outside the JVM's exact range: scaled by powers of two, and large primes."""
+    from ..functions.text import py_float_text_exact
+    ev = R.table(spark, sf, "events")
+    scaled = F.array(*[(F.col("value") * F.lit(float(k))).alias(f"s{i}") for i, k in enumerate(DOUBLE_SCALES)])
+    return (ev.select("event_id", F.posexplode(scaled).alias("scale", "v"))
+            .select("event_id", "scale", py_float_text_exact("v").alias("text")))
+
+
+def feature_named_hour(spark, sf):
+    """A contract feature and a plain column that share names with partition columns stay in both modes."""
+    ev = R.events(spark, sf).withColumn("hour", F.col("event_id") % 24).withColumn("day", F.col("event_id") % 31)
+    c = R.EVENTS.with_(features=(*R.EVENTS.features, ("hour", "NUMERIC")))
+    snap = S.drop_partition_columns(S.latest(ev, c), c)
+    return ENC.long_fields(snap.drop("props"), c, mode="all").filter(F.col("field").isin("hour", "day"))
+
+
+def _tied_orders(spark, sf):
+    od = R.orders(spark, sf).withColumn("o_orderdate", F.date_trunc("month", "o_orderdate").cast("timestamp_ntz"))
+    return od.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority", "is_deleted"), R.ORDERS.with_(write_time_column="")
+
+
+def tie_winner_window(spark, sf):
+    od, c = _tied_orders(spark, sf)
+    return S.latest(od, c, drop_tombstones=False)
+
+
+def tie_winner_max_by(spark, sf):
+    od, c = _tied_orders(spark, sf)
+    return S.latest_by_max_by(od, c, drop_tombstones=False).select(*od.columns)
+
+
+def quarantine(spark, sf):
+    """Every seventh event loses its entity id: set aside rows and the entities that remain."""
+    ev = R.events(spark, sf).withColumn("user_id", F.when(F.col("event_id") % 7 != 0, F.col("user_id")))
+    n = S.quarantined(ev, R.EVENTS).agg(F.count("*").alias("quarantined"))
+    return n.crossJoin(S.snapshot_counts(ev, R.EVENTS))  # one row each
 
 
 # -------------------------------------------------------------- online table
@@ -158,7 +201,7 @@ def derived_aggregate(spark, sf):
 
 def point_get(spark, sf):
     root = _online(spark, sf)
-    return ENC.explode_fields(ON.get(OT.read_online(spark, root, "events"), POINT_KEY))
+    return ENC.explode_fields(ON.get(OT.read_online(spark, root, "events", key=POINT_KEY), POINT_KEY))
 
 
 def selected_fields(spark, sf):
@@ -175,6 +218,57 @@ def batch_get(spark, sf):
                       ENC.field_value("o_orderpriority").alias("o_orderpriority"))
 
 
+def key_count(spark, sf):
+    root = _online(spark, sf, contracts=("events", "orders"))
+    return ON.key_count(OT.read_online(spark, root))
+
+
+def _fields_stored(spark, root):
+    return ENC.explode_fields(OT.read_online(spark, root, "events", check_ttl=False))
+
+
+def replace_to_empty(spark, sf):
+    """A snapshot in which every entity is tombstoned replaces a full one: nothing stays online."""
+    root = _online(spark, sf)
+    gone = S.latest(R.events(spark, sf).withColumn("is_deleted", F.lit(True)), R.EVENTS)
+    OT.write_online(spark, OT.records(gone, R.EVENTS), root, R.EVENTS)
+    return OT.read_online(spark, root, "events").select("key")
+
+
+def merge_overlay(spark, sf):
+    """The newest snapshot, without its value for even users, merged over an older one."""
+    ev = R.events(spark, sf)
+    root = scratch_path(spark, "online")
+    OT.write_online(spark, OT.records(S.snapshot_as_of(ev, R.EVENTS, CHANGES_AS_OF), R.EVENTS), root, R.EVENTS)
+    new = S.latest(ev, R.EVENTS).withColumn("value", F.when(F.col("user_id") % 2 == 1, F.col("value")))
+    OT.write_online(spark, OT.records(new, R.EVENTS), root, R.EVENTS, mode="merge")
+    return _fields_stored(spark, root)
+
+
+def delete_last_key(spark, sf):
+    """All keys deleted in two change sets, the second of which takes the last ones."""
+    root = _online(spark, sf)
+    keys = OT.read_online(spark, root, "events").select("key", F.pmod(F.xxhash64("key"), F.lit(2)).alias("half"))
+    keys = keys.persist()
+    none = OT.read_online(spark, root, "events").limit(0)
+    for half in (0, 1):
+        OT.apply_changes(spark, root, R.EVENTS, none, keys.filter(F.col("half") == half).select("key"))
+    keys.unpersist()
+    return ON.key_count(OT.read_online(spark, root, "events"))
+
+
+def ttl_merge(spark, sf):
+    """Old records that have expired by the clock are absent in a merge; a fresh one without deadline shows."""
+    ev = R.events(spark, sf)
+    root = scratch_path(spark, "online")
+    c = R.EVENTS.with_(ttl_seconds=TTL_SECONDS)
+    old = S.snapshot_as_of(ev, c, CHANGES_AS_OF)
+    OT.write_online(spark, OT.records(old, c, ttl_anchor="event"), root, c)
+    new = S.latest(ev, R.EVENTS).filter(F.col("user_id") % 3 == 0).withColumn("value", F.lit(None).cast("double"))
+    OT.write_online(spark, OT.records(new, R.EVENTS), root, R.EVENTS, mode="merge", clock=TTL_CLOCK)
+    return ENC.explode_fields(OT.read_online(spark, root, "events", clock=TTL_CLOCK))
+
+
 def prefix_key_count(spark, sf):
     root = _online(spark, sf, contracts=("events", "orders", "conversations"))
     return ON.keys_per_group(OT.read_online(spark, root))
@@ -213,6 +307,11 @@ def reconcile_summary(spark, sf):
     return RC.summary(RC.diff(expected, stored))
 
 
+def sampled_diff(spark, sf):
+    expected, stored = _expected_and_stale_store(spark, sf)
+    return RC.sampled_diff(expected, stored, SAMPLE).select("key", "status", "n_mismatched")
+
+
 def stale_keys(spark, sf):
     expected, stored = _expected_and_stale_store(spark, sf)
     return RC.stale_keys(expected, stored)
@@ -238,10 +337,17 @@ def history_partition_scan(spark, sf):
 
 
 def hourly_arrivals(spark, sf):
-    ev = R.table(spark, sf, "events")
-    w = F.window(F.col("ts").cast("timestamp"), "1 hour")
-    return (ev.groupBy(w.alias("w")).agg(F.count("*").alias("arrivals"))
-              .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "arrivals"))
+    """The watermarked stream over the history's files: hours that have closed."""
+    from ..streaming import refresh as RF
+    src, out = scratch_path(spark, "stream-src"), scratch_path(spark, "arrivals")
+    ev = R.table(spark, sf, "events").select("event_id", "ts")
+    ev.write.parquet(src)
+    late = f"{HOURLY_LATENESS_MINUTES} minutes"
+    (RF.hourly_arrivals(RF.history_stream(spark, src, ev.schema), "ts", lateness=late)
+       .writeStream.outputMode("append").format("parquet").option("path", out)
+       .option("checkpointLocation", scratch_path(spark, "stream-ckpt")).trigger(availableNow=True).start().awaitTermination())
+    got = spark.read.schema("window_start timestamp, arrivals long").parquet(out)
+    return got.select(F.col("window_start").cast("timestamp_ntz"), "arrivals")
 
 
 def history_merge_schema(spark, sf):
@@ -256,23 +362,36 @@ def history_merge_schema(spark, sf):
     return S.latest(hist, R.EVENTS).select(*R.EVENT_COLUMNS)
 
 
+def _generated(spark, sf):
+    from ..operators import datagen as G
+    return G.generate_history(R.table(spark, sf, "customer"), "c_custkey", tombstone_share=GEN_TOMBSTONE_SHARE,
+                              salt=GEN_SALT)
+
+
 def generated_history_invariants(spark, sf):
     from ..operators import datagen as G
     path = scratch_path(spark, "generated-history")
-    hist = G.generate_history(R.table(spark, sf, "customer"), "c_custkey", tombstone_share=GEN_TOMBSTONE_SHARE,
-                              salt=GEN_SALT)
-    EX.append_history(hist, path, "event_time", files_per_hour=2)
-    back = R.read_history(spark, path)
-    return S.snapshot_counts(back, G.GENERATED_CONTRACT)
+    EX.append_history(_generated(spark, sf), path, "event_time", writers=2)
+    return S.snapshot_counts(R.read_history(spark, path), G.GENERATED_CONTRACT)
+
+
+def generated_values(spark, sf):
+    h = _generated(spark, sf)
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS").alias(c)
+    return h.select("customer_id", "event_time", "fraud_score", "credit_score", "avg_ticket_30d", "tx_count_24h",
+                    "device_trust", "segment", "is_pep", iso("api_invocation_time"), iso("write_time"), "is_deleted")
 
 
 def incremental_latest(spark, sf):
+    """The refresh stream over several micro-batches; every slice spans all times, so most rows come late."""
     from ..streaming import refresh as RF
     src = scratch_path(spark, "stream-src")
     ev = R.table(spark, sf, "events")
-    ev.repartitionByRange(STREAM_FILES, "ts").write.parquet(src)
+    for k in range(STREAM_SLICES):  # one arrival after another; files grow with the data
+        ev.filter(F.pmod(F.xxhash64("event_id"), F.lit(STREAM_SLICES)) == k).write.parquet(f"{src}/slice={k}")
+    files = len(spark.read.parquet(src).inputFiles())
     root, ck = scratch_path(spark, "online"), scratch_path(spark, "stream-ckpt")
-    q = RF.refresh(spark, src, ev.schema, R.EVENTS, root, ck, max_files_per_trigger=1,
+    q = RF.refresh(spark, f"{src}/*", ev.schema, R.EVENTS, root, ck, max_files_per_trigger=-(-files // STREAM_SLICES),
                    adapter=lambda d: R.flag_column(d, "is_deleted", "event_type = 'error'"))
     q.awaitTermination()
     return ON.typed_view(OT.read_online(spark, root, "events"), R.EVENTS)
@@ -315,6 +434,18 @@ QUERIES = {
     "history_merge_schema": history_merge_schema,
     "generated_history_invariants": generated_history_invariants,
     "incremental_latest": incremental_latest,
+    "double_text": double_text,
+    "feature_named_hour": feature_named_hour,
+    "tie_winner_window": tie_winner_window,
+    "tie_winner_max_by": tie_winner_max_by,
+    "quarantine": quarantine,
+    "key_count": key_count,
+    "replace_to_empty": replace_to_empty,
+    "merge_overlay": merge_overlay,
+    "delete_last_key": delete_last_key,
+    "ttl_merge": ttl_merge,
+    "sampled_diff": sampled_diff,
+    "generated_values": generated_values,
 }
 
 
@@ -460,7 +591,9 @@ ORACLE = {
     "history_partition_scan": """SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
                                         CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour,
                                         count(*) AS records FROM events GROUP BY 1, 2, 3, 4""",
-    "hourly_arrivals": "SELECT date_trunc('hour', ts) AS window_start, count(*) AS arrivals FROM events GROUP BY 1",
+    "hourly_arrivals": f"""SELECT date_trunc('hour', ts) AS window_start, count(*) AS arrivals FROM events GROUP BY 1
+        HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR
+               <= (SELECT max(ts) FROM events) - INTERVAL {HOURLY_LATENESS_MINUTES} MINUTE""",
     "history_merge_schema": _latest_sql(
         "(SELECT event_id, ts, user_id, event_type, value, "
         "CASE WHEN event_type IN ('click', 'view') THEN props END AS props FROM events)",
@@ -469,3 +602,76 @@ ORACLE = {
     "incremental_latest": ORACLE_TYPED_VIEW,
 }
 ORACLE["changes_since"] = ORACLE["snapshot_changes"]
+
+_TIED = """(SELECT o_orderkey, o_custkey, date_trunc('month', o_orderdate) AS o_orderdate, o_totalprice,
+                   o_orderpriority, o_orderstatus = 'F' AS is_deleted FROM orders) AS t"""
+_TIE_ORDER = ("o_orderdate DESC NULLS LAST, coalesce(is_deleted, false) DESC, o_totalprice DESC NULLS LAST, "
+              "o_orderpriority DESC NULLS LAST, o_orderkey DESC NULLS LAST")
+ORACLE["tie_winner_window"] = ORACLE["tie_winner_max_by"] = _latest_sql(
+    _TIED, "o_custkey", _TIE_ORDER, "o_orderkey, o_custkey, o_orderdate, o_totalprice, o_orderpriority, is_deleted", None)
+
+ORACLE["double_text"] = " UNION ALL ".join(
+    f"SELECT event_id, {i} AS scale, CAST(value * CAST({k!r} AS DOUBLE) AS VARCHAR) AS text FROM events"
+    for i, k in enumerate(DOUBLE_SCALES))
+
+ORACLE["feature_named_hour"] = _long_sql(
+    _latest_sql("(SELECT *, event_id % 24 AS hour, event_id % 31 AS day FROM events)", "user_id", EV_ORDER,
+                "user_id, hour, day", EV_LIVE),
+    "fs:events", "user_id", [("hour", "CAST(hour AS VARCHAR)"), ("day", "CAST(day AS VARCHAR)")])
+
+_NULLED = ("(SELECT event_id, ts, event_type, value, props, CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id "
+           "FROM events)")
+ORACLE["quarantine"] = f"""SELECT (SELECT count(*) FROM {_NULLED} AS q WHERE user_id IS NULL) AS quarantined, c.*
+                           FROM ({_counts_sql(_NULLED + ' AS q', "user_id", EV_ORDER, EV_LIVE)}) AS c"""
+
+ORACLE["key_count"] = f"""SELECT (SELECT count(*) FROM ({EV_LATEST}) AS a)
+                               + (SELECT count(*) FROM ({OR_LATEST}) AS b) AS keys"""
+ORACLE["replace_to_empty"] = "SELECT '' AS key WHERE false"
+ORACLE["delete_last_key"] = "SELECT CAST(0 AS BIGINT) AS keys"
+
+_MERGED_NEW = _long_sql(EV_LATEST, "fs:events", "user_id", [
+    f if f[0] != "value" else ("value", "CAST(CASE WHEN user_id % 2 = 1 THEN value END AS VARCHAR)") for f in EV_FIELDS])
+ORACLE["merge_overlay"] = f"""
+    SELECT coalesce(n.key, o.key) AS key, coalesce(n.field, o.field) AS field, coalesce(n.value, o.value) AS value
+    FROM ({EV_LONG_OLD}) AS o FULL OUTER JOIN ({_MERGED_NEW}) AS n ON o.key = n.key AND o.field = n.field"""
+
+_TTL_OLD = _long_sql(f"SELECT * FROM ({EV_CHANGES_OLD}) AS l WHERE ts + INTERVAL {TTL_SECONDS} SECOND > TIMESTAMP '{TTL_CLOCK}'",
+                     "fs:events", "user_id", EV_FIELDS)
+_TTL_NEW = _long_sql(f"SELECT * FROM ({EV_LATEST}) AS l WHERE user_id % 3 = 0", "fs:events", "user_id",
+                     [f for f in EV_FIELDS if f[0] != "value"])
+ORACLE["ttl_merge"] = f"""
+    SELECT coalesce(n.key, o.key) AS key, coalesce(n.field, o.field) AS field, coalesce(n.value, o.value) AS value
+    FROM ({_TTL_OLD}) AS o FULL OUTER JOIN ({_TTL_NEW}) AS n ON o.key = n.key AND o.field = n.field"""
+
+ORACLE["sampled_diff"] = _DIFF_SQL + f"""SELECT key, status, n_mismatched FROM d WHERE status <> 'extra' AND key IN (
+    SELECT key FROM (SELECT DISTINCT key FROM el) AS k ORDER BY md5(key), key LIMIT {SAMPLE})"""
+
+
+def _unit_sql(name: str) -> str:
+    return (f"(CAST('0x' || substr(md5('{GEN_SALT}' || cid || CAST(v AS VARCHAR) || '{name}'), 1, 8) AS BIGINT) "
+            "/ 4294967296.0)")
+
+
+_BASE = "TIMESTAMP '2025-03-10 06:00:00'"
+ORACLE["generated_values"] = f"""
+WITH e AS (SELECT format('C{{:06d}}', c_custkey) AS cid FROM customer),
+f AS (SELECT cid, CAST('0x' || substr(md5('{GEN_SALT}' || 'v' || cid), 1, 8) AS BIGINT) % 3 + 1 AS n,
+             CAST('0x' || substr(md5('{GEN_SALT}' || 'h' || cid), 1, 8) AS BIGINT) % 3 AS rot,
+             CAST('0x' || substr(md5('{GEN_SALT}' || 'd' || cid), 1, 8) AS BIGINT) / 4294967296.0
+                 < {GEN_TOMBSTONE_SHARE} AS tomb FROM e),
+r AS (SELECT cid, v, (v + rot) % 3 AS hour_idx, false AS is_deleted
+      FROM (SELECT cid, rot, unnest(range(0, n)) AS v FROM f) AS x
+      UNION ALL SELECT cid, 3 AS v, 2 AS hour_idx, true FROM f WHERE tomb),
+t AS (SELECT *, {_BASE} + to_hours(CAST(hour_idx AS BIGINT))
+             + to_minutes(CAST(CASE WHEN is_deleted THEN 50 + floor({_unit_sql('m')} * 10) ELSE floor({_unit_sql('m')} * 50) END AS BIGINT))
+             + to_milliseconds(CAST(floor({_unit_sql('s')} * 60) * 1000 + floor({_unit_sql('ms')} * 1000) AS BIGINT)) AS ev FROM r)
+SELECT cid AS customer_id, strftime(ev, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS event_time,
+       round({_unit_sql('fraud')}, 6) AS fraud_score, CAST(300 + floor({_unit_sql('credit')} * 701) AS BIGINT) AS credit_score,
+       round(20 + {_unit_sql('ticket')} * 4980, 2) AS avg_ticket_30d, CAST(floor({_unit_sql('tx')} * 121) AS BIGINT) AS tx_count_24h,
+       round({_unit_sql('trust')}, 4) AS device_trust,
+       list_extract(['retail', 'premium', 'private', 'digital'], CAST(floor({_unit_sql('seg')} * 4) AS BIGINT) + 1) AS segment,
+       {_unit_sql('pep')} < 0.02 AS is_pep,
+       strftime(ev + INTERVAL 1 SECOND, '%Y-%m-%dT%H:%M:%S.%g') AS api_invocation_time,
+       strftime(ev + to_minutes(CAST(5 + floor({_unit_sql('w')} * 10) AS BIGINT)), '%Y-%m-%dT%H:%M:%S.%g') AS write_time,
+       is_deleted
+FROM t"""

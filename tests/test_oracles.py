@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from onlineview.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["customer", "orders", "events", "conversations"]
@@ -34,7 +35,7 @@ def duck():
 SLOW = {"incremental_latest", "history_partition_scan"}
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(catalog.ORACLE) - SLOW))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
@@ -45,7 +46,8 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
+    assert set(catalog.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):

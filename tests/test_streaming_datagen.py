@@ -78,8 +78,10 @@ def test_generator_invariants_and_layout(spark):
     ents = spark.range(1000).withColumnRenamed("id", "k")
     hist = G.generate_history(ents, "k", tombstone_share=0.03)
     path = scratch_path(spark, "gen")
-    EX.append_history(hist, path, "event_time", files_per_hour=2)
+    EX.append_history(hist, path, "event_time", writers=2)
     back = read_history(spark, path)
+    assert len(back.inputFiles()) == 6  # two writers, three hours
+    assert G.generate_history(ents, "k", tombstones=17).filter("is_deleted").count() == 17
     assert set(["year", "month", "day", "hour"]) <= set(back.columns)
     r = S.snapshot_counts(back, G.GENERATED_CONTRACT).first()
     d = hist.filter("is_deleted").count()
