@@ -17,6 +17,8 @@ from ..functions.text import field_text, iso_timestamp
 KEY = "key"
 FIELDS = "fields"
 DOC = "doc"
+#: Prefix of the online table's typed feature columns.
+TYPED = "f_"
 
 MODES = ("contract", "all")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..contract import Contract
 from ..functions.text import parse_number
-from .encode import FIELDS, KEY, field_value
+from .encode import FIELDS, KEY, TYPED, field_value
 
 GROUP = "feature_group"
 
@@ -27,14 +27,16 @@ def typed_view(online: DataFrame, c: Contract, view_name: str | None = None) ->
 
     NUMERIC fields parse back to double (``nan``/``inf``/``1e-05`` included),
     TAG fields stay text. The event time is stored but not indexed, so it is
-    not part of the view. Optionally registered as a temp view.
+    not part of the view. Optionally registered as a temp view. Rows read with the
+    contract's typed columns use those; others are parsed from the field map.
     """
-    cols = [field_value(c.entity_column).alias(c.entity_column)]
-    for name, kind in c.features:
-        if name == c.entity_column:
-            continue
+    def column(name: str, kind: str) -> Column:
+        if TYPED + name in online.columns:
+            return F.col(f"`{TYPED}{name}`").alias(name)
         v = field_value(name)
-        cols.append((parse_number(v) if kind == "NUMERIC" else v).alias(name))
+        return (parse_number(v) if kind == "NUMERIC" else v).alias(name)
+
+    cols = [column(c.entity_column, "TAG")] + [column(n, k) for n, k in c.features if n != c.entity_column]
     view = in_group(online, c).select(F.col(KEY), *cols)
     if view_name:
         view.createOrReplaceTempView(view_name)

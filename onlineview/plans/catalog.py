@@ -179,12 +179,12 @@ def _online(spark, sf, contracts=("events",), ttl_anchor="write", contract_over=
 
 def typed_view(spark, sf):
     root = _online(spark, sf)
-    return ON.typed_view(OT.read_online(spark, root, "events"), R.EVENTS)
+    return ON.typed_view(OT.read_online(spark, root, "events", typed=R.EVENTS), R.EVENTS)
 
 
 def tag_aggregate(spark, sf):
     root = _online(spark, sf)
-    view = ON.typed_view(OT.read_online(spark, root, "events"), R.EVENTS)
+    view = ON.typed_view(OT.read_online(spark, root, "events", typed=R.EVENTS), R.EVENTS)
     return ON.aggregate(view, "event_type",
                         {"avg_value": F.round(F.avg("value"), 4), "n": F.count("*")},
                         sort_by=[F.desc("avg_value")])
@@ -192,7 +192,7 @@ def tag_aggregate(spark, sf):
 
 def derived_aggregate(spark, sf):
     root = _online(spark, sf)
-    view = ON.typed_view(OT.read_online(spark, root, "events"), R.EVENTS)
+    view = ON.typed_view(OT.read_online(spark, root, "events", typed=R.EVENTS), R.EVENTS)
     return ON.aggregate(view, "value_band",
                         {"avg_value": F.round(F.avg("value"), 4), "n": F.count("*")},
                         apply={"value_band": F.floor(F.col("value") / 100).cast("long")},
@@ -394,7 +394,7 @@ def incremental_latest(spark, sf):
     q = RF.refresh(spark, f"{src}/*", ev.schema, R.EVENTS, root, ck, max_files_per_trigger=-(-files // STREAM_SLICES),
                    adapter=lambda d: R.flag_column(d, "is_deleted", "event_type = 'error'"))
     q.awaitTermination()
-    return ON.typed_view(OT.read_online(spark, root, "events"), R.EVENTS)
+    return ON.typed_view(OT.read_online(spark, root, "events", typed=R.EVENTS), R.EVENTS)
 
 
 QUERIES = {

@@ -21,6 +21,10 @@ Write modes:
   overwrite, other keys and fields stay.
 * :func:`apply_changes` -- whole records are upserted and keys deleted.
 
+Beside the field map, files hold each contract feature as a typed column (``f_<name>``: double
+for NUMERIC, text for TAG), made from the map whenever a bucket is written. A read that names
+its contract gets them, so that aggregates read only the columns they use and push filters down.
+
 A stored record whose deadline has passed counts as absent in merge and upsert.
 Folders that the last versions no longer name are removed after each write.
 """
@@ -34,7 +38,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import Contract
-from ..operators.encode import DOC, FIELDS, KEY, doc_column, fields_column, online_key
+from ..functions.text import parse_number
+from ..operators.encode import DOC, FIELDS, KEY, TYPED, doc_column, field_value, fields_column, online_key
 
 GROUP = "feature_group"
 ENTITY = "entity"
@@ -44,8 +49,23 @@ BUCKET = "bucket"
 VERSION = "version"
 
 ONLINE_COLUMNS = (KEY, ENTITY, FIELDS, DOC, WRITTEN_AT, EXPIRES_AT)
-_DATA_SCHEMA = (f"{KEY} string, {ENTITY} string, {FIELDS} map<string,string>, {DOC} string, {WRITTEN_AT} timestamp, "
-                f"{EXPIRES_AT} timestamp, {GROUP} string, {VERSION} long, {BUCKET} int")
+
+
+def _data_schema(typed: Contract | None = None) -> str:
+    own = [f"`{TYPED}{n}` {'double' if k == 'NUMERIC' else 'string'}" for n, k in _typed(typed)] if typed else []
+    return ", ".join([f"{KEY} string, {ENTITY} string, {FIELDS} map<string,string>, {DOC} string, {WRITTEN_AT} timestamp, "
+                      f"{EXPIRES_AT} timestamp", *own, f"{GROUP} string, {VERSION} long, {BUCKET} int"])
+
+
+def _typed(c: Contract) -> list[tuple[str, str]]:
+    return [(c.entity_column, "TAG")] + [(n, k) for n, k in c.features if n != c.entity_column]
+
+
+def _with_typed(recs: DataFrame, c: Contract) -> DataFrame:
+    text = {n: field_value(n) for n, _ in _typed(c)}
+    return recs.select(*ONLINE_COLUMNS, *[(parse_number(text[n]) if k == "NUMERIC" else text[n]).alias(TYPED + n)
+                                          for n, k in _typed(c)])
+
 
 #: Buckets of a new group. Choose so that one bucket is a few hundred MB at most.
 DEFAULT_BUCKETS = 16
@@ -140,14 +160,14 @@ def _current(spark: SparkSession, root: str, group: str | None = None) -> dict[s
 
 
 def _read_buckets(spark: SparkSession, root: str, current: dict[str, tuple[int, dict[int, int | None]]],
-                  only: set[int] | None = None) -> DataFrame:
+                  only: set[int] | None = None, typed: Contract | None = None) -> DataFrame:
     """Rows of the named buckets; nothing else is listed or opened."""
     paths = [f"{_group_path(root, 'data', g)}/{VERSION}={at}/{BUCKET}={b}"
              for g, (_, buckets) in current.items() for b, at in buckets.items()
              if at is not None and (only is None or b in only)]
     if not paths:
-        return spark.createDataFrame([], _DATA_SCHEMA)
-    return spark.read.schema(_DATA_SCHEMA).option("basePath", f"{root.rstrip('/')}/data").parquet(*paths)
+        return spark.createDataFrame([], _data_schema(typed))
+    return spark.read.schema(_data_schema(typed)).option("basePath", f"{root.rstrip('/')}/data").parquet(*paths)
 
 
 def _commit(spark: SparkSession, root: str, c: Contract, out: DataFrame, touched: set[int] | None, buckets: int,
@@ -156,7 +176,7 @@ def _commit(spark: SparkSession, root: str, c: Contract, out: DataFrame, touched
     version, before = (current[0] + 1, current[1]) if current else (1, {})
     data = f"{_group_path(root, 'data', c.feature_group)}/{VERSION}={version}"
     # REBALANCE: a bucket is one task's file, and AQE splits one that is too large
-    (out.select(*ONLINE_COLUMNS).withColumn(BUCKET, bucket_of(KEY, buckets)).hint("rebalance", BUCKET)
+    (_with_typed(out, c).withColumn(BUCKET, bucket_of(KEY, buckets)).hint("rebalance", BUCKET)
         .sortWithinPartitions(BUCKET, KEY)
         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(data))
     # buckets that got files; only folder names are looked at
@@ -229,11 +249,11 @@ def write_online(spark: SparkSession, recs: DataFrame, root: str, c: Contract, *
 
 # -------------------------------------------------------------------- reads
 def read_online(spark: SparkSession, root: str, group: str | None = None, *, clock: datetime | str | None = None,
-                check_ttl: bool = True, key: str | None = None) -> DataFrame:
+                check_ttl: bool = True, key: str | None = None, typed: Contract | None = None) -> DataFrame:
     """Online table rows, optionally one feature group, expired keys hidden.
 
     ``clock`` fixes "now" for the expiry test (default: current time). ``key`` restricts
-    the read to the bucket of that key. A root without a committed version is an error.
+    the read to the bucket of that key. ``typed`` adds the typed columns of a contract's group. A root without a committed version is an error.
     """
     current = _current(spark, root, group)
     if not current:
@@ -243,9 +263,9 @@ def read_online(spark: SparkSession, root: str, group: str | None = None, *, clo
         if group is None:
             raise ValueError("a point read needs the feature group")
         only = {spark.range(1).select(bucket_of(F.lit(key), len(current[group][1]))).first()[0]}
-    df = _read_buckets(spark, root, current, only)
+    df = _read_buckets(spark, root, current, only, typed)
     if key is not None:
         df = df.filter(F.col(KEY) == key)
     if check_ttl:
         df = df.filter(_alive(clock))
-    return df.select(*ONLINE_COLUMNS, GROUP)
+    return df.drop(VERSION, BUCKET)

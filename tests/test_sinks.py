@@ -163,6 +163,17 @@ def test_only_touched_buckets_are_rewritten_and_old_files_go(spark, tmp_path):
     assert got.first()["fields"]["x"] == "2.0" and len({os.path.dirname(f) for f in got.inputFiles()}) == 1
 
 
+def test_typed_columns_prune_the_scan(spark, tmp_path):
+    root = str(tmp_path / "online")
+    write(spark, root, [("a", T1, 1.5, False), ("b", T1, None, False)], "replace")
+    write(spark, root, [("b", T2, 2.5, False)], "merge")
+    view = ON.typed_view(OT.read_online(spark, root, "g", typed=C), C)
+    assert {tuple(r) for r in view.select("id", "x").collect()} == {("a", 1.5), ("b", 2.5)}
+    assert {tuple(r) for r in view.collect()} == {tuple(r) for r in ON.typed_view(OT.read_online(spark, root, "g"), C).collect()}
+    plan = view.filter("x > 2").select("x")._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(f_x)" in plan.split("PushedFilters:")[1] and "map<" not in plan and "fields" not in plan
+
+
 def test_failed_write_leaves_the_old_version(spark, tmp_path):
     root = str(tmp_path / "online")
     write(spark, root, [("a", T1, 1.0, False)], "replace")
