@@ -141,24 +141,38 @@ def _missing(e: AnalysisException) -> bool:
     return e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def _current(spark: SparkSession, root: str, group: str | None = None) -> dict[str, tuple[int, dict[int, int | None]]]:
-    """group -> (version, bucket -> version folder that holds it); a few integers per bucket."""
+Versions = dict[int, dict[int, "int | None"]]  # version -> bucket -> version folder that holds it
+
+
+def _versions(spark: SparkSession, root: str, group: str | None = None) -> dict[str, Versions]:
+    """Committed versions of each group that are still kept: a few integers per bucket."""
     base = f"{root.rstrip('/')}/versions"
     try:
-        t = (spark.read.schema(f"bucket int, at long, {GROUP} string, {VERSION} long")
-             .option("basePath", base).parquet(base if group is None else _group_path(root, "versions", group)))
+        rows = (spark.read.schema(f"bucket int, at long, {GROUP} string, {VERSION} long").option("basePath", base)
+                .parquet(base if group is None else _group_path(root, "versions", group)).collect())
     except AnalysisException as e:
         if _missing(e):
             return {}
         raise
-    last = t.groupBy(GROUP).agg(F.max(VERSION).alias("last"))
-    rows = t.join(last, GROUP).filter(F.col(VERSION) == F.col("last")).select(GROUP, "last", "bucket", "at").collect()
-    out: dict[str, tuple[int, dict[int, int | None]]] = {}
+    out: dict[str, Versions] = {}
     for r in rows:
-        out.setdefault(r[GROUP], (r["last"], {}))[1][r["bucket"]] = r["at"]
+        out.setdefault(r[GROUP], {}).setdefault(r[VERSION], {})[r["bucket"]] = r["at"]
     return out
 
 
+def _current(spark: SparkSession, root: str, group: str | None = None) -> dict[str, tuple[int, dict[int, int | None]]]:
+    """group -> (last committed version, bucket -> version folder that holds it)."""
+    return {g: (max(v), v[max(v)]) for g, v in _versions(spark, root, group).items()}
+
+
+def _listed(spark: SparkSession, path: str, name: str) -> dict[int, object]:
+    """Sub-folders ``<name>=<number>`` of a folder, by number."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [st.getPath() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return {int(x.getName().partition("=")[2]): x for x in found if x.getName().startswith(f"{name}=")}
+
+
 def _read_buckets(spark: SparkSession, root: str, current: dict[str, tuple[int, dict[int, int | None]]],
                   only: set[int] | None = None, typed: Contract | None = None) -> DataFrame:
     """Rows of the named buckets; nothing else is listed or opened."""
@@ -171,38 +185,31 @@ def _read_buckets(spark: SparkSession, root: str, current: dict[str, tuple[int,
 
 
 def _commit(spark: SparkSession, root: str, c: Contract, out: DataFrame, touched: set[int] | None, buckets: int,
-            current: tuple[int, dict[int, int | None]] | None) -> int:
+            versions: Versions) -> int:
     """Write ``out`` as the new content of the touched buckets (None: all) and move the pointer."""
-    version, before = (current[0] + 1, current[1]) if current else (1, {})
+    last = max(versions, default=0)
+    version, before = last + 1, versions.get(last, {})
     data = f"{_group_path(root, 'data', c.feature_group)}/{VERSION}={version}"
     # REBALANCE: a bucket is one task's file, and AQE splits one that is too large
     (_with_typed(out, c).withColumn(BUCKET, bucket_of(KEY, buckets)).hint("rebalance", BUCKET)
         .sortWithinPartitions(BUCKET, KEY)
         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(data))
-    # buckets that got files; only folder names are looked at
-    full = {r[0] for r in spark.read.schema(f"{KEY} string, {BUCKET} int").parquet(data).select(BUCKET).distinct().collect()}
+    full = _listed(spark, data, BUCKET)  # buckets that got files
     now = {b: version if b in full else None if touched is None or b in touched else before.get(b) for b in range(buckets)}
     (spark.createDataFrame(sorted(now.items()), "bucket int, at long").coalesce(1)
         .write.mode("errorifexists").parquet(f"{_group_path(root, 'versions', c.feature_group)}/{VERSION}={version}"))
-    _remove_unused(spark, root, c.feature_group)
+    _remove_unused(spark, root, c.feature_group, versions | {version: now})
     return version
 
 
-def _remove_unused(spark: SparkSession, root: str, group: str, keep: int = KEEP_VERSIONS) -> None:
+def _remove_unused(spark: SparkSession, root: str, group: str, versions: Versions, keep: int = KEEP_VERSIONS) -> None:
     """Delete data and version folders that the last ``keep`` committed versions do not name."""
-    base = f"{root.rstrip('/')}/versions"
-    t = (spark.read.schema(f"bucket int, at long, {GROUP} string, {VERSION} long").option("basePath", base)
-         .parquet(_group_path(root, "versions", group)))
-    versions = sorted(r[0] for r in t.select(VERSION).distinct().collect())
-    kept = versions[-keep:]
-    used = {r[0] for r in t.filter(F.col(VERSION).isin(kept) & F.col("at").isNotNull()).select("at").distinct().collect()}
-    jvm = spark.sparkContext._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for kind, named in (("versions", set(kept)), ("data", used | set(kept))):
-        for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(_group_path(root, kind, group))):
-            name = st.getPath().getName()
-            if name.startswith(f"{VERSION}=") and int(name.partition("=")[2]) not in named:
-                fs.delete(st.getPath(), True)
+    kept = sorted(versions)[-keep:]
+    used = {at for v in kept for at in versions[v].values() if at is not None} | set(kept)
+    for kind, named in (("versions", set(kept)), ("data", used)):
+        for number, path in _listed(spark, _group_path(root, kind, group), VERSION).items():
+            if number not in named:
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # ------------------------------------------------------------------- writes
@@ -216,13 +223,14 @@ def apply_changes(spark: SparkSession, root: str, c: Contract, live: DataFrame,
 
     Re-running the same change set gives the same table (idempotent).
     """
-    current = _current(spark, root, c.feature_group).get(c.feature_group)
+    versions = _versions(spark, root, c.feature_group).get(c.feature_group, {})
+    current = (max(versions), versions[max(versions)]) if versions else None
     n = len(current[1]) if current else buckets
     touched = _touched(live.select(KEY).unionByName(deleted_keys.select(KEY)), n)
     if not touched and current:
         return root
     old = _read_buckets(spark, root, {c.feature_group: current} if current else {}, touched).filter(_alive(clock))
-    _commit(spark, root, c, upsert_records(old, live, deleted_keys), touched, n, current)
+    _commit(spark, root, c, upsert_records(old, live, deleted_keys), touched, n, versions)
     return root
 
 
@@ -234,16 +242,17 @@ def write_online(spark: SparkSession, recs: DataFrame, root: str, c: Contract, *
     """
     if mode not in ("replace", "merge"):
         raise ValueError("mode must be 'replace' or 'merge'")
-    current = _current(spark, root, c.feature_group).get(c.feature_group)
-    if mode == "replace" or current is None:
-        n = buckets or (len(current[1]) if current else DEFAULT_BUCKETS)
-        _commit(spark, root, c, recs, None, n, current)
+    versions = _versions(spark, root, c.feature_group).get(c.feature_group, {})
+    if mode == "replace" or not versions:
+        n = buckets or len(versions.get(max(versions, default=0), ())) or DEFAULT_BUCKETS
+        _commit(spark, root, c, recs, None, n, versions)
         return root
+    current = (max(versions), versions[max(versions)])
     n = len(current[1])
     touched = _touched(recs, n)
     if touched:
         old = _read_buckets(spark, root, {c.feature_group: current}, touched).filter(_alive(clock))
-        _commit(spark, root, c, merge_records(old, recs), touched, n, current)
+        _commit(spark, root, c, merge_records(old, recs), touched, n, versions)
     return root
 
 
