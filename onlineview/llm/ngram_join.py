@@ -10,10 +10,11 @@ num / den. All links between different sets are found, without comparing all pai
    Each class gives one key per range and tile; classes that share a key are candidates.
 3. In each key's group, members are compared with the member that shares most keys with others
    (a star, not all pairs). The popcount of the XOR of two bitmaps is at most the size of the
-   difference of the sets, so it bounds the overlap from above; pairs that survive that bound
-   are decided by exact intersection of sorted arrays.
+   difference of the sets, so it bounds the overlap from above; only for pairs that survive that
+   bound are sets fetched, which exact intersection of sorted arrays then decides.
 4. Links give components. Groups that still hold several components are compared block
-   by block across components, again first by bitmaps and then exactly, so no link is lost.
+   by block across components, again first by bitmaps and then exactly: once the closest
+   pairs, which join most, and then all that is left, so no link is lost.
 
 Keys, pairs and labels are tables that Spark shuffles; hot groups spread over blocks. Nothing
 but counts reaches the driver.
@@ -41,7 +42,11 @@ from .text import FOLD, U64, Words, blob, bytes_of, chunks, mapped, mix, mix_int
 MIN_BITS, MAX_BITS = 64, 8192
 #: Members of a block in the comparison of what the stars left over.
 BLOCK = 256
+#: Bitmaps compared at a time.
+COMPARED = 8192
 BANDS_TO = 1 << 40
+#: Rows of (class, doc_id, text key) that are broadcast at most: 24 bytes each, 24 MB in all.
+BROADCAST_ROWS = 1_000_000
 
 
 class Tiles:
@@ -50,9 +55,9 @@ class Tiles:
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
         self.starts = [1]
-        while self.starts[-1] < BANDS_TO:  # three factors of den / num wide: about a third of a band links into the one below
+        while self.starts[-1] < BANDS_TO:  # two factors of den / num wide: about half of a band links into the one below
             a = self.starts[-1]
-            self.starts.append(max(a + 1, a * den**3 // num**3))
+            self.starts.append(max(a + 1, a * den**2 // num**2))
 
     def partner(self, size: int) -> int:
         """The largest set that one of this size can link with."""
@@ -144,13 +149,22 @@ def _long(a: np.ndarray) -> pa.Array:
 
 
 def documents(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, tkey (hash of the text), n (set size), cls for every row, written once; thin."""
+    """doc_id, tkey (hash of the text), n (set size), cls, bits (bitmap) for every row, written once; thin."""
     def each(b):
-        n, cls = zip(*((len(s), _class(s)) for s in shingle_sets(b.column(2), k)))
-        return {"doc_id": b.column(0), "tkey": b.column(1), "n": pa.array(n, pa.int64()), "cls": pa.array(cls, pa.int64())}
+        sets = list(shingle_sets(b.column(2), k))
+        return {"doc_id": b.column(0), "tkey": b.column(1), "n": pa.array([len(s) for s in sets], pa.int64()),
+                "cls": pa.array([_class(s) for s in sets], pa.int64()),
+                "bits": pa.array([bitmap(s).tobytes() if len(s) else None for s in sets], pa.binary())}
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"), bytes_of("text"))
-    return staged(mapped(src, each, "doc_id long, tkey long, n long, cls long"), "ngram-docs")
+    return staged(mapped(src, each, "doc_id long, tkey long, n long, cls long, bits binary"), "ngram-docs")
+
+
+def class_table(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """cls, n, bits and one of its documents (doc_id, tkey) for every class that shares a key, written once."""
+    return staged(rows.join(keys.select("cls").distinct(), "cls", "left_semi")
+                  .groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min(F.struct("doc_id", "tkey")).alias("r"))
+                  .select("cls", "n", "bits", "r.doc_id", "r.tkey"), "ngram-classes")
 
 
 def shared_keys(docs: DataFrame, k: int, tiles: Tiles) -> DataFrame:
@@ -172,21 +186,20 @@ def shared_keys(docs: DataFrame, k: int, tiles: Tiles) -> DataFrame:
     return staged(shared.select("key", "cls").distinct(), "ngram-keys")
 
 
-def class_sets(docs: DataFrame, rows: DataFrame, keys: DataFrame, k: int) -> DataFrame:
-    """cls, n, bits, items (sorted 64-bit hashes) of every class that shares a key, written once."""
-    one = (rows.join(keys.select("cls").distinct(), "cls", "left_semi")
-           .groupBy("cls").agg(F.min(F.struct("doc_id", "tkey")).alias("r")).select("cls", "r.doc_id", "r.tkey"))
+def class_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """cls, items (sorted 64-bit hashes) of the classes in ``pairs``, made from one of their documents; written once."""
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+    one = staged(classes.join(wanted, "cls", "left_semi").select("cls", "doc_id", "tkey"), "ngram-wanted")
+    if one.count() <= BROADCAST_ROWS:  # three numbers a row; beyond, the texts are shuffled
+        one = F.broadcast(one)
     texts = docs.select(F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("t"), bytes_of("text"))
     found = texts.join(one, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("tkey"))).select("cls", "text")
 
     def each(b):
-        sets = list(shingle_sets(b.column(1), k))
-        return {"cls": b.column(0), "n": pa.array([len(s) for s in sets], pa.int64()),
-                "bits": pa.array([bitmap(s).tobytes() for s in sets], pa.binary()), "items": pa.array([s.tobytes() for s in sets], pa.binary())}
+        return {"cls": b.column(0), "items": pa.array([s.tobytes() for s in shingle_sets(b.column(1), k)], pa.binary())}
 
-    sets = mapped(found, each, "cls long, n long, bits binary, items binary")
     # repeated rows give a class twice
-    return staged(sets.groupBy("cls").agg(*[F.first(c).alias(c) for c in ("n", "bits", "items")]), "ngram-sets")
+    return staged(mapped(found, each, "cls long, items binary").groupBy("cls").agg(F.first("items").alias("items")), "ngram-sets")
 
 
 def _fold(bits: np.ndarray, width: int) -> np.ndarray:
@@ -202,26 +215,44 @@ def may_link(n1, n2, differ, tiles: Tiles):
     return tiles.den * most >= tiles.num * (n1 + n2 - most)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, tiles: Tiles) -> DataFrame:
-    """The pairs (a, b) of classes that link: bitmap bound, then exact intersection of sorted arrays."""
+def differing(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """In how many bits each two bitmaps differ, at the width of the smaller."""
+    width = np.minimum([len(r) // 8 for r in x], [len(r) // 8 for r in y])
+    out = np.zeros(len(x), np.int64)
+    for w in np.unique(width):
+        at = np.flatnonzero(width == w)
+        p, q = (np.stack([_fold(np.frombuffer(side[i], U64), int(w)) for i in at]) for side in (x, y))
+        out[at] = np.bitwise_count(p ^ q).sum(1)
+    return out
+
+
+def plausible(pairs: DataFrame, classes: DataFrame, tiles: Tiles) -> DataFrame:
+    """The pairs (a, b) of classes that their sizes and bitmaps allow to link; no set is needed for this."""
     def side(c):
-        return sets.select(F.col("cls").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "bits", "items")])
+        return classes.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+
+    def each(b):
+        n1, n2 = b.column(2).to_numpy(), b.column(3).to_numpy()
+        ok = may_link(n1, n2, differing(b.column(4).to_pylist(), b.column(5).to_pylist()), tiles)
+        return b.select([0, 1]).filter(pa.array(ok))
+
+    return mapped(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b"), each, "a long, b long")
+
+
+def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, tiles: Tiles, name: str) -> DataFrame:
+    """The pairs (a, b) of classes that link, by exact intersection of sorted arrays; written once."""
+    sets = class_sets(docs, classes, pairs, k)
 
     def each(b):
         keep = np.zeros(b.num_rows, bool)
-        cols = {n: b.column(n) for n in b.schema.names}
-        n1, n2 = cols["n_a"].to_numpy(), cols["n_b"].to_numpy()
-        for i in range(b.num_rows):
-            x, y = (np.frombuffer(cols[c][i].as_buffer(), U64) for c in ("bits_a", "bits_b"))
-            width = min(len(x), len(y))
-            differ = int(np.bitwise_count(_fold(x, width) ^ _fold(y, width)).sum())
-            if may_link(int(n1[i]), int(n2[i]), differ, tiles):
-                x, y = (np.frombuffer(cols[c][i].as_buffer(), U64) for c in ("items_a", "items_b"))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep[i] = tiles.den * both >= tiles.num * (len(x) + len(y) - both)
-        return b.select(["a", "b"]).filter(pa.array(keep))
+        for i, (x, y) in enumerate(zip(b.column(2), b.column(3))):
+            x, y = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            keep[i] = tiles.den * both >= tiles.num * (len(x) + len(y) - both)
+        return b.select([0, 1]).filter(pa.array(keep))
 
-    return mapped(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", *[f"{x}_{c}" for c in "ab" for x in ("n", "bits", "items")]), each, "a long, b long")
+    a, b = (sets.select(F.col("cls").alias(c), F.col("items").alias(f"items_{c}")) for c in "ab")
+    return staged(mapped(pairs.join(a, "a").join(b, "b").select("a", "b", "items_a", "items_b"), each, "a long, b long"), name)
 
 
 def stars(keys: DataFrame) -> DataFrame:
@@ -251,9 +282,12 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def leftovers(keys: DataFrame, labels: DataFrame, sets: DataFrame, tiles: Tiles) -> DataFrame:
+def leftovers(keys: DataFrame, labels: DataFrame, classes: DataFrame, tiles: Tiles, closest: bool) -> DataFrame:
     """Pairs of different components that share a key and pass the bitmap bound.
 
+    With ``closest`` only the pair of most similar bitmaps for each two components of a unit: enough to join
+    components that have many links between them, but not to find all links.
+
     Groups with the same members are compared once. A group is cut into blocks of about
     ``BLOCK`` members by hash; each pair of blocks is one unit of work, whose comparisons
     are array operations and of which only what passes is put out.
@@ -264,31 +298,42 @@ def leftovers(keys: DataFrame, labels: DataFrame, sets: DataFrame, tiles: Tiles)
              .filter("lo < hi").groupBy("size", "members", "lo", "hi").agg(F.min("key").alias("key")))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     mine = comp.join(group.select("key", blocks.alias("blocks")), "key").withColumn("p", F.pmod(F.hash("cls"), F.col("blocks")))
-    dealt = mine.join(sets.select("cls", "n", "bits"), "cls").withColumn("q", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = mine.join(classes.select("cls", "n", "bits"), "cls").withColumn("q", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     unit = ["key", "i", "j"]
     dealt = (dealt.select("key", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), F.col("p").alias("own"), "cls", "comp", "n", "bits")
              .repartition(*unit).sortWithinPartitions(*unit))
 
-    def compare(t: pa.Table):
-        cls, comp, n, own = (t.column(c).to_numpy() for c in ("cls", "comp", "n", "own"))
+    def pairs(t: pa.Table, cut: np.ndarray):
+        """Rows x < y of one unit whose components, blocks, sizes and bitmaps allow a link, for all units at once."""
+        comp, n, own, i, j = (t.column(c).to_numpy() for c in ("comp", "n", "own", "i", "j"))
         raw = t.column("bits").to_pylist()
-        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        if i == j:
-            x, y = np.triu_indices(len(cls), 1)
-        else:
-            x, y = (g.ravel() for g in np.meshgrid(np.flatnonzero(own == i), np.flatnonzero(own == j), indexing="ij"))
-        ok = (comp[x] != comp[y]) & may_link(n[x], n[y], np.abs(n[x] - n[y]), tiles)
-        x, y = x[ok], y[ok]
         words = np.array([len(r) // 8 for r in raw])
-        width = np.minimum(words[x], words[y])
-        keep = np.zeros(len(x), bool)
-        for w in np.unique(width):
-            at = np.flatnonzero(width == w)
-            rows, inv = np.unique(np.concatenate((x[at], y[at])), return_inverse=True)
-            table = np.stack([_fold(np.frombuffer(raw[r], U64), int(w)) for r in rows])
-            differ = np.bitwise_count(table[inv[:len(at)]] ^ table[inv[len(at):]]).sum(1).astype(np.int64)
-            keep[at] = may_link(n[x[at]], n[y[at]], differ, tiles)
-        return cls[x[keep]], cls[y[keep]]
+        tables: dict[int, np.ndarray] = {}
+
+        def table(w: int) -> np.ndarray:  # bitmaps at one width; rows with narrower ones stay 0 and are not asked for
+            if w not in tables:
+                tables[w] = np.zeros((len(raw), w), U64)
+                for r in np.flatnonzero(words >= w):
+                    tables[w][r] = _fold(np.frombuffer(raw[r], U64), w)
+            return tables[w]
+
+        sizes = np.diff(cut)
+        left = np.repeat(cut[1:], sizes) - np.arange(cut[-1]) - 1  # rows of the unit after each row
+        for step in range(1, int(sizes.max(initial=1))):
+            x = np.flatnonzero(left >= step)
+            y = x + step
+            ok = (comp[x] != comp[y]) & ((i[x] == j[x]) | (own[x] != own[y])) & may_link(n[x], n[y], np.abs(n[x] - n[y]), tiles)
+            x, y = x[ok], y[ok]
+            width = np.minimum(words[x], words[y])
+            for w in np.unique(width):
+                at = np.flatnonzero(width == w)
+                bits = table(int(w))
+                for lo in range(0, len(at), COMPARED):  # bounded memory for wide bitmaps
+                    p, q = x[at[lo:lo + COMPARED]], y[at[lo:lo + COMPARED]]
+                    differ = np.bitwise_count(bits[p] ^ bits[q]).sum(1).astype(np.int64)
+                    keep = may_link(n[p], n[q], differ, tiles)
+                    if keep.any():
+                        yield p[keep], q[keep], differ[keep] / (n[p[keep]] + n[q[keep]])
 
     def run(batches):
         held = None
@@ -303,17 +348,27 @@ def leftovers(keys: DataFrame, labels: DataFrame, sets: DataFrame, tiles: Tiles)
         cols = [t.column(c).to_numpy() for c in unit]
         new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1 if len(t) > 1 else np.zeros(0, int)
         cut = np.concatenate(([0], new, [len(t)]))
-        done = len(cut) - 1 if last else len(cut) - 2
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for s, e in zip(cut[:done], cut[1:done + 1]):
-            if e - s > 1:
-                x, y = compare(t.slice(s, e - s))
-                a.append(x)
-                b.append(y)
-        a, b = np.concatenate(a), np.concatenate(b)
-        if len(a):
-            yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
-        return t.slice(cut[done]) if not last and cut[done] < len(t) else None
+        if not last:
+            cut = cut[:-1]  # the last unit may go on in the next batch
+        whole = t.slice(0, cut[-1])
+        cls = whole.column("cls").to_numpy()
+
+        def batch(x, y):
+            return pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(cls[x], cls[y])), "b": pa.array(np.maximum(cls[x], cls[y]))})
+
+        found = pairs(whole, cut) if len(whole) else iter(())
+        if not closest:
+            for x, y, _ in found:
+                yield batch(x, y)
+        elif found := [(x, y, far) for x, y, far in found]:
+            x, y, far = (np.concatenate(c) for c in zip(*found))
+            comp = whole.column("comp").to_numpy()
+            key = [np.searchsorted(cut, x, "right"), np.minimum(comp[x], comp[y]), np.maximum(comp[x], comp[y])]
+            order = np.lexsort((far, *key))
+            first = np.ones(len(order), bool)
+            first[1:] = np.any([k[order][1:] != k[order][:-1] for k in key], axis=0)
+            yield batch(x[order[first]], y[order[first]])
+        return t.slice(cut[-1]) if cut[-1] < len(t) else None
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
@@ -323,12 +378,20 @@ def linked(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Data
     tiles = Tiles(num, den)
     rows = documents(docs, k)
     keys = shared_keys(docs, k, tiles)
-    sets = class_sets(docs, rows, keys, k)
-    first = staged(verified(stars(keys), sets, tiles), "ngram-first")
-    labels = components(first)
-    rest = verified(leftovers(keys, labels, sets, tiles), sets, tiles)
-    joined = staged(first.union(rest), "ngram-all")
-    return rows, components(joined)
+    classes = class_table(rows, keys)
+    pairs = staged(plausible(stars(keys), classes, tiles), "ngram-pairs")
+    links = verified(docs, classes, pairs, k, tiles, "ngram-stars")
+    labels = components(links)
+    tried = None
+    # components that have many links between them are joined by their closest pairs before all pairs are looked at
+    for closest in (True, False):
+        rest = leftovers(keys, labels, classes, tiles, closest)
+        rest = staged(rest if tried is None else rest.join(tried, ["a", "b"], "left_anti"), "ngram-rest")
+        if rest.isEmpty():
+            break
+        links = links.union(verified(docs, classes, rest, k, tiles, "ngram-more"))
+        labels, tried = components(links), rest
+    return rows, labels
 
 
 def join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:

@@ -39,7 +39,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     scored = quality_fm.score(docs, quality_fm.fit(docs, labels))
-    return scored.select("doc_id", (learn.fold() == learn.HELD_OUT).alias("held_out"), "score", (F.col("score") >= quality_fm.THRESHOLD).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(learn.fold() == learn.HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= quality_fm.THRESHOLD).cast("int").alias("predicted"))
 
 
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
