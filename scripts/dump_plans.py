@@ -11,7 +11,7 @@ from onlineview.plans import catalog  # noqa: E402
 from onlineview.session import local_session  # noqa: E402
 
 NAMES = ["latest_events", "latest_by_max_by", "snapshot_counts", "changes_since", "hash_fields",
-         "tag_aggregate", "batch_get", "reconcile_report", "as_of_on_hour_layout"]
+         "tag_aggregate", "point_get", "batch_get", "reconcile_report", "as_of_on_hour_layout"]
 
 
 def as_of_on_hour_layout(spark, sf):
@@ -35,10 +35,10 @@ def main():
            "* `latest_by_max_by` / `changes_since`: partial aggregate below the exchange (map-side combine);"
            " `changes_since` replaces two window shuffles + a join with one aggregate.",
            "* `snapshot_counts`: one global aggregate over a union, no join.",
-           "* `batch_get`: the store is streamed (never a broadcast build side); only the size-checked"
-           " spine keys and the matches bounded by them are broadcast.",
-           "* `reconcile_report`: one full outer sort-merge join on `key`; the online table scan has"
-           " `PartitionFilters` on the feature group.",
+           "* `batch_get`: one left join on the key, no hint; AQE decides from run-time sizes.",
+           "* `tag_aggregate`: the scan reads typed feature columns, not the field map.",
+           "* `point_get`: the scan lists one bucket folder.",
+           "* `reconcile_report`: one full outer join on `key`.",
            "* `as_of_on_hour_layout`: `PartitionFilters` on year/month/day/hour plus `ts` in `PushedFilters`.",
            ""]
     for name in NAMES:
