@@ -5,6 +5,11 @@ it. Lines over ``max_ratio`` that occur on at least ``min_pages`` pages are boil
 that host and are dropped from its pages. Exact copies of a page count as one page of
 their host, so that a page copied many times is not taken for boilerplate.
 
+The ratio lies where the measured ratios part: licence lines and the like stand on 0.2 % of a site's
+pages or more in large sites, lines that only near copies share nearly all on less. In sites of under
+``min_pages / max_ratio`` pages the page floor decides; at 3 a pair of near copies in one site keeps
+its text, and a line on one or two pages of a site is never boilerplate of it.
+
 Defined results: a null text stays null; a text whose lines all go becomes empty; empty
 lines are kept and never counted; rows with a null host are one host; repeated rows stay
 repeated; all columns but the text are unchanged, whatever their names; an empty table
@@ -18,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .tables import staged
 
-MAX_RATIO = 0.1
-MIN_PAGES = 5
+MAX_RATIO = 0.002
+MIN_PAGES = 3
 
 
 def _lines(text: Column) -> Column:

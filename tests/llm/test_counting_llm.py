@@ -300,6 +300,15 @@ def test_line_dedup(spark, make):
     assert line_dedup.drop_boilerplate(fx.empty(spark)).count() == 0
 
 
+def test_licence_line_over_many_sites_and_in_a_hot_one_is_dropped(spark):
+    licence, copied = "Licensed under the Apache License, Version 2.0.", "a line that only two near copies share"
+    rows = [("hot", f"page {i}\n{licence}" if i % 150 == 0 else f"page {i}") for i in range(3000)]
+    rows += [(f"site{s}", "\n".join([f"page {s} {i}", *[licence] * (i < 4), *[copied] * (i in (7, 8))])) for s in range(10) for i in range(200)]
+    out = [r.text for r in line_dedup.drop_boilerplate(spark.createDataFrame(rows, "source string, text string")).collect()]
+    assert sum(licence in t for _, t in rows) == 60 and not any(licence in t for t in out)
+    assert sum(copied in t for t in out) == 20 and sorted(t.split("\n")[0] for t in out) == sorted(t.split("\n")[0] for _, t in rows)
+
+
 NORMAL = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
 
