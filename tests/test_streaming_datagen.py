@@ -74,6 +74,15 @@ def test_hourly_arrivals_stream(spark):
     assert got.count() == batch.count() - 1
 
 
+def test_registered_hourly_arrivals_hold_every_event(spark):
+    import __spark_entry__ as E
+    ev = R.table(spark, SF, "events")
+    every = {r.window_start: r.arrivals for r in E.queries()["hourly_arrivals"](spark, SF).collect()}
+    assert sum(every.values()) == ev.count()
+    closed = {r.window_start: r.arrivals for r in E.queries()["hourly_arrivals_streamed"](spark, SF).collect()}
+    assert closed and closed.items() < every.items() and max(every) not in closed
+
+
 def test_generator_invariants_and_layout(spark):
     ents = spark.range(1000).withColumnRenamed("id", "k")
     hist = G.generate_history(ents, "k", tombstone_share=0.03)
