@@ -4,7 +4,10 @@ The guess cost of a value is found by dynamic programming over its cheapest
 segmentation into ranked words, dates, repeats, keyboard walks and brute-force
 characters (log10 guesses, each further segment costing a factor of two). A value
 after a credential name that costs at least ``MIN_COST`` and touches no pattern span
-is added as a ``guess`` span.
+is added as a ``guess`` span, whatever its length. A value that opens with a quote ends
+at the closing quote of its line; any other ends at white space, or at a separator before the next
+credential name, less trailing punctuation and unmatched closing brackets. Code points
+beyond ASCII count as one more alphabet.
 
 Defined results: a null or empty text has no spans; positions are code points, ends
 exclusive; repeated rows get equal results; other columns are never read; an empty
@@ -31,12 +34,16 @@ KINDS = ("assign", "access", "hex", "guess")
 MIN_VALUE = 12
 MIN_ACCESS = 18
 
-#: Names that make what follows a credential value.
-CONTEXT = re.compile(rb"""(?i:pass(?:word|wd|phrase|code)?|pwd|secret(?:[_-]?key)?|token|api[_-]?key|access[_-]?key|private[_-]?key|auth(?:orization)?|credentials?|login)["']?[\x20\t]*(?:=>|:=|[:=])[\x20\t]*["']?([^\x00-\x20\x7f-\xff"'`,;<>()\[\]{}]+)""")
+_NAMES = rb"""(?i:pass(?:word|wd|phrase|code)?|pwd|secret(?:[_-]?key)?|token|api[_-]?key|access[_-]?key|private[_-]?key|auth(?:orization)?|credentials?|login)["']?[\x20\t]*(?:=>|:=|[:=])"""
+#: Names that make what follows a credential value: quoted, or up to white space or a separator before the next name.
+CONTEXT = re.compile(_NAMES + rb"""[\x20\t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|["'`]?((?:(?![,;&|?]["']?""" + _NAMES + rb""")[^\x00-\x20\x7f])+))""")
+_WHITE = re.compile(r"\s")
+_OPENERS = {")": "(", "]": "[", "}": "{", ">": "<"}
 _HINTS = (b"pass", b"pwd", b"secret", b"token", b"key", b"auth", b"credential", b"login")
-MIN_LENGTH = 8
 #: log10 of the guesses from which a value counts as a secret.
 MIN_COST = 9.0
+#: Characters of the alphabet that code points beyond ASCII add (those of Latin-1).
+BEYOND_ASCII = 96
 
 # Keyboard rows, and common password words in order of rank.
 _ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
@@ -58,15 +65,16 @@ def _keyboard() -> dict[str, set[str]]:
 
 _NEAR = _keyboard()
 _KEYS = len(_NEAR)
-_DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d")
-_YEAR = re.compile(r"(?:19|20)\d\d")
+_DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d", re.A)
+_YEAR = re.compile(r"(?:19|20)\d\d", re.A)
 _STEP = math.log10(2)
 
 
 def char_cost(text: str) -> float:
     """log10 of the alphabet that brute force has to try for each character of ``text``."""
-    size = sum(n for n, test in ((26, str.islower), (26, str.isupper), (10, str.isdigit)) if any(map(test, text)))
-    return math.log10(size + 33 * any(not c.isalnum() for c in text) or 1)
+    plain = [c for c in text if c.isascii()]
+    size = sum(n for n, test in ((26, str.islower), (26, str.isupper), (10, str.isdigit)) if any(map(test, plain)))
+    return math.log10(size + 33 * any(not c.isalnum() for c in plain) + BEYOND_ASCII * (len(plain) < len(text)) or 1)
 
 
 def guess_cost(text: str, words: dict[str, int]) -> tuple[float, list[tuple[str, int, int]]]:
@@ -76,7 +84,7 @@ def guess_cost(text: str, words: dict[str, int]) -> tuple[float, list[tuple[str,
     character, so one state each carries their best start; a repeat's start is dropped once an earlier
     one is cheaper, as it then is for every longer repeat. Time is about linear in the text.
     """
-    n, low = len(text), text.lower()
+    n, low = len(text), "".join(x if len(x := c.lower()) == 1 else c for c in text)  # one character for each
     longest, per, inf = max(map(len, words), default=0), char_cost(text), math.inf
     best, back = [0.0] + [inf] * n, [(0, "")] * (n + 1)
     dates: dict[int, list[tuple[int, float]]] = {}
@@ -144,15 +152,27 @@ def pattern_spans(text: bytes) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def trimmed(value: str) -> str:
+    """An unquoted value up to white space, without punctuation, quotes and unmatched closing brackets at its end."""
+    value = _WHITE.split(value, maxsplit=1)[0]
+    while value and (value[-1] in ".,:;\"'`" or value[-1] in _OPENERS and value.count(value[-1]) > value.count(_OPENERS[value[-1]])):
+        value = value[:-1]
+    return value
+
+
 def guess_spans(text: bytes, base: list[tuple[int, int, int]], words: dict[str, int], min_cost: float = MIN_COST) -> list[tuple[int, int, int]]:
     """Credential values of high guess cost that touch no span of ``base``."""
-    out = []
-    for m in CONTEXT.finditer(text):
-        value = m[1].rstrip(b".:")
-        st, en = m.start(1), m.start(1) + len(value)
-        if len(value) < MIN_LENGTH or any(a < en and st < b for a, _, b in base):
-            continue
-        if guess_cost(value.decode("ascii"), words)[0] >= min_cost:
+    out, pos = [], 0
+    while m := CONTEXT.search(text, pos):
+        st, pos = m.start(m.lastindex), m.end()
+        value = m[m.lastindex].decode("utf-8", "surrogateescape")
+        if m.lastindex == 4:
+            value = trimmed(value)
+        en = st + len(value.encode("utf-8", "surrogateescape"))
+        if any(a < en and st < b for a, _, b in base):
+            if m.lastindex < 4:  # names inside the quotes have values of their own
+                pos = st
+        elif value and guess_cost(value, words)[0] >= min_cost:
             out.append((st, 3, en))
     return out
 

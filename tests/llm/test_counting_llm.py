@@ -158,6 +158,22 @@ def test_guess_spans_are_added(spark):
     assert r.spans == "guess:7:22" and r.n_guess == 1
 
 
+@pytest.mark.parametrize("text, values", [
+    ("password: Grün-Wald#2981x.", ["Grün-Wald#2981x"]), ("é pwd=ab(c9$Kq2!x now", ["ab(c9$Kq2!x"]), ("pwd: x9$Kq2!, then", ["x9$Kq2!"]),
+    ('{"password": "two, w0rds; [x]", "n": 1}', ["two, w0rds; [x]"]), ("f(pwd='a\"b,c#9Z', token=zQ9,$k#)", ['a"b,c#9Z', "zQ9,$k#"]),
+    ("login=Xy9$kk!Q;token=abcdefghijklmnop", ["Xy9$kk!Q"]), ('auth: "bob password=Zq9$kk!Q token=abcdefghijklmnop"', ["Zq9$kk!Q"]),
+    ("password: 秘密の合言葉です, pwd: İİ9$Kq2!", ["秘密の合言葉です", "İİ9$Kq2!"]), ('password="",pwd=abc', []), ("password=hello token: 1999", [])])
+def test_whole_values_are_scored(spark, text, values):
+    r = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    spans = [x.split(":") for x in r.spans.split(",") if x.startswith("guess")]
+    assert [text[int(a):int(b)] for _, a, b in spans] == values and r.n_guess == len(values)
+
+
+def test_guess_cost_beyond_ascii():
+    for text in ("Grün-Wald#2981x", "ääää", "пароль2019", "é1999-12-31é"):
+        assert secret_scan.guess_cost(text, secret_scan.ranked())[0] == pytest.approx(brute_cost(text, secret_scan.ranked()), abs=1e-9), text
+
+
 def brute_cost(text, words):
     """Least cost over every segmentation, each segment as the cheapest of the kinds."""
     from functools import cache
