@@ -48,7 +48,8 @@ class ByteBpe:
 
     A text without white space beside a space or at its ends splits into words at its
     spaces, and the BPE never merges over such a split, so ids of words can be joined. Other
-    texts, and words with unusual characters, go to the tokenizer as they are. Plain words
+    texts, texts that hold the literal of an added token, which becomes that token's id, and
+    words with unusual characters go to the tokenizer as they are. Plain words
     use the rank file of the same vocabulary, which gives the same ids faster.
     """
 
@@ -58,8 +59,9 @@ class ByteBpe:
     def __init__(self, vocabulary: str, ranks: str | None):
         from tokenizers import Tokenizer
         self.full = Tokenizer.from_file(vocabulary)
-        self.full.encode_special_tokens = True
         self.full.no_truncation()
+        specials = [re.escape(t.content) for t in self.full.get_added_tokens_decoder().values()]
+        self._special = re.compile("|".join(specials)).search if specials else lambda text: None
         self.ranks = None
         if ranks:
             import public_tokenizers
@@ -80,7 +82,7 @@ class ByteBpe:
         return array(self.code, self.ids(" " + w)).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if not text or self._beside(text):
+        if not text or self._beside(text) or self._special(text):
             return array(self.code, self.ids(text)).tobytes()
         head, *rest = text.split(" ")
         return array(self.code, self.ids(head)).tobytes() + b"".join(map(self.words.__getitem__, rest))

@@ -107,6 +107,18 @@ def test_packing_round_trip(spark, make):
     assert packing.pack(fx.empty(spark)).count() == 0
 
 
+def test_special_token_literals_are_their_ids(spark):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(packing.default_tokenizer()[0])
+    texts = ["see <|endoftext|> here", "<|endoftext|>", "a<|endoftext|>b and c", "  <|endoftext|> x\n", "no <|endoftext| here", "plain words"]
+    got = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), with_ids=True).orderBy("doc_id", "start").collect()
+    ids = defaultdict(list)
+    for r in got:
+        ids[r.doc_id] += r.ids
+    assert ids == {i: tok.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
+    assert ids[0] == [3826, 220, 50256, 994, 0]
+
+
 def test_hilbert_is_a_curve():
     for dims, bits in ((2, 4), (3, 3)):
         grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), -1).reshape(-1, dims)
