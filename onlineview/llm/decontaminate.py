@@ -5,8 +5,10 @@ them, if it has fewer). The automaton runs over word numbers, once over each tex
 over stretches of benchmark words at least as long as the shortest window, since no window
 can lie elsewhere. Hits are mapped back to code points of the original text.
 
-The benchmark reaches the driver in parts of at most ``PART_BYTES``; a larger one is
-scanned for in several passes whose hits are merged in the row, so its size has no limit.
+The benchmark reaches the driver in parts of about ``PART_BYTES`` (an item is never split). A larger
+one is scanned for in one pass for each part: the part's hits are written, its automaton is given up
+before the next part is read, and Spark merges the hits by text. So the driver and the workers hold one
+part at a time, whatever the benchmark's size; the time grows with the number of parts.
 
 Defined results: a null or empty text has no words and no hits; an item without words has
 no window; a null item_id marks words but is not listed; items that share an id are one;
@@ -15,14 +17,15 @@ repeated rows get equal results; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
+from functools import reduce
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .tables import staged
 from .text import FOLD, PUNCTUATION, U64, Words, blob, bytes_of, chunks, mapped, set_batches
 
 WINDOW = 13
@@ -93,59 +96,87 @@ def _parts(benchmark: DataFrame, part_bytes: int) -> list[DataFrame]:
     return [items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items for k in range(n)]
 
 
+def _matcher(spark: SparkSession, part: DataFrame, window: int):
+    return spark.sparkContext.broadcast(Matcher([(r.item_id, bytes(r.text)) for r in part.collect()], window))
+
+
+def _key(text) -> Column:
+    return F.sha2(text, 256)  # hits depend on the text alone
+
+
+def _merged(docs: DataFrame, parts: list[DataFrame], window: int) -> DataFrame:
+    """mkey (of a text), hits (word positions, of one part each), found (items) of the texts with hits; one part is held at a time."""
+    texts, each_part = docs.select(bytes_of("text")), []
+    for part in parts:
+        matcher = _matcher(docs.sparkSession, part, window)
+        rows = mapped(texts.select(F.lit(None).cast("long").alias("doc_id"), "text"), _marker(matcher), _SCHEMA).filter(F.size("hits") > 0)
+        # copies of a text have the same hits
+        each_part.append(staged(rows.groupBy(_key("text").alias("mkey")).agg(F.first("hits").alias("hits"), F.first("items").alias("items")), "benchmark-hits"))
+        matcher.destroy()
+    return (reduce(DataFrame.union, each_part).groupBy("mkey")
+            .agg(F.flatten(F.collect_list("hits")).alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("found")))
+
+
+_SCHEMA = "doc_id long, text binary, hits array<binary>, items array<string>"
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
     """Every row of ``docs`` (doc_id, text as bytes) with n_words, items found and hit spans.
 
     ``spans`` are (start, end) in code points of the original text, merged over adjacent hit words;
     ``n_hit`` counts their words.
     """
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), bytes_of("text"),
-                      F.lit(None).cast("binary").alias("hit"), F.array().cast("array<string>").alias("items"))
-    spark: SparkSession = docs.sparkSession
-    schema = "doc_id long, text binary, hit binary, items array<string>"
-    for part in _parts(benchmark, part_bytes):  # one, unless the benchmark is larger than part_bytes
-        matcher = spark.sparkContext.broadcast(Matcher([(r.item_id, bytes(r.text)) for r in part.collect()], window))
-        out = mapped(out, _marker(matcher), schema)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), bytes_of("text"))
+    parts = _parts(benchmark, part_bytes)
+    if len(parts) == 1:
+        out = mapped(rows, _marker(_matcher(docs.sparkSession, parts[0], window)), _SCHEMA)
+    else:
+        merged = _merged(docs, parts, window)
+        out = (rows.join(merged, _key(rows["text"]) == merged["mkey"], "left")
+               .select("doc_id", "text", "hits", F.coalesce("found", F.array().cast("array<string>")).alias("items")))
     return mapped(out, _counts, "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>")
 
 
 def _marker(matcher):
+    """Each row of (doc_id, text) with the positions of its hit words, if any, and the items found."""
     def each(b):
         data, offs = blob(b.column(1))
-        hits, items = b.column(2).to_pylist(), [set(x) for x in b.column(3).to_pylist()]
+        hits, items = [[] for _ in range(b.num_rows)], [set() for _ in range(b.num_rows)]
         for i, j in chunks(offs):
             w = Words(FOLD[data[offs[i]:offs[j]]], offs[i:j + 1] - offs[i], PUNCTUATION)
             hit, found = matcher.value.find(w)
             for d, names in found:
                 items[i + d] |= names - {None}
             for d in {d for d, _ in found}:
-                now = np.flatnonzero(hit[w.bounds[d]:w.bounds[d + 1]])
-                old = np.frombuffer(hits[i + d], np.int64) if hits[i + d] else np.zeros(0, np.int64)
-                hits[i + d] = np.union1d(now, old).astype(np.int64).tobytes()
-        return {"doc_id": b.column(0), "text": b.column(1), "hit": pa.array(hits, pa.binary()), "items": pa.array([sorted(x) for x in items], pa.list_(pa.string()))}
+                hits[i + d] = [np.flatnonzero(hit[w.bounds[d]:w.bounds[d + 1]]).astype(np.int64).tobytes()]
+        return {"doc_id": b.column(0), "text": b.column(1), "hits": pa.array(hits, pa.list_(pa.binary())), "items": pa.array([sorted(x) for x in items], pa.list_(pa.string()))}
     return each
 
 
+def _positions(hits: list[bytes] | None) -> np.ndarray:
+    return np.unique(np.frombuffer(b"".join(hits or []), np.int64))
+
+
 def _counts(b):
     data, offs = blob(b.column(1))
-    hits = b.column(2).to_pylist()
+    hits = [_positions(h) for h in b.column(2).to_pylist()]
     n_words, spans = [], []
     for i, j in chunks(offs):
         d = data[offs[i]:offs[j]]
         w = Words(FOLD[d], offs[i:j + 1] - offs[i], PUNCTUATION)
         n_words.append(w.count)
         for k in range(i, j):
-            if not hits[k]:
+            at = hits[k]
+            if not len(at):
                 spans.append([])
                 continue
-            at = np.frombuffer(hits[k], np.int64)
             cut = np.flatnonzero(np.diff(at) != 1)
             first, last = at[np.append(0, cut + 1)] + w.bounds[k - i], at[np.append(cut, len(at) - 1)] + w.bounds[k - i]
             own = d[w.offs[k - i]:w.offs[k - i + 1]]
             cp = np.concatenate(([0], np.cumsum((own & 0xC0) != 0x80)))
             spans.append([{"start": int(cp[s]), "end": int(cp[e])} for s, e in zip(w.st[first] - w.offs[k - i], w.en[last] - w.offs[k - i])])
     return {"doc_id": b.column(0), "n_words": pa.array(np.concatenate(n_words).astype(np.int64)),
-            "n_hit": pa.array([len(h) // 8 if h else 0 for h in hits], pa.int64()), "items": b.column(3),
+            "n_hit": pa.array([len(h) for h in hits], pa.int64()), "items": b.column(3),
             "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))}
 
 
@@ -159,10 +190,13 @@ def digest(scanned: DataFrame, one_in: int = ONE_IN) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, one_in: int = ONE_IN, part_bytes: int = PART_BYTES) -> DataFrame:
     """The rows that are not contaminated, columns unchanged."""
-    spark = docs.sparkSession
-    matchers = [spark.sparkContext.broadcast(Matcher([(r.item_id, bytes(r.text)) for r in part.collect()], window)) for part in _parts(benchmark, part_bytes)]
+    spark, parts = docs.sparkSession, _parts(benchmark, part_bytes)
+    matcher = _matcher(spark, parts[0], window) if len(parts) == 1 else None
+    at, rows, n = docs.columns.index("text"), docs, len(docs.columns)
+    if matcher is None:
+        merged = _merged(docs, parts, window).drop("found").withColumnsRenamed({"mkey": "__mkey", "hits": "__hits"})
+        rows = docs.join(merged, _key(docs["text"].cast("string").cast("binary")) == merged["__mkey"], "left").drop("__mkey")
     set_batches(spark)
-    at = docs.columns.index("text")
 
     def run(batches):
         for b in batches:
@@ -172,10 +206,11 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, one_
             keep = np.ones(b.num_rows, bool)
             for i, j in chunks(offs):
                 w = Words(FOLD[data[offs[i]:offs[j]]], offs[i:j + 1] - offs[i], PUNCTUATION)
-                hit = np.zeros(len(w.st), bool)
-                for m in matchers:
-                    hit |= m.value.find(w)[0]
-                n_hit = np.add.reduceat(np.append(hit, False).astype(np.int64), w.bounds[:-1]) * (w.count > 0)
+                if matcher is None:
+                    n_hit = np.array([len(_positions(h)) for h in b.column(n).slice(i, j - i).to_pylist()], np.int64)
+                else:
+                    hit = matcher.value.find(w)[0]
+                    n_hit = np.add.reduceat(np.append(hit, False).astype(np.int64), w.bounds[:-1]) * (w.count > 0)
                 keep[i:j] = ~((n_hit > 0) & (one_in * n_hit >= w.count))
-            yield b.filter(pa.array(keep))
-    return docs.mapInArrow(run, docs.schema)
+            yield b.select(list(range(n))).filter(pa.array(keep))
+    return rows.mapInArrow(run, docs.schema)

@@ -382,6 +382,27 @@ def test_decontamination(spark, make, part_bytes):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(k[0] for k, n in want.items() if not k[-1] for _ in range(n))
 
 
+def test_one_part_of_the_benchmark_is_held_at_a_time(spark, monkeypatch):
+    from pyspark import SparkContext
+    from pyspark.core.broadcast import Broadcast
+    live, most, make, drop = [], [], SparkContext.broadcast, Broadcast.destroy
+
+    def broadcast(self, value):
+        live.append(make(self, value))
+        most.append(len(live))
+        return live[-1]
+
+    def destroy(self, blocking=False):
+        live.remove(self)
+        drop(self, blocking)
+    monkeypatch.setattr(SparkContext, "broadcast", broadcast)
+    monkeypatch.setattr(Broadcast, "destroy", destroy)
+    docs, bench = real(spark).limit(50), spark.read.parquet(f"{SF}/benchmark.parquet").limit(12)
+    for call in (decontaminate.scan, decontaminate.keep_clean):
+        assert call(docs, bench, part_bytes=600).count() <= 50
+    assert len(most) >= 4 and set(most) == {1} and not live
+
+
 def test_decontamination_spans_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "É x; Alpha-beta (GAMMA) ñ alpha beta gamma!")], "doc_id long, text string")
     bench = spark.createDataFrame([(5, "alpha beta gamma")], "item_id long, text string")
