@@ -6,7 +6,8 @@ num / den. All links between different sets are found, without comparing all pai
 1. Equal sets are one class; only classes go on.
 2. Sizes fall into bands so wide that linked classes lie in one band or two that touch. A
    tile is a band with the part of the next that can link into it. Linked sets of a tile differ in at
-   most D shingles, so of D + 2 hash ranges at least two hold the same shingles in both.
+   most D shingles, so of more than D hash ranges with shingles at least one holds the same in both. A tile
+   has as many ranges as its smallest sets need to fill more than D of them.
    Each class gives one key per range and tile; classes that share a key are candidates.
 3. In each key's group, members are compared with the member that shares most keys with others
    (a star, not all pairs). The popcount of the XOR of two bitmaps is at most the size of the
@@ -28,12 +29,12 @@ table gives an empty result.
 from __future__ import annotations
 
 import bisect
+import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from .tables import staged
 from .text import FOLD, U64, Words, blob, bytes_of, chunks, mapped, mix, mix_int, windows
@@ -58,6 +59,7 @@ class Tiles:
         while self.starts[-1] < BANDS_TO:  # two factors of den / num wide: about half of a band links into the one below
             a = self.starts[-1]
             self.starts.append(max(a + 1, a * den**2 // num**2))
+        self.ranges = [self._count(b) for b in range(len(self.starts) - 1)]  # counted once, so all workers agree
 
     def partner(self, size: int) -> int:
         """The largest set that one of this size can link with."""
@@ -74,6 +76,20 @@ class Tiles:
         t = self.top(band)
         return (t + self.partner(t)) * (self.den - self.num) // (self.den + self.num)
 
+    def _count(self, band: int) -> int:
+        """Ranges of a tile: from D + 2 up, as many as leave more than D filled by its smallest sets, four deviations apart.
+
+        At most twice D + 2, where the smallest tiles stop.
+        """
+        d, n = self.differences(band), self.starts[band]
+        k, most = d + 2, 2 * (d + 2)
+        while k < most:
+            empty = math.exp(-n / k)
+            if k * (1 - empty) - 4 * math.sqrt(k * empty * max(0.0, 1 - (1 + n / k) * empty)) > d:
+                break
+            k = min(most, k + max(1, k // 64))
+        return k
+
     def of(self, size: int) -> list[int]:
         """The tiles a set of this size belongs to."""
         b = self.band(size)
@@ -96,14 +112,15 @@ def keys_of(s: np.ndarray, tiles: Tiles) -> np.ndarray:
     """One key for each tile and hash range of a sorted set.
 
     Empty ranges are left out as long as more ranges than differences hold something: then
-    some range with shingles is still the same in both sets of any link.
+    some range with shingles is still the same in both sets of any link. The few sets that
+    fill fewer put out their empty ranges too.
     """
     out = []
     for tile in tiles.of(len(s)):
         d = tiles.differences(tile)
         if d == 0:
             continue  # only equal sets link
-        k = d + 2
+        k = tiles.ranges[tile]
         step = (1 << 64) // k
         cut = np.searchsorted(s, np.arange(1, k, dtype=U64) * U64(step))
         cut = np.concatenate(([0], cut, [len(s)]))
@@ -168,9 +185,15 @@ def class_table(rows: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def shared_keys(docs: DataFrame, k: int, tiles: Tiles) -> DataFrame:
-    """key, cls for keys that at least two classes have, written once."""
+    """key, cls for keys that at least two classes have, written once.
+
+    A task gives a class once. Keys are counted by partial minima and maxima and then joined back to
+    the rows, which are made again rather than kept, so no group of a key has to lie in one task.
+    """
+    seen = set()  # each task has its own copy
+
     def each(b):
-        keys, cls, seen = [], [], set()
+        keys, cls = [], []
         for s in shingle_sets(b.column(0), k):
             c = _class(s)
             if len(s) and c not in seen:
@@ -181,9 +204,8 @@ def shared_keys(docs: DataFrame, k: int, tiles: Tiles) -> DataFrame:
         return {"key": _long(np.concatenate([none.view(U64), *keys])), "cls": pa.array(np.concatenate([none, *cls]))}
 
     rows = mapped(docs.select(bytes_of("text")), each, "key long, cls long")
-    own = W.partitionBy("key")  # spills, so a hot key needs no memory
-    shared = rows.withColumn("lo", F.min("cls").over(own)).withColumn("hi", F.max("cls").over(own)).filter("lo < hi")
-    return staged(shared.select("key", "cls").distinct(), "ngram-keys")
+    shared = staged(rows.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("key"), "ngram-shared")
+    return staged(rows.join(shared, "key", "left_semi").repartition("key", "cls").distinct(), "ngram-keys")
 
 
 def class_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int) -> DataFrame:

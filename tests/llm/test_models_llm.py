@@ -129,6 +129,25 @@ def test_keys_are_never_missed(num, den):
     assert linked > 30
 
 
+@pytest.mark.parametrize("size", [50, 120, 189, 242, 294, 377, 460, 1000, 2734])
+def test_sets_that_share_nothing_share_no_key(size):
+    rng, tiles = np.random.default_rng(size), ngram_join.Tiles(80, 100)
+    keys = [k for _ in range(30) for k in ngram_join.keys_of(np.unique(rng.integers(0, 1 << 64, size, np.uint64)), tiles)]
+    assert len(set(keys)) == len(keys)
+
+
+def test_shared_keys_are_those_of_two_classes(spark):
+    tiles, texts = ngram_join.Tiles(80, 100), [" ".join(f"w{i * (j % 97 == 5 and d or 1)}" for j, i in enumerate(range(1, 300))) for d in (1, 7, 11)]
+    sets = {t: next(ngram_join.shingle_sets(ngram_join.pa.array([t.encode()]), 5)) for t in (*texts, "one two three four five six seven eight")}
+    by = defaultdict(set)
+    for s in sets.values():
+        for key in ngram_join.keys_of(s, tiles):
+            by[int(key.view(np.int64))].add(ngram_join._class(s))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*sets] * 40)], "doc_id long, text string").repartition(5)
+    got = Counter((r.key, r.cls) for r in ngram_join.shared_keys(docs, 5, tiles).collect())
+    assert got == Counter((k, c) for k, found in by.items() if len(found) > 1 for c in found) and got
+
+
 def test_word_hashes_do_not_depend_on_the_batch():
     import pyarrow as pa
     texts = ["alpha beta", "", None, "beta gamma  alpha", "x" * 70000 + " alpha", "y " * (1 << 20) + "beta", "beta"]
