@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, learn, line_dedup, ngram_join, packing, quality_fm, quality_rules, secret_scan, sharding, toxicity, url_filter
+from . import collocations, conversation_trie, decontaminate, learn, line_dedup, ngram_join, packing, quality_fm, quality_rules, secret_scan, sharding, toxicity, url_filter
 from .oracles import ORACLE
 from .tables import read
 
@@ -59,9 +59,17 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.digest(decontaminate.scan(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(read(spark, sf_dir, "conversations")).drop("a", "b", "pa", "pb")
+
+
 __all__ = ["ORACLE", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding, op2_toxicity, op3_url_filter, op4_packing, op5_quality_rules, op6_quality_classifier,
-        op7_secret_scans, op8_ngram_jaccard_join, op9_line_dedup, op10_benchmark_decontamination)}
+        op7_secret_scans, op8_ngram_jaccard_join, op9_line_dedup, op10_benchmark_decontamination, op12_phrase_collocations, op13_conversation_trie)}
