@@ -15,7 +15,7 @@ is done, never what is counted.
 
 Scores are exact: products are 38-digit decimals. Defined results: a null text has no words and a null
 language is `und`; repeated rows count as often as they stand; ties end with the phrase in byte order; a
-very long text is read whole, 2 MB of documents at a time (a longer one alone); other columns are
+very long text is read whole, 8 MB of documents at a time (a longer one alone); other columns are
 never read; an empty table, or one without frequent phrases, gives an empty result.
 """
 
@@ -42,6 +42,8 @@ TASK_SUFFIXES = 1 << 20
 LEAD_BITS = 16
 #: Frequent words are marked in 2^MARK_BITS bits, which are broadcast (2 MB); words that share a bit are only kept longer.
 MARK_BITS = 24
+#: Bytes of documents taken at once (a longer document alone).
+RUN_BYTES = 8 << 20
 #: Copies of the count table, over which equal parts of very many phrases are spread when they look up their counts.
 SALTS = 8
 
@@ -82,7 +84,7 @@ def _runs(batch):
     """Suffixes of each run of documents of a batch of (lang, text bytes)."""
     langs = batch.column(0)
     data, offs = blob(batch.column(1))
-    for i, j in chunks(offs):
+    for i, j in chunks(offs, RUN_BYTES):
         yield Suffixes(langs.slice(i, j - i), data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
 
 
@@ -376,7 +378,9 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, depth: int = DEPTH, to
     counts = word_counts(docs)
     phrases = phrase_counts(docs, counts, least, depth, task_suffixes)
     scored = cut_scores(phrases, counts, least).join(absorbed(phrases), ["lang", "phrase"], "left_anti")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    # the group limit below the exchange leaves each task at most ``top`` rows of a language
-    return (scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    first = lambda *by: F.row_number().over(Window.partitionBy("lang", *by).orderBy(F.desc("score"), F.desc("a"), "phrase"))
+    # a language's phrases are first limited in SALTS groups, so that its task ranks SALTS * top rows at most
+    salted = scored.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    salted = salted.withColumn("rank", first("salt")).filter(F.col("rank") <= top)
+    return (salted.withColumn("rank", first()).filter(F.col("rank") <= top)
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
