@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, conversation_trie, decontaminate, learn, line_dedup, ngram_join, packing, quality_fm, quality_rules, secret_scan, sharding, toxicity, url_filter
+from . import collocations, conversation_trie, decontaminate, language_id, learn, line_dedup, ngram_join, packing, quality_fm, quality_rules, secret_scan, sharding, toxicity, url_filter
 from .oracles import ORACLE
 from .tables import read
 
@@ -59,6 +59,12 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.digest(decontaminate.scan(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.fit(docs))
+    return found.select("doc_id", F.coalesce(learn.fold() == learn.HELD_OUT, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"))
 
@@ -72,4 +78,4 @@ __all__ = ["ORACLE", "QUERIES"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding, op2_toxicity, op3_url_filter, op4_packing, op5_quality_rules, op6_quality_classifier,
-        op7_secret_scans, op8_ngram_jaccard_join, op9_line_dedup, op10_benchmark_decontamination, op12_phrase_collocations, op13_conversation_trie)}
+        op7_secret_scans, op8_ngram_jaccard_join, op9_line_dedup, op10_benchmark_decontamination, op11_language_id, op12_phrase_collocations, op13_conversation_trie)}
