@@ -1,7 +1,7 @@
 """Phrase collocations: counts of all phrases of 2 to 5 words by multikey quicksort of suffix pointers.
 
-Every word position of a text starts a suffix, cut at its piece's end, at five words, and before a
-word that is itself too rare for any frequent phrase. Suffixes are routed over the whole corpus by
+Every word position of a text starts a suffix, cut at its piece's end, at five words, and before the first
+pair of words that is too rare for any frequent phrase (pairs are counted in hash buckets over the whole corpus). Suffixes are routed over the whole corpus by
 their leading words and equal ones of a batch travel as one with a weight. A task then holds all
 suffixes of its leads and sorts pointers to them, one word at a time, in three ways around a pivot:
 partitions below and above it go on at the same word, the equal one has found a phrase, whose count is its
@@ -21,8 +21,6 @@ never read; an empty table, or one without frequent phrases, gives an empty resu
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -38,15 +36,19 @@ TOP = 2000
 UNKNOWN = "und"
 #: Suffixes a task sorts, on average; a lead with more than an eighth of that is routed by one more word.
 TASK_SUFFIXES = 1 << 20
-#: Leads are weighed in 2^LEAD_BITS buckets for each length; that many counts at most come from a task.
+#: Leads are weighed in 2^LEAD_BITS buckets for each length.
 LEAD_BITS = 16
-#: Frequent words are marked in 2^MARK_BITS bits, which are broadcast (2 MB); words that share a bit are only kept longer.
-MARK_BITS = 24
+#: Word pairs are counted in a bucket for about 16 words of the corpus, 2^PAIR_BITS (16 MB of marks to broadcast) at most.
+#: A pair whose bucket is light is in no frequent phrase; pairs that share a bucket are only kept longer.
+PAIR_BITS = 24
+SLICE = 1 << 16
 #: Bytes of documents taken at once (a longer document alone).
 RUN_BYTES = 8 << 20
 #: Copies of the count table, over which equal parts of very many phrases are spread when they look up their counts.
 SALTS = 8
 
+#: Stands for the end of a suffix among the numbers of its words.
+END = (1 << 32) - 1
 #: Ends of pieces, and what stands between words of a piece.
 BREAK = np.zeros(256, bool)
 BREAK[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -76,10 +78,6 @@ class Suffixes:
         return key // max(len(self.words), 1), key % max(len(self.words), 1), n
 
 
-def _mark(lang: bytes, word: bytes) -> int:
-    return zlib.crc32(lang + b"\0" + word) & ((1 << MARK_BITS) - 1)
-
-
 def _runs(batch):
     """Suffixes of each run of documents of a batch of (lang, text bytes)."""
     langs = batch.column(0)
@@ -107,29 +105,18 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), bytes_of("text")).filter("text IS NOT NULL")
 
 
-def frequent_marks(counts: DataFrame, least: int) -> np.ndarray:
-    """Bits of the words with at least ``least`` occurrences in their language: at most 2^MARK_BITS / 64 rows."""
-    slot = F.crc32(F.concat(F.col("lang").cast("binary"), F.lit(b"\0"), F.col("word"))).bitwiseAND((1 << MARK_BITS) - 1)
-    bits = (counts.filter(F.col("n") >= least).withColumn("slot", slot)
-            .select(F.shiftright("slot", 6).cast("int").alias("k"), F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("b")))
-    out = np.zeros((1 << MARK_BITS) // 64, np.int64)
-    for r in bits.groupBy("k").agg(F.bit_or("b").alias("b")).collect():
-        out[r.k] = r.b
-    return out.view(U64)
-
-
 class Windows:
-    """Suffixes of a run that can hold a frequent phrase: ``at`` (their first word), ``size`` (words), ``lead[d]`` (hash of the first d words)."""
+    """Suffixes of a run that can hold a frequent phrase: ``at`` (their first word), ``size`` (words), ``lead[d]`` (hash of the
+    first d words). ``often`` tells by the hash of a pair whether it may be frequent; without it every pair is kept."""
 
-    def __init__(self, s: Suffixes, marks: np.ndarray, depth: int):
+    def __init__(self, s: Suffixes, depth: int, often=None):
         n = len(s.ids)
-        lang, word, _ = s.pairs()
-        slots = np.array([_mark(s.langs[i].encode(), s.words[j]) for i, j in zip(lang.tolist(), word.tolist())], np.int64)
-        kept = np.zeros((len(s.langs), len(s.words)), bool)
-        kept[lang, word] = (marks[slots >> 6] >> (slots & 63).astype(U64)) & U64(1) == 1
-        often = kept[s.lang, s.ids] if n else np.zeros(0, bool)
-        go = np.zeros(n, bool)
-        go[:-1] = s.same[:-1] & often[1:] & often[:-1]
+        digest = lambda xs: np.array([xxhash.xxh3_64_intdigest(x) for x in xs], U64)
+        tag, h = digest([x.encode() for x in s.langs])[s.lang], digest(s.words)[s.ids]
+        lead = mix(tag * U64(0x9E3779B97F4A7C15) + h)
+        nxt = np.roll(h, -1)
+        pair = mix(lead * U64(0x9E3779B97F4A7C15) + nxt)
+        go = s.same if often is None else s.same & often(pair)
         size = np.ones(n, np.int8)
         alive = go.copy()
         for k in range(1, depth):
@@ -138,27 +125,56 @@ class Windows:
             alive[max(n - k, 0):] = False
         self.at = np.flatnonzero(size > 1)
         self.size = size[self.at]
-        digest = lambda xs: np.array([xxhash.xxh3_64_intdigest(x) for x in xs], U64)
-        tag, h = digest([x.encode() for x in s.langs]), digest(s.words)
-        self.lead = {1: mix(tag[s.lang[self.at]] * U64(0x9E3779B97F4A7C15) + h[s.ids[self.at]])} if n else {1: np.zeros(0, U64)}
-        for d in range(2, depth + 1):
-            nxt = h[s.ids[np.minimum(self.at + d - 1, n - 1)]] if n else np.zeros(0, U64)
-            self.lead[d] = np.where(self.size >= d, mix(self.lead[d - 1] * U64(0x9E3779B97F4A7C15) + nxt), self.lead[d - 1])
+        self.lead = {1: lead[self.at], 2: pair[self.at]}
+        for d in range(3, depth + 1):
+            more = h[np.minimum(self.at + d - 1, max(n - 1, 0))]
+            self.lead[d] = np.where(self.size >= d, mix(self.lead[d - 1] * U64(0x9E3779B97F4A7C15) + more), self.lead[d - 1])
 
 
-def lead_weights(docs: DataFrame, marks, depth: int) -> DataFrame:
-    """d, bucket, n: suffixes by hash of their first d words, over all texts."""
-    def run(batches):
-        total = np.zeros((depth + 1, 1 << LEAD_BITS), np.int64)
+def _top(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> U64(64 - bits)).astype(np.int64)
+
+
+def _pack(values: np.ndarray) -> bytes:
+    return pa.compress(values.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, size: int, kind) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, size * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind)
+
+
+def bucket_counts(docs: DataFrame, depth: int, pair_bits: int) -> DataFrame:
+    """d, slice, data (SLICE counts, compressed): suffixes by hash of their first d words (d > 2: LEAD_BITS bits, 2: ``pair_bits``), over all texts."""
+    bits = {d: pair_bits if d == 2 else LEAD_BITS for d in range(2, depth + 1)}
+    schema = "d int, slice int, data binary"
+
+    def rows(total: dict) -> pa.RecordBatch:
+        keys = sorted(total)
+        return pa.RecordBatch.from_pydict({"d": pa.array([k[0] for k in keys], pa.int32()), "slice": pa.array([k[1] for k in keys], pa.int32()),
+                                           "data": pa.array([_pack(total[k]) for k in keys], pa.binary())})
+
+    def count(batches):
+        total = {d: np.zeros(1 << b, np.int64 if d > 2 else np.uint32) for d, b in bits.items()}
         for b in batches:
             for s in _runs(b):
-                w = Windows(s, marks.value, depth)
-                for d in range(2, depth + 1):
-                    lead = w.lead[d][w.size >= d]
-                    total[d] += np.bincount((lead >> U64(64 - LEAD_BITS)).astype(np.int64), minlength=1 << LEAD_BITS)
-        d, bucket = np.nonzero(total)
-        yield pa.RecordBatch.from_pydict({"d": pa.array(d, pa.int32()), "bucket": pa.array(bucket, pa.int32()), "n": pa.array(total[d, bucket], pa.int64())})
-    return _texts(docs).mapInArrow(run, "d int, bucket int, n long").groupBy("d", "bucket").agg(F.sum("n").alias("n"))
+                w = Windows(s, depth)
+                for d in bits:
+                    np.add.at(total[d], _top(w.lead[d][w.size >= d], bits[d]), total[d].dtype.type(1))
+        for d, t in total.items():
+            for k in range(0, len(t), SLICE):
+                if t[k:k + SLICE].any():
+                    yield rows({(d, k // SLICE): t[k:k + SLICE].astype(np.int64)})
+
+    def add(batches):
+        total = {}
+        for b in batches:
+            for d, k, data in zip(*(b.column(i).to_pylist() for i in range(3))):
+                got = _unpack(data, SLICE, np.int64)
+                total[d, k] = total[d, k] + got if (d, k) in total else got
+        if total:
+            yield rows(total)
+    # a slice has one row from each task that counted
+    return _texts(docs).mapInArrow(count, schema).repartition("d", "slice").mapInArrow(add, schema)
 
 
 def _merged(w: Windows, s: Suffixes, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -174,14 +190,15 @@ def _merged(w: Windows, s: Suffixes, depth: int) -> tuple[np.ndarray, np.ndarray
     return cols, np.concatenate((first, odd)), np.concatenate((n, np.ones(len(odd), np.int64)))
 
 
-def routed(docs: DataFrame, marks, heavy, depth: int, routes: int) -> DataFrame:
-    """route, words, ids, since, n: suffixes of a run of documents that go to one task.
+def routed(docs: DataFrame, plan, depth: int, routes: int) -> DataFrame:
+    """route, langs, words, size, ids, since, n: suffixes of a run of documents that go to one task.
 
-    ``ids`` has language and words of each suffix (a column each, indexes into ``words``, past the end the highest number); a
-    suffix counts for phrases of ``since`` words or more, ``n`` times.
+    ``ids`` has language and words of each of ``size`` suffixes (a column each, numbers in ``langs`` and ``words``, past the end the
+    highest number); a suffix counts for phrases of ``since`` words or more, ``n`` times. Words and columns are compressed.
     """
     def each(s: Suffixes):
-        w = Windows(s, marks.value, depth)
+        marks, heavy, pair_bits = plan.value
+        w = Windows(s, depth, lambda h: marks[_top(h, pair_bits)])
         if not len(w.at):
             return
         cols, first, n = _merged(w, s, depth)
@@ -191,7 +208,7 @@ def routed(docs: DataFrame, marks, heavy, depth: int, routes: int) -> DataFrame:
         parts = []
         for d in range(2, depth + 1):
             open_ = (since == 0) & (size >= d)
-            light = open_ & (np.full(len(first), d == depth) | ~heavy.value[d][(leads[d] >> U64(64 - LEAD_BITS)).astype(np.int64)])
+            light = open_ & (np.full(len(first), d == depth) | ~heavy[d][_top(leads[d], LEAD_BITS)])
             since[light] = d
             shorter = np.flatnonzero(open_ & ~light)  # the phrase of d words is counted by itself
             if len(shorter):
@@ -212,8 +229,8 @@ def routed(docs: DataFrame, marks, heavy, depth: int, routes: int) -> DataFrame:
         route = (lead % U64(routes)).astype(np.int64)
         order = np.argsort(route, kind="stable")
         cuts = np.flatnonzero(np.diff(route[order], prepend=-1, append=routes))
-        names = [x.encode() for x in s.langs]
-        out = {k: [] for k in ("route", "words", "ids", "since", "n")}
+        kinds = {"route": pa.int32(), "langs": pa.list_(pa.string()), "words": pa.binary(), "bytes": pa.int64(), "size": pa.int32(), "ids": pa.binary(), "since": pa.binary(), "n": pa.binary()}
+        out = {k: [] for k in kinds}
         for i, j in zip(cuts[:-1], cuts[1:]):
             at = order[i:j]
             mine = cols[:, at]
@@ -221,43 +238,41 @@ def routed(docs: DataFrame, marks, heavy, depth: int, routes: int) -> DataFrame:
             used, code = np.unique(mine[1:], return_inverse=True)
             code = code.reshape(depth, -1)
             if used[0] < 0:
-                used, code = used[1:], code - 1
-            kind = np.dtype("<u2" if len(used) + len(tags) < 65535 else "<u4")
-            code = np.where(code < 0, np.iinfo(kind).max, code + len(tags))
-            out["route"].append(int(route[order[i]]))
-            out["words"].append([names[k] for k in tags] + [s.words[k] for k in used.tolist()])
-            out["ids"].append(np.vstack((lang, code)).astype(kind).tobytes())
-            out["since"].append(since[at].tobytes())
-            out["n"].append(n[at].astype("<u4").tobytes())
-        kinds = {"route": pa.int32(), "words": pa.list_(pa.binary()), "ids": pa.binary(), "since": pa.binary(), "n": pa.binary()}
+                used, code = used[1:], np.where(code == 0, END, code - 1)
+            words = b" ".join(s.words[k] for k in used.tolist())  # a word holds no space
+            ids = np.vstack((lang, code)).astype("<u4")
+            row = (int(route[order[i]]), [s.langs[k] for k in tags], pa.compress(words, codec="zstd", asbytes=True), len(words), j - i,
+                   _pack(ids.view(np.uint8).reshape(-1, 4).T.copy()), _pack(since[at]), _pack(n[at].astype("<u4")))  # byte by byte, as high ones are alike
+            for k, v in zip(out, row):
+                out[k].append(v)
         yield pa.RecordBatch.from_pydict({k: pa.array(v, kinds[k]) for k, v in out.items()})
 
     def run(batches):
         for b in batches:
             for s in _runs(b):
                 yield from each(s)
-    return _texts(docs).mapInArrow(run, "route int, words array<binary>, ids binary, since binary, n binary")
+    return _texts(docs).mapInArrow(run, "route int, langs array<string>, words binary, bytes long, size int, ids binary, since binary, n binary")
 
 
 def gathered(batches, depth: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """All suffixes of a task: (words, columns of ids, since, n)."""
-    words, cols, since, n, before = [], [], [], [], 0
+    """All suffixes of a task: (names of languages and words, columns of ids into them, since, n)."""
+    names, cols, since, n, before = [], [], [], [], 0
     for b in batches:
-        lists = b.column(1)
-        words.append(lists.flatten())
-        sizes = pa.compute.list_value_length(lists).to_pylist()
-        for size, ids, s, k in zip(sizes, b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist()):
-            kind = np.dtype("<u2" if len(ids) == 2 * (depth + 1) * len(s) else "<u4")
-            got = np.frombuffer(ids, kind).reshape(depth + 1, -1)
-            cols.append(np.where(got == np.iinfo(kind).max, -1, got.astype(np.int64) + before))
-            since.append(np.frombuffer(s, np.int8))
-            n.append(np.frombuffer(k, "<u4").astype(np.int64))
-            before += size
+        for langs, words, length, size, ids, s, k in zip(*(b.column(i).to_pylist() for i in range(1, 8))):
+            got = _unpack(ids, 4 * size * (depth + 1), np.uint8).reshape(4, -1).T.copy().view("<u4").reshape(depth + 1, size)
+            found = [x.encode() for x in langs] + pa.decompress(words, length, codec="zstd", asbytes=True).split(b" ")
+            place = np.where(got == END, -1, got.astype(np.int64) + before)
+            place[1:] += np.where(got[1:] == END, 0, len(langs))
+            names.append(pa.array(found, pa.binary()))
+            cols.append(place.astype(np.int32))
+            since.append(_unpack(s, size, np.int8))
+            n.append(_unpack(k, size, "<u4").astype(np.int64))
+            before += len(found)
     if not cols:
         return pa.array([], pa.binary()), np.zeros((depth + 1, 0), np.int32), np.zeros(0, np.int8), np.zeros(0, np.int64)
-    coded = pa.concat_arrays(words).dictionary_encode()
+    coded = pa.concat_arrays(names).dictionary_encode()
     codes = np.append(coded.indices.to_numpy(), -1).astype(np.int32)  # the last stands for the end
-    return coded.dictionary, np.concatenate([codes[c] for c in cols], axis=1), np.concatenate(since), np.concatenate(n)
+    return coded.dictionary, codes[np.concatenate(cols, axis=1)], np.concatenate(since), np.concatenate(n)
 
 
 def multikey_sort(cols: np.ndarray, since: np.ndarray, n: np.ndarray, least: int, rng: np.random.Generator):
@@ -312,14 +327,19 @@ def multikey_sort(cols: np.ndarray, since: np.ndarray, n: np.ndarray, least: int
 
 def phrase_counts(docs: DataFrame, counts: DataFrame, least: int = MIN_COUNT, depth: int = DEPTH, task_suffixes: int = TASK_SUFFIXES) -> DataFrame:
     """lang, phrase, words, a: every phrase of 2 to ``depth`` words with at least ``least`` occurrences."""
-    spark = docs.sparkSession
-    marks = spark.sparkContext.broadcast(frequent_marks(counts, least))
-    weights = staged(lead_weights(docs, marks, depth), "collocation-leads")
-    total = weights.filter("d = 2").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    flags = np.zeros((depth + 1, 1 << LEAD_BITS), bool)
-    for r in weights.filter(F.col("n") > task_suffixes // 8).select("d", "bucket").collect():
-        flags[r.d, r.bucket] = True
-    heavy = spark.sparkContext.broadcast(flags)
+    words = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    pair_bits = min(PAIR_BITS, max(LEAD_BITS, (words // 16).bit_length()))
+    marks, heavy, total = np.zeros(1 << pair_bits, bool), np.zeros((depth + 1, 1 << LEAD_BITS), bool), 0
+    for r in bucket_counts(docs, depth, pair_bits).toLocalIterator():  # a slice at a time
+        got = _unpack(r.data, SLICE, np.int64)
+        if r.d == 2:
+            marks[r.slice * SLICE:(r.slice + 1) * SLICE] = got >= least
+            total += int(got[got >= least].sum())
+            wide = 1 << pair_bits - LEAD_BITS  # pair buckets of one lead bucket
+            heavy[2, r.slice * SLICE // wide:(r.slice + 1) * SLICE // wide] = np.add.reduceat(np.where(got >= least, got, 0), np.arange(0, SLICE, wide)) > task_suffixes // 8
+        else:
+            heavy[r.d] = got > task_suffixes // 8
+    plan = docs.sparkSession.sparkContext.broadcast((marks, heavy, pair_bits))
     routes = max(1, -(-total // task_suffixes))
 
     def sort(batches):
@@ -334,7 +354,7 @@ def phrase_counts(docs: DataFrame, counts: DataFrame, least: int = MIN_COUNT, de
         yield pa.RecordBatch.from_pydict({"lang": pa.array([names[i].decode() for i in cols[0, ptr]], pa.string()), "phrase": pa.array(text, pa.string()),
                                           "words": pa.array(size, pa.int32()), "a": pa.array(a, pa.int64())})
 
-    sent = routed(docs, marks, heavy, depth, routes)
+    sent = routed(docs, plan, depth, routes)
     return staged(sent.repartitionById(routes, "route").mapInArrow(sort, "lang string, phrase string, words int, a long"), "collocation-phrases")
 
 
