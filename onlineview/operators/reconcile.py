@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .encode import FIELDS, KEY
@@ -49,6 +49,23 @@ def diff(expected: DataFrame, stored: DataFrame, strict: bool = True) -> DataFra
                     F.size(fields).cast("long").alias("n_mismatched"))
 
 
+def digest_diff(spark: SparkSession, expected: DataFrame, root: str, group: str, strict: bool = True) -> tuple[DataFrame, set[int]]:
+    """:func:`diff` against the online table over the buckets whose digests differ from the expected ones, and those buckets.
+
+    The version table knows the digest of a bucket without change sets; one with some is compared in full.
+    """
+    from ..sinks import online_table as OT
+    at = OT.state(spark, root, group)
+    if not at.number:
+        raise FileNotFoundError(f"no committed online table under {root} for group {group!r}")
+    bucket = OT.bucket_of(KEY, len(at.buckets))
+    known = {r["bucket"]: (r["keys"], (r["h1"], r["h2"])) for r in  # one row for each bucket
+             OT.digests(expected.withColumn("bucket", bucket), "bucket").collect()}
+    opened = {k for k, b in enumerate(at.buckets) if b.digests is None or (b.keys, b.digests) != known.get(k, (0, (0, 0)))}
+    stored = OT.read_online(spark, root, group, check_ttl=False, buckets=opened, at=at)
+    return diff(expected.filter(bucket.isin(sorted(opened))), stored, strict), opened
+
+
 def summary(d: DataFrame) -> DataFrame:
     """Mismatch counters: keys per status and mismatched fields per status."""
     return d.groupBy("status").agg(F.count("*").alias("keys"),

@@ -127,8 +127,8 @@ def materialize(spark: SparkSession, source: str | None, contract: Contract, *,
         if online_root:
             recs = OT.records(snap, c, mode=write_mode, keep_metadata=keep_metadata, with_doc=target == "json",
                               ttl_anchor=ttl_anchor, exact_floats=exact_floats)
-            OT.write_online(spark, recs, online_root, c, mode=mode, buckets=buckets)
-            stored, written = OT.read_online(spark, online_root, c.feature_group, typed=c), n_live
+            written = OT.write_online(spark, recs, online_root, c, mode=mode, buckets=buckets).written
+            stored = OT.read_online(spark, online_root, c.feature_group, typed=c)
         else:
             out = snap.select(ENC.online_key(c).alias(ENC.KEY),
                               KV.payload(snap, c, target, write_mode, keep_metadata, exact_floats))

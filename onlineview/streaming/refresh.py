@@ -58,18 +58,19 @@ def _split(batch: DataFrame, c: Contract) -> tuple[DataFrame, DataFrame]:
 
 
 def changes_to_online(spark: SparkSession, root: str, c: Contract, *, ttl_anchor: str = "write",
-                      mode: str = "contract", buckets: int = OT.DEFAULT_BUCKETS) -> Callable[[DataFrame, int], None]:
+                      mode: str = "contract", buckets: int = OT.DEFAULT_BUCKETS, compact_after: int = OT.COMPACT_AFTER) -> Callable[[DataFrame, int], None]:
     """foreachBatch function for the online table: upsert live entities, delete tombstoned ones.
 
-    Only the buckets that the batch touches are rewritten.
+    A batch is one change set: files with its keys only. Buckets with ``compact_after`` change sets are folded.
     """
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        # the micro-batch is read several times (buckets, live, deleted): keep it instead of recomputing
+        # the micro-batch is read twice (live, deleted): keep it instead of recomputing
         batch = batch.persist()
         try:
             live, deleted = _split(batch, c)
             OT.apply_changes(batch.sparkSession, root, c, OT.records(live, c, mode=mode, ttl_anchor=ttl_anchor),
                              deleted, buckets=buckets)
+            OT.compact(batch.sparkSession, root, c, min_deltas=compact_after)
         finally:
             batch.unpersist()
     return apply

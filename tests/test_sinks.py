@@ -148,19 +148,137 @@ def test_empty_result_removes_everything(spark, tmp_path):
     assert store_fields(spark, root) == {}
 
 
-def test_only_touched_buckets_are_rewritten_and_old_files_go(spark, tmp_path):
+def _numbers(spark, n=500):
+    return spark.range(n).select(F.col("id").cast("string").alias("id"), F.lit(T1).alias("t"), F.lit(1.0).alias("x"))
+
+
+NO_KEYS = "key string"
+
+
+def test_change_sets_hold_only_their_keys_and_fold(spark, tmp_path):
     root = str(tmp_path / "online")
-    snap = spark.range(500).select(F.col("id").cast("string").alias("id"), F.lit(T1).alias("t"), F.lit(1.0).alias("x"))
-    OT.write_online(spark, OT.records(snap, C), root, C, buckets=8)
-    one = snap.filter("id = '7'").withColumn("x", F.lit(2.0))
-    for _ in range(4):
-        OT.apply_changes(spark, root, C, OT.records(one, C), spark.createDataFrame([], "key string"))
-    version, at = OT._current(spark, root, "g")["g"]
-    assert version == 5 and sorted(at.values()) == [1] * 7 + [5]
-    assert sorted(os.listdir(root + "/data/feature_group=g")) == ["version=1", "version=4", "version=5"]
-    assert OT.read_online(spark, root, "g").count() == 500
+    OT.write_online(spark, OT.records(_numbers(spark), C), root, C, buckets=8)
+    for k in range(4):
+        one = _numbers(spark).filter("id = '7'").withColumn("x", F.lit(2.0 + k))
+        done = OT.apply_changes(spark, root, C, OT.records(one, C), spark.createDataFrame([(f"fs:g:{k}",)], NO_KEYS))
+        assert (done.written, done.version) == (2, k + 2)
+    s = OT.state(spark, root, "g")
+    assert s.number == 5 and sum(len(b.deltas) for b in s.buckets) <= 8
+    base = {b.base for b in s.buckets}
+    new = [f"{root}/data/feature_group=g/write={w}" for w in s.writes - base]
+    assert len(base) == 1 and len(new) == 4 and spark.read.option("basePath", f"{root}/data").parquet(*new).count() == 8
+    got = OT.read_online(spark, root, "g")
+    assert got.count() == 496 and got.filter("key = 'fs:g:7'").first()["fields"]["x"] == "5.0"
+    before = {tuple(sorted(r["fields"].items())) for r in got.collect()}
+    OT.compact(spark, root, C, retain=0)
+    after = OT.state(spark, root, "g")
+    assert not any(b.deltas for b in after.buckets) and sum(b.keys for b in after.buckets) == 496
+    assert {tuple(sorted(r["fields"].items())) for r in OT.read_online(spark, root, "g").collect()} == before
+    OT.compact(spark, root, C, retain=0)  # nothing to do; what the first one replaced is old now
+    assert {x.partition("=")[2] for x in os.listdir(root + "/data/feature_group=g")} == after.writes
     got = OT.read_online(spark, root, "g", key="fs:g:7")
-    assert got.first()["fields"]["x"] == "2.0" and len({os.path.dirname(f) for f in got.inputFiles()}) == 1
+    assert got.first()["fields"]["x"] == "5.0" and len({os.path.dirname(f) for f in got.inputFiles()}) == 1
+
+
+def _in_buckets(df, n, chosen):
+    return df.filter(OT.bucket_of(F.concat(F.lit("fs:g:"), "id"), n).isin(chosen))
+
+
+@pytest.mark.parametrize("first", [0, 1])
+def test_two_writers_from_one_version(spark, tmp_path, first):
+    """Disjoint buckets both land; the loser of one bucket fails and the winner's rows stay."""
+    root, df = str(tmp_path / "online"), _numbers(spark, 100)
+    OT.write_online(spark, OT.records(df, C), root, C, buckets=4)
+    start = OT.state(spark, root, "g")
+    merges = [lambda: OT.write_online(spark, OT.records(_in_buckets(df, 4, [0, 1]).withColumn("x", F.lit(7.0)), C), root, C, mode="merge", start=start),
+              lambda: OT.write_online(spark, OT.records(_in_buckets(df, 4, [2]).withColumn("x", F.lit(8.0)), C), root, C, mode="merge", start=start)]
+    for k in (first, 1 - first):
+        merges[k]()
+    clash = OT.records(_in_buckets(df, 4, [1, 3]).withColumn("x", F.lit(9.0)), C)
+    folders = set(os.listdir(root + "/data/feature_group=g"))
+    for mode in ("merge", "replace"):
+        with pytest.raises(OT.CommitConflict):
+            OT.write_online(spark, clash, root, C, mode=mode, start=start)
+    assert set(os.listdir(root + "/data/feature_group=g")) == folders
+    OT.apply_changes(spark, root, C, OT.records(_in_buckets(df, 4, [3]).limit(1).withColumn("x", F.lit(5.0)), C), spark.createDataFrame([], NO_KEYS), start=start)
+    xs = [float(r["fields"]["x"]) for r in OT.read_online(spark, root, "g").collect()]
+    n = [_in_buckets(df, 4, [b]).count() for b in range(4)]
+    assert sorted(xs) == sorted([7.0] * (n[0] + n[1]) + [8.0] * n[2] + [5.0] + [1.0] * (n[3] - 1))
+
+
+def test_compaction_keeps_changes_that_came_in_meanwhile(spark, tmp_path):
+    root, df, none = str(tmp_path / "online"), _numbers(spark, 40), spark.createDataFrame([], NO_KEYS)
+    OT.write_online(spark, OT.records(df, C), root, C, buckets=2)
+    OT.apply_changes(spark, root, C, OT.records(df.filter("id < 5").withColumn("x", F.lit(2.0)), C), none)
+    start = OT.state(spark, root, "g")
+    OT.apply_changes(spark, root, C, OT.records(df.filter("id = '3'").withColumn("x", F.lit(3.0)), C), none)
+    OT.compact(spark, root, C, start=start)
+    s = OT.state(spark, root, "g")
+    assert sorted(len(b.deltas) for b in s.buckets) == [0, 1]
+    assert {r["key"]: r["fields"]["x"] for r in OT.read_online(spark, root, "g").filter("fields.x <> '1.0'").collect()} == {
+        f"fs:g:{k}": "3.0" if k == 3 else "2.0" for k in range(5)}
+    OT.write_online(spark, OT.records(df, C), root, C)
+    with pytest.raises(OT.CommitConflict):
+        OT.compact(spark, root, C, start=start)
+
+
+def test_a_reader_outlasts_later_commits(spark, tmp_path):
+    root = str(tmp_path / "online")
+    write(spark, root, [("a", T1, 1.0, False)], "replace")
+    reader = OT.read_online(spark, root, "g")
+    for _ in range(3):
+        write(spark, root, [("b", T1, 1.0, False)], "replace")
+    assert [r["key"] for r in reader.collect()] == ["fs:g:a"]
+    OT.vacuum(spark, root, "g", retain=0)
+    assert os.listdir(root + "/versions/feature_group=g") == ["version=4"] and len(os.listdir(root + "/data/feature_group=g")) == 1
+
+
+def test_sweep_opens_due_buckets_only(spark, tmp_path):
+    root, c = str(tmp_path / "online"), C.with_(ttl_seconds=60)
+    df = _numbers(spark, 50).withColumn("t", F.when(OT.bucket_of(F.concat(F.lit("fs:g:"), "id"), 4) == 2, F.lit(T1)).otherwise(F.lit(T2)))
+    OT.write_online(spark, OT.records(df, c, ttl_anchor="event"), root, c, buckets=4)
+    before = OT.state(spark, root, "g")
+    done = OT.sweep(spark, root, c, clock=datetime(2024, 1, 1, 12))
+    after = OT.state(spark, root, "g")
+    assert [a == b for a, b in zip(before.buckets, after.buckets)] == [True, True, False, True]
+    assert after.buckets[2] == OT.Bucket() and done.written == 0
+    assert OT.read_online(spark, root, "g", check_ttl=False).count() == 50 - before.buckets[2].keys
+    assert OT.sweep(spark, root, c, clock=datetime(2024, 1, 1, 12)).version == after.number
+
+
+def _scanned(df) -> int:
+    """Rows that the file scans of an executed plan put out."""
+    df.collect()
+    todo, rows = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("Scan parquet"):
+            rows += node.metrics().apply("numOutputRows").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+    return rows
+
+
+def test_point_read_of_an_absent_key_skips_row_groups(spark, tmp_path):
+    root = str(tmp_path / "online")
+    OT.write_online(spark, OT.records(_numbers(spark, 2000).filter("id % 2 = 0"), C), root, C, buckets=2)
+    assert _scanned(OT.read_online(spark, root, "g", key="fs:g:1000")) > 0
+    assert [_scanned(OT.read_online(spark, root, "g", key=f"fs:g:{k}")) for k in (1001, 555, 999)] == [0, 0, 0]
+
+
+def test_digests_open_differing_buckets_only(spark, tmp_path):
+    root, snap = str(tmp_path / "online"), _numbers(spark, 300)
+    expected = ENC.hash_fields(snap, C)
+    OT.write_online(spark, OT.records(snap.filter("id <> '5'").withColumn("x", F.when(F.col("id") == "9", 4.0).otherwise(F.col("x"))), C), root, C, buckets=16)
+    d, opened = RC.digest_diff(spark, expected, root, "g")
+    assert {(r["key"], r["status"]) for r in d.filter("status <> 'same'").collect()} == {("fs:g:5", "missing"), ("fs:g:9", "changed")}
+    assert opened == {OT.bucket_number(k, 16, spark) for k in ("fs:g:5", "fs:g:9")}
+    assert {f.split("bucket=")[1].split("/")[0] for f in d.inputFiles() if "bucket=" in f} == {str(k) for k in opened}
+    OT.apply_changes(spark, root, C, OT.records(snap.filter("id in ('5', '9')"), C), spark.createDataFrame([], NO_KEYS))
+    assert RC.digest_diff(spark, expected, root, "g")[0].filter("status <> 'same'").count() == 0
+    OT.compact(spark, root, C)
+    assert RC.digest_diff(spark, expected, root, "g")[1] == set()
 
 
 def test_typed_columns_prune_the_scan(spark, tmp_path):
