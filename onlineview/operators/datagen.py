@@ -53,6 +53,28 @@ def entity_ids(entities: DataFrame, id_column: str) -> DataFrame:
     return entities.select(F.format_string("C%06d", F.col(id_column)).alias("customer_id"))
 
 
+def _smallest(ids: DataFrame, draw: Column, cid: Column, n: int) -> Column:
+    """Condition that holds for the ``n`` ids with the smallest (draw, id), found by counting.
+
+    Draws are 32-bit numbers. Two passes count them by their upper and lower half (2^16 counts each at most); only ids
+    of one and the same draw are compared by name. Nothing is sorted or limited.
+    """
+    if n <= 0:
+        return F.lit(False)
+    before, upper = 0, None
+    for half in (F.floor(draw / 65536), F.pmod(draw, F.lit(65536))):
+        rows = ids if upper is None else ids.filter(F.floor(draw / 65536) == upper)
+        for r in sorted(rows.groupBy(half.cast("long").alias("h")).agg(F.count(F.lit(1)).alias("n")).collect()):
+            if before + r["n"] >= n:
+                break
+            before += r["n"]
+        else:
+            return F.lit(True)  # there are no more than n ids
+        upper, last = (r["h"], 0) if upper is None else (upper, upper * 65536 + r["h"])
+    tied = sorted(x[0] for x in ids.filter(draw == last).select(cid).collect())  # one in 2^32 of the ids
+    return (draw < last) | ((draw == last) & (cid <= tied[n - before - 1]))
+
+
 def generate_history(entities: DataFrame, id_column: str, *, tombstone_share: float = 0.03,
                      tombstones: int | None = None, salt: str = "42", base: datetime = DEFAULT_BASE) -> DataFrame:
     """History rows for every entity of ``entities``.
@@ -68,9 +90,7 @@ def generate_history(entities: DataFrame, id_column: str, *, tombstone_share: fl
     if tombstones is None:
         tomb = draw < F.lit(tombstone_share)
     else:
-        chosen = ids.distinct().orderBy(draw, cid).limit(tombstones).withColumn("chosen", F.lit(True))
-        ids = ids.join(chosen, "customer_id", "left")
-        tomb = F.col("chosen").isNotNull()
+        tomb = _smallest(ids.distinct(), md5_int(s, F.lit("d"), cid), cid, tombstones)
     # hours without replacement: rotate [0,1,2] by a hash and keep the first n
     rot = F.pmod(md5_int(s, F.lit("h"), cid), F.lit(3)).cast("int")
     per_entity = ids.select(cid, n_versions.alias("n"), tomb.alias("tomb"), rot.alias("rot"))

@@ -49,6 +49,16 @@ def written_columns(df: DataFrame, c: Contract, mode: str = "contract",
     return [x for x in df.columns if x not in skip]
 
 
+def needed(hist: DataFrame, c: Contract, mode: str = "contract", keep_metadata: bool = False) -> DataFrame:
+    """Written columns, ranking columns and the tombstone flag of a history: what has to be ranked and shuffled.
+
+    Full ties are then ranked by the written columns, which is all that can differ in the result.
+    """
+    need = {*written_columns(hist, c, mode, keep_metadata), c.entity_column, c.event_time_column,
+            c.write_time_column, c.deleted_column, *c.tiebreak_columns}
+    return hist.select(*[x for x in hist.columns if x in need])
+
+
 def project(df: DataFrame, c: Contract, mode: str = "contract", keep_metadata: bool = False) -> DataFrame:
     """Projection of a snapshot onto the written columns (typed, not text)."""
     return df.select(*written_columns(df, c, mode, keep_metadata))

@@ -29,6 +29,11 @@ SAMPLE = 25
 POINT_KEY = "fs:events:7"
 GEN_SALT = "42"
 GEN_TOMBSTONE_SHARE = 0.03
+GEN_TOMBSTONES = 40
+CHANGE_SETS = 3
+#: A user whose record is missing in the store, and one whose value is.
+FAULTS = (7, 11)
+LATE_HOURS = 6
 STREAM_SLICES = 4
 #: Factors that move ordinary values out of the range where the JVM's shortest text is exact.
 DOUBLE_SCALES = [2.0 ** -44, 2.0 ** 60, 1e-300, 1.0, 1e17 / 3]
@@ -109,11 +114,11 @@ def changes_since(spark, sf):
 
 # ------------------------------------------------------------------ encoding
 def hash_fields(spark, sf):
-    return ENC.long_fields(S.latest(R.events(spark, sf), R.EVENTS), R.EVENTS)
+    return ENC.long_fields(S.latest(ENC.needed(R.events(spark, sf), R.EVENTS), R.EVENTS), R.EVENTS)
 
 
 def orders_hash_fields(spark, sf):
-    return ENC.long_fields(S.latest(R.orders(spark, sf), R.ORDERS), R.ORDERS)
+    return ENC.long_fields(S.latest(ENC.needed(R.orders(spark, sf), R.ORDERS), R.ORDERS), R.ORDERS)
 
 
 def json_docs(spark, sf):
@@ -173,7 +178,7 @@ def _online(spark, sf, contracts=("events",), ttl_anchor="write", contract_over=
         if contract_over and name in contract_over:
             c = contract_over[name]
         src = {"events": R.events, "orders": R.orders, "conversations": R.conversations}[name](spark, sf)
-        recs = OT.records(S.latest(src, c), c, ttl_anchor=ttl_anchor)
+        recs = OT.records(S.latest(ENC.needed(src, c), c), c, ttl_anchor=ttl_anchor)
         OT.write_online(spark, recs, root, c)
     return root
 
@@ -270,6 +275,94 @@ def ttl_merge(spark, sf):
     return ENC.explode_fields(OT.read_online(spark, root, "events", clock=TTL_CLOCK))
 
 
+def _halves(df, n):
+    """The records whose bucket is even, and the others."""
+    odd = OT.bucket_of("key", n) % 2
+    return df.filter(odd == 0), df.filter(odd == 1)
+
+
+def _old_and_new(spark, sf):
+    ev = R.events(spark, sf)
+    root = scratch_path(spark, "online")
+    OT.write_online(spark, OT.records(S.snapshot_as_of(ev, R.EVENTS, CHANGES_AS_OF), R.EVENTS), root, R.EVENTS)
+    return root, ev
+
+
+def concurrent_merge(spark, sf):
+    """Three writers start from one version: two merge into disjoint buckets, the third comes too late for its bucket."""
+    root, ev = _old_and_new(spark, sf)
+    start = OT.state(spark, root, "events")
+    new = OT.records(S.latest(ev, R.EVENTS), R.EVENTS)
+    for part in _halves(new, len(start.buckets)):
+        OT.write_online(spark, part, root, R.EVENTS, mode="merge", start=start)
+    spoiled = new.withColumn("fields", F.transform_values("fields", lambda k, v: F.lit("lost")))
+    try:
+        OT.write_online(spark, spoiled, root, R.EVENTS, mode="merge", start=start)
+    except OT.CommitConflict:
+        pass
+    return _fields_stored(spark, root)
+
+
+def _change_sets(spark, sf):
+    """The old snapshot with the newest one on top, in three change sets of live records and deleted keys."""
+    root, ev = _old_and_new(spark, sf)
+    last = S.latest(ev, R.EVENTS, drop_tombstones=False).withColumn("part", F.pmod(F.xxhash64("user_id"), F.lit(CHANGE_SETS)))
+    last = last.persist()
+    for k in range(CHANGE_SETS):
+        some = last.filter(F.col("part") == k)
+        OT.apply_changes(spark, root, R.EVENTS, OT.records(some.filter("NOT is_deleted"), R.EVENTS),
+                         some.filter("is_deleted").select(ENC.online_key(R.EVENTS).alias("key")))
+    last.unpersist()
+    return root
+
+
+def change_sets_on_read(spark, sf):
+    root = _change_sets(spark, sf)
+    return ON.typed_view(OT.read_online(spark, root, "events", typed=R.EVENTS), R.EVENTS)
+
+
+def change_sets_folded(spark, sf):
+    root = _change_sets(spark, sf)
+    OT.compact(spark, root, R.EVENTS)
+    at = OT.state(spark, root, "events")
+    assert not any(b.deltas for b in at.buckets)
+    return ON.typed_view(OT.read_online(spark, root, "events", typed=R.EVENTS, at=at), R.EVENTS)
+
+
+def expiry_sweep(spark, sf):
+    """Keys left in the files, expired or not, after a sweep by a fixed clock."""
+    from datetime import datetime
+    c = R.EVENTS.with_(ttl_seconds=TTL_SECONDS)
+    root = _online(spark, sf, ttl_anchor="event", contract_over={"events": c})
+    OT.sweep(spark, root, c, clock=datetime.fromisoformat(TTL_CLOCK))
+    return OT.read_online(spark, root, "events", check_ttl=False).select("key")
+
+
+def observed_writes(spark, sf):
+    """Records that a replacement and two change sets wrote, as observed in the writing tasks."""
+    ev = R.events(spark, sf)
+    root = scratch_path(spark, "online")
+    live = OT.records(S.latest(ev, R.EVENTS), R.EVENTS)
+    done = [("replace", OT.write_online(spark, live, root, R.EVENTS))]
+    none = live.select("key").limit(0)
+    done += [(f"changes {k}", OT.apply_changes(spark, root, R.EVENTS, part, none)) for k, part in enumerate(_halves(live, 16))]
+    rows = [(name, d.written) for name, d in done]
+    total = OT.read_online(spark, root, "events").agg(F.lit("stored").alias("step"), F.count("*").alias("records"))
+    return total.unionByName(spark.createDataFrame([("replace", rows[0][1]), ("changes", rows[1][1] + rows[2][1])], "step string, records long"))
+
+
+def digest_reconcile(spark, sf):
+    """Planted faults, found by opening only the buckets whose digests differ."""
+    snap = S.latest(R.events(spark, sf), R.EVENTS)
+    expected = ENC.hash_fields(snap, R.EVENTS)
+    root = scratch_path(spark, "online")
+    faulty = snap.filter(F.col("user_id") != FAULTS[0]).withColumn("value", F.when(F.col("user_id") != FAULTS[1], F.col("value")))
+    more = snap.orderBy("user_id").limit(1).withColumn("user_id", F.lit(-1).cast(snap.schema["user_id"].dataType))
+    OT.write_online(spark, OT.records(faulty.unionByName(more), R.EVENTS), root, R.EVENTS, buckets=64)
+    d, _ = RC.digest_diff(spark, expected, root, "events")
+    return d.filter("status <> 'same'").select("key", "status", F.array_join("mismatched_fields", ",").alias("mismatched"))
+
+
 def prefix_key_count(spark, sf):
     root = _online(spark, sf, contracts=("events", "orders", "conversations"))
     return ON.keys_per_group(OT.read_online(spark, root))
@@ -361,6 +454,26 @@ def hourly_arrivals_streamed(spark, sf):
     return got.select(F.col("window_start").cast("timestamp_ntz"), "arrivals")
 
 
+def late_arrivals(spark, sf):
+    """Hours with their records on time and late. A thirteenth of the records arrives six hours after its time."""
+    from ..streaming import refresh as RF
+    src, out, ckpt = (scratch_path(spark, n) for n in ("stream-src", "arrivals", "stream-ckpt"))
+    ev = R.table(spark, sf, "events").select("event_id", "ts")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    arrival = us + F.when(F.col("event_id") % 13 == 0, LATE_HOURS * 3_600_000_000).otherwise(0)
+    lo, hi = ev.agg(F.min(arrival), F.max(arrival)).first()
+    nth = F.call_function("div", (arrival - (lo or 0)) * HOURLY_SLICES, F.lit((hi or 0) - (lo or 0) + 1).cast("long"))
+    for i in range(HOURLY_SLICES):  # a slice is a batch
+        ev.filter(nth == i).coalesce(1).write.mode("append").parquet(src)
+        (RF.history_stream(spark, src, ev.schema).writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
+           .foreachBatch(RF.split_arrivals("ts", out, lateness=f"{HOURLY_LATENESS_MINUTES} minutes")).start().awaitTermination())
+    hour = F.window(F.col("ts").cast("timestamp"), "1 hour")["start"]
+    late = spark.read.schema(ev.schema).parquet(f"{out}/late").groupBy(hour.alias("window_start")).agg(F.count("*").alias("late"))
+    both = RF.arrivals(spark, out).join(late, "window_start", "full_outer")
+    return both.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), F.coalesce("arrivals", F.lit(0)).alias("on_time"),
+                       F.coalesce("late", F.lit(0)).alias("late"))
+
+
 def history_merge_schema(spark, sf):
     path = scratch_path(spark, "history-parts")
     ev = R.table(spark, sf, "events")
@@ -386,6 +499,13 @@ def generated_history_invariants(spark, sf):
     return S.snapshot_counts(R.read_history(spark, path), G.GENERATED_CONTRACT)
 
 
+def generated_tombstones(spark, sf):
+    """The entities of a history with an exact number of tombstones that have one."""
+    from ..operators import datagen as G
+    h = G.generate_history(R.table(spark, sf, "customer"), "c_custkey", tombstones=GEN_TOMBSTONES, salt=GEN_SALT)
+    return h.filter("is_deleted").select("customer_id")
+
+
 def generated_values(spark, sf):
     h = _generated(spark, sf)
     iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS").alias(c)
@@ -458,6 +578,14 @@ QUERIES = {
     "ttl_merge": ttl_merge,
     "sampled_diff": sampled_diff,
     "generated_values": generated_values,
+    "generated_tombstones": generated_tombstones,
+    "concurrent_merge": concurrent_merge,
+    "change_sets_on_read": change_sets_on_read,
+    "change_sets_folded": change_sets_folded,
+    "expiry_sweep": expiry_sweep,
+    "observed_writes": observed_writes,
+    "digest_reconcile": digest_reconcile,
+    "late_arrivals": late_arrivals,
 }
 
 
@@ -688,3 +816,28 @@ SELECT cid AS customer_id, strftime(ev, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS event_
        strftime(ev + to_minutes(CAST(5 + floor({_unit_sql('w')} * 10) AS BIGINT)), '%Y-%m-%dT%H:%M:%S.%g') AS write_time,
        is_deleted
 FROM t"""
+
+ORACLE["generated_tombstones"] = f"""SELECT cid AS customer_id FROM (SELECT format('C{{:06d}}', c_custkey) AS cid FROM customer) AS e
+    ORDER BY CAST('0x' || substr(md5('{GEN_SALT}' || 'd' || cid), 1, 8) AS BIGINT), cid LIMIT {GEN_TOMBSTONES}"""
+ORACLE["concurrent_merge"] = f"""
+    SELECT coalesce(n.key, o.key) AS key, coalesce(n.field, o.field) AS field, coalesce(n.value, o.value) AS value
+    FROM ({EV_LONG_OLD}) AS o FULL OUTER JOIN ({EV_LONG}) AS n ON o.key = n.key AND o.field = n.field"""
+ORACLE["change_sets_on_read"] = ORACLE["change_sets_folded"] = ORACLE_TYPED_VIEW
+ORACLE["expiry_sweep"] = ORACLE["ttl_live_keys"]
+ORACLE["observed_writes"] = f"""SELECT step, n AS records FROM (SELECT count(*) AS n FROM ({EV_LATEST}) AS s) AS c,
+    (SELECT unnest(['replace', 'changes', 'stored']) AS step) AS x"""
+ORACLE["digest_reconcile"] = f"""
+    SELECT 'fs:events:' || CAST(user_id AS VARCHAR) AS key, CASE WHEN user_id = {FAULTS[0]} THEN 'missing' ELSE 'changed' END AS status,
+           CASE WHEN user_id = {FAULTS[0]} THEN '' ELSE 'value' END AS mismatched
+    FROM ({EV_LATEST}) AS s WHERE user_id = {FAULTS[0]} OR (user_id = {FAULTS[1]} AND value IS NOT NULL)
+    UNION ALL SELECT 'fs:events:-1', 'extra', '' FROM (SELECT count(*) AS n FROM ({EV_LATEST}) AS s) AS c WHERE n > 0"""
+ORACLE["late_arrivals"] = f"""
+WITH a AS (SELECT ts, epoch_us(ts) + CASE WHEN event_id % 13 = 0 THEN {LATE_HOURS} * 3600000000 ELSE 0 END AS arrival FROM events WHERE ts IS NOT NULL),
+b AS (SELECT min(arrival) AS lo, max(arrival) AS hi FROM a),
+s AS (SELECT ts, (arrival - lo) * {HOURLY_SLICES} // (hi - lo + 1) AS slice FROM a, b),
+w AS (SELECT p.slice, max(q.ts) - INTERVAL {HOURLY_LATENESS_MINUTES} MINUTE AS wm
+      FROM (SELECT DISTINCT slice FROM s) AS p LEFT JOIN s AS q ON q.slice < p.slice GROUP BY p.slice)
+SELECT date_trunc('hour', ts) AS window_start,
+       count(*) FILTER (WHERE wm IS NULL OR date_trunc('hour', ts) + INTERVAL 1 HOUR > wm) AS on_time,
+       count(*) FILTER (WHERE wm IS NOT NULL AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= wm) AS late
+FROM s JOIN w ON w.slice = s.slice GROUP BY 1"""

@@ -73,18 +73,6 @@ def _history(spark, source, table, recursive, suffix, merge_schema) -> DataFrame
     return read_history(spark, source, recursive=recursive, suffix=suffix, merge_schema=merge_schema, check_empty=True)
 
 
-def _needed(hist: DataFrame, c: Contract, write_mode: str, keep_metadata: bool, everything: bool) -> DataFrame:
-    """Written columns, ranking columns and the tombstone flag; all columns only if they are all asked for.
-
-    Full ties are then ranked by the written columns, which is all that can differ in the result.
-    """
-    if everything:
-        return hist
-    need = {*ENC.written_columns(hist, c, write_mode, keep_metadata), c.entity_column, c.event_time_column,
-            c.write_time_column, c.deleted_column, *c.tiebreak_columns}
-    return hist.select(*[x for x in hist.columns if x in need])
-
-
 def materialize(spark: SparkSession, source: str | None, contract: Contract, *, table: str | None = None,
                 online_root: str | None = None, kv_url: str | None = None, kv_client: str | None = None,
                 kv_reader: str | None = None, mode: str = "replace", strict: bool = True, sample: int = 25,
@@ -98,6 +86,8 @@ def materialize(spark: SparkSession, source: str | None, contract: Contract, *,
         raise ValueError("give exactly one of online_root or kv_url")
     if kv_url is not None and not kv_client:
         raise ValueError("a key-value store needs a client (module:factory)")
+    if kv_url is not None and mode == "replace" and not kv_reader:
+        raise ValueError("a key-value store is replaced through a reader that tells its stale keys; without one, use merge")
     ensure_checkpoint_dir(spark)
     hist = _history(spark, source, table, recursive, suffix, merge_schema)
     if ready_snapshot:  # exports carry no feature-store metadata
@@ -107,7 +97,7 @@ def materialize(spark: SparkSession, source: str | None, contract: Contract, *,
         hist = S.drop_partition_columns(hist, c)
     seen = hist.agg(F.count("*").alias("n"), F.count_if(F.col(c.entity_column).isNull()).alias("bad")).first()
     raw, bad = int(seen["n"]), int(seen["bad"])
-    known = _needed(hist, c, write_mode, keep_metadata, everything=export_path is not None)
+    known = ENC.needed(hist, c, write_mode, keep_metadata) if export_path is None else hist
     known = known.filter(F.col(c.entity_column).isNotNull())
     if c.dedupe_enabled and not ready_snapshot:
         # rank the history ONCE: winners (tombstones included) feed both the
@@ -130,15 +120,24 @@ def materialize(spark: SparkSession, source: str | None, contract: Contract, *,
             written = OT.write_online(spark, recs, online_root, c, mode=mode, buckets=buckets).written
             stored = OT.read_online(spark, online_root, c.feature_group, typed=c)
         else:
+            timed = [KV.deadline(c)] if c.ttl_seconds > 0 and ttl_anchor == "event" else []
             out = snap.select(ENC.online_key(c).alias(ENC.KEY),
-                              KV.payload(snap, c, target, write_mode, keep_metadata, exact_floats))
-            written = KV.write_kv(spark, out, kv_url, client=kv_client, ttl_seconds=c.ttl_seconds, target=target,
+                              KV.payload(snap, c, target, write_mode, keep_metadata, exact_floats), *timed)
+            kept = None
+            if kv_reader:
+                kept = KV.load(kv_reader)(spark, kv_url).filter(F.col(ENC.KEY).startswith(c.key_prefix + ":"))
+            gone = None
+            if mode == "replace":
+                out, gone = KV.replacement(out, kept, target)
+            written = KV.write_kv(spark, out, kv_url, client=kv_client, deletes=gone, ttl_seconds=c.ttl_seconds, target=target,
                                   partitions=partitions, batch_size=batch_size)["records"]
             if kv_reader:
                 stored = KV.load(kv_reader)(spark, kv_url).filter(F.col(ENC.KEY).startswith(c.key_prefix + ":"))
+            if create_index and target == "hash":
+                index = KV.create_index(kv_url, c, client=kv_client)
         if stored is not None:
             if create_index and target == "hash":
-                index = ON.register_index(spark, stored, c)
+                index = ON.register_index(spark, stored, c) if index is None else index
             if target == "json":  # compare whole documents
                 as_map = lambda df: df.select(ENC.KEY, F.create_map(F.lit("doc"), F.col(ENC.DOC)).alias(ENC.FIELDS))
                 expected, stored = as_map(ENC.json_docs(snap, c, write_mode, keep_metadata)), as_map(stored)

@@ -9,8 +9,9 @@ task attempts, never from side effects, so it is exact under retries.
 
 The client is pluggable: ``client`` names ``module:factory``; the factory gets the
 option ``url`` and returns an object with ``write_batch(commands)`` and ``close()``.
-Commands are tuples ``("hset", key, {field: text})``, ``("json_set", key, doc)``,
-``("expire", key, seconds)`` and ``("del", key)``.
+Commands are tuples ``("hset", key, {field: text})``, ``("hdel", key, [field])``, ``("json_set", key, doc)``,
+``("expire", key, seconds)``, ``("expireat", key, epoch_seconds)`` and ``("del", key)``.
+A client may also have ``create_index(name, prefix, schema)``, which must be safe to repeat: see :func:`create_index`.
 
 Reading back is pluggable too: ``reader`` names ``module:function``, called as
 ``function(spark, url)``, which returns a DataFrame of (key, fields) or (key, doc).
@@ -32,6 +33,8 @@ from ..contract import Contract
 from ..operators.encode import DOC, FIELDS, KEY, doc_column, fields_column
 
 FORMAT = "onlineview-kv"
+#: Fields to remove from a stored hash, and the second at which a record expires (both optional columns).
+STALE, DEADLINE = "stale_fields", "expires_at_s"
 #: Records whose commands are flushed together.
 DEFAULT_BATCH = 500
 
@@ -59,38 +62,41 @@ class KVWriter(DataSourceArrowWriter):
         self.target = options.get("target", "hash")
         self.summary = options["summary"]
 
-    def commands(self, keys, payloads):
-        """Commands of some records, and how many records they are for; a record without payload is a deletion."""
+    def commands(self, rows):
+        """Commands of some (key, payload, stale fields, deadline) records; one without payload is a deletion."""
         out = []
-        for key, value in zip(keys, payloads):
+        for key, value, stale, deadline in rows:
             if value is None:
                 out.append(("del", key))
                 continue
             out.append(("json_set", key, value) if self.target == "json" else ("hset", key, dict(value)))
-            if self.ttl > 0:
+            if stale:
+                out.append(("hdel", key, list(stale)))
+            if deadline is not None:
+                out.append(("expireat", key, deadline))
+            elif self.ttl > 0:
                 out.append(("expire", key, self.ttl))
         return out
 
     def write(self, iterator):
         client = load(self.client_spec)(self.url)
-        keys, payloads = [], []
+        rows = []
         records = commands = flushes = 0
 
         def flush(n):
             nonlocal records, commands, flushes
-            cmds = self.commands(keys[:n], payloads[:n])
+            cmds = self.commands(rows[:n])
             client.write_batch(cmds)
             records, commands, flushes = records + n, commands + len(cmds), flushes + 1
-            del keys[:n], payloads[:n]
+            del rows[:n]
 
         try:
             for b in iterator:
-                keys += b.column(KEY).to_pylist()
-                payloads += b.column("payload").to_pylist()
-                while len(keys) >= self.batch:
+                rows += zip(*(b.column(x).to_pylist() for x in (KEY, "payload", STALE, DEADLINE)))
+                while len(rows) >= self.batch:
                     flush(self.batch)
-            if keys:
-                flush(len(keys))
+            if rows:
+                flush(len(rows))
         finally:
             client.close()
         return KVCommit(records, commands, flushes)
@@ -110,7 +116,7 @@ class KVDataSource(DataSource):
 
     def schema(self):
         kind = "string" if self.options.get("target") == "json" else "map<string,string>"
-        return f"{KEY} string, payload {kind}"
+        return f"{KEY} string, payload {kind}, {STALE} array<string>, {DEADLINE} long"
 
     def writer(self, schema, overwrite):
         return KVWriter(dict(self.options))
@@ -129,20 +135,52 @@ def payload(df: DataFrame, c: Contract, target: str = "hash", mode: str = "contr
     return fields_column(df, c, mode, keep_metadata, exact_floats).alias(FIELDS)
 
 
+def deadline(c: Contract) -> Column:
+    """Second at which a record expires, counted from its event time."""
+    return (F.unix_seconds(F.col(c.event_time_column).cast("timestamp")) + F.lit(c.ttl_seconds)).alias(DEADLINE)
+
+
+def replacement(recs: DataFrame, stored: DataFrame, target: str = "hash") -> tuple[DataFrame, DataFrame]:
+    """Records and deletions that turn what is stored into exactly ``recs``: stale keys go, and stale fields of hashes that stay."""
+    gone = stored.select(KEY).join(recs.select(KEY), KEY, "left_anti")
+    if target == "json":
+        return recs, gone
+    old = stored.select(KEY, F.map_keys(FIELDS).alias("__old"))
+    both = recs.join(old, KEY, "left").withColumn(STALE, F.array_except("__old", F.map_keys(FIELDS)))
+    return both.drop("__old"), gone
+
+
+def create_index(url: str, c: Contract, *, client: str) -> str | None:
+    """Have the store index a group's hashes by prefix, if its client can: the name of the index, else None."""
+    opened = load(client)(url)
+    try:
+        if not hasattr(opened, "create_index"):
+            return None
+        name = f"idx:{c.key_prefix}"
+        kinds = dict(c.features) | {c.entity_column: "TAG"}
+        opened.create_index(name, f"{c.key_prefix}:", kinds)
+        return name
+    finally:
+        opened.close()
+
+
 def write_kv(spark: SparkSession, recs: DataFrame, url: str, *, client: str, deletes: DataFrame | None = None,
              batch_size: int = DEFAULT_BATCH, ttl_seconds: int = 0, target: str = "hash",
              partitions: int | None = None) -> dict:
     """Write (key, fields) or (key, doc) records, plus optional key deletions, to a key-value store.
 
+    Records may carry the columns ``STALE`` (fields to remove) and ``DEADLINE`` (instead of ``ttl_seconds`` from the write).
     ``partitions`` fixes the number of write tasks = concurrent connections
     (hash of key, so each key is written by exactly one task). Returns the records,
     commands, flushes and tasks of the successful attempts.
     """
     register(spark)
     value, kind = (DOC, "string") if target == "json" else (FIELDS, "map<string,string>")
-    out = recs.select(F.col(KEY), F.col(value).alias("payload"))
+    extra = {STALE: "array<string>", DEADLINE: "long"}
+    out = recs.select(F.col(KEY), F.col(value).alias("payload"),
+                      *[(F.col(x) if x in recs.columns else F.lit(None)).cast(t).alias(x) for x, t in extra.items()])
     if deletes is not None:
-        out = out.unionByName(deletes.select(F.col(KEY), F.lit(None).cast(kind).alias("payload")))
+        out = out.unionByName(deletes.select(F.col(KEY), F.lit(None).cast(kind).alias("payload"), *[F.lit(None).cast(t).alias(x) for x, t in extra.items()]))
     if partitions:
         out = out.repartition(partitions, KEY)
     handle, summary = tempfile.mkstemp(prefix="onlineview-kv-", suffix=".json")

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -125,3 +126,36 @@ def hourly_arrivals(stream: DataFrame, ts_column: str, *, lateness: str = "15 mi
                   .groupBy(F.window("__ts", "1 hour").alias("w"))
                   .agg(F.count("*").alias("arrivals"))
                   .select(F.col("w.start").alias("window_start"), "arrivals"))
+
+
+def split_arrivals(ts_column: str, out: str, *, lateness: str = "15 minutes") -> Callable[[DataFrame, int], None]:
+    """foreachBatch function that counts records per event-time hour and keeps those that come after their hour has closed.
+
+    An hour is closed once the highest event time of earlier batches lies ``lateness`` past its end. A batch writes its counts of
+    open hours to ``out/arrivals``, its late rows, whole, to ``out/late`` and the highest event time so far to ``out/seen``,
+    each in a folder of the batch that a replay writes again. :func:`arrivals` adds up the counts; nothing vanishes.
+    """
+    def apply(batch: DataFrame, epoch_id: int) -> None:
+        spark, here = batch.sparkSession, f"batch={epoch_id}"
+        seen = "batch long, top timestamp"
+        try:
+            earlier = spark.read.schema(seen).parquet(f"{out}/seen").filter(F.col("batch") < epoch_id).agg(F.max("top")).first()[0]
+        except AnalysisException as e:  # the first batch
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            earlier = None
+        ts = F.col(ts_column).cast("timestamp")
+        hour = F.window(ts, "1 hour")
+        closed = F.lit(False) if earlier is None else hour["end"] <= F.lit(earlier) - F.expr(f"interval {lateness}")
+        rows = batch.filter(ts.isNotNull()).withColumn("__closed", closed)
+        rows.filter("__closed").drop("__closed").write.mode("overwrite").parquet(f"{out}/late/{here}")
+        (rows.filter("NOT __closed").groupBy(hour["start"].alias("window_start")).agg(F.count(F.lit(1)).alias("arrivals"))
+             .write.mode("overwrite").parquet(f"{out}/arrivals/{here}"))
+        rows.agg(F.greatest(F.max(ts), F.lit(earlier).cast("timestamp")).alias("top")).write.mode("overwrite").parquet(f"{out}/seen/{here}")
+    return apply
+
+
+def arrivals(spark: SparkSession, out: str) -> DataFrame:
+    """window_start, arrivals: what :func:`split_arrivals` has counted, added up over the batches."""
+    got = spark.read.schema("window_start timestamp, arrivals long").parquet(f"{out}/arrivals")
+    return got.groupBy("window_start").agg(F.sum("arrivals").alias("arrivals"))

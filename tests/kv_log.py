@@ -15,13 +15,17 @@ class LogClient:
         with open(f"{self.path}-{self.seq:05d}.jsonl", "w") as fh:
             fh.writelines(json.dumps(c) + "\n" for c in commands)
 
+    def create_index(self, name, prefix, schema):
+        with open(os.path.join(os.path.dirname(self.path), "index.json"), "w") as fh:
+            json.dump([name, prefix, schema], fh)
+
     def close(self):
         pass
 
 
 def commands(url):
     """Batches in the order in which they were written."""
-    names = sorted(os.listdir(url), key=lambda f: os.stat(os.path.join(url, f)).st_mtime_ns)
+    names = sorted((f for f in (os.listdir(url) if os.path.isdir(url) else ()) if f.endswith(".jsonl")), key=lambda f: os.stat(os.path.join(url, f)).st_mtime_ns)
     return [[json.loads(x) for x in open(os.path.join(url, f))] for f in names]
 
 
@@ -31,6 +35,9 @@ def state(url):
         for op, key, *rest in batch:
             if op == "hset":
                 out.setdefault(key, {}).update(rest[0])
+            elif op == "hdel":
+                for field in rest[0]:
+                    out[key].pop(field, None)
             elif op == "json_set":
                 out[key] = rest[0]
             elif op == "del":

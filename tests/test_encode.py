@@ -20,6 +20,8 @@ C = Contract.from_dict({
     "features": {"x": "NUMERIC", "flag": "TAG", "s": "TAG"},
 })
 
+SF = "/root/testdata/sf0.001"
+
 
 def texts(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, v double")
@@ -122,3 +124,29 @@ def test_float_date_decimal_text(spark):
     f32 = df.first()["f"]  # the value as Python sees it after the float32 round trip
     assert row["f"] == repr(float(f32))
     assert (row["d"], row["m"], row["i"]) == (str(date(2024, 1, 2)), str(Decimal("1.50")), "7")
+
+
+def test_double_text_of_random_bit_patterns(spark):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(17)
+    v = rng.integers(0, 2**64, 100_000, dtype=np.uint64).view(np.float64)
+    v = np.concatenate([v[np.isfinite(v)], rng.uniform(1e25, 1e26, 5000), rng.uniform(2.0**53, 2.0**66, 5000), 2.0 ** np.arange(-1074.0, 1024.0),
+                        [5e-324, 2e-323, 1e22, 1e23, 9007199254740993.0, 1.7976931348623157e308]])
+    got = spark.createDataFrame(pd.DataFrame({"v": v})).select("v", py_float_text_exact("v").alias("s")).collect()
+    assert [r for r in got if repr(r.v) != r.s] == []
+
+
+def test_hash_fields_are_native_and_pruned(spark):
+    from onlineview.plans import catalog
+    plan = catalog.hash_fields(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan and "props" not in plan
+
+
+def test_exact_number_of_tombstones_without_a_single_task(spark):
+    from onlineview.operators import datagen as G
+    ents = spark.range(300).withColumnRenamed("id", "k")
+    for n in (0, 1, 17, 300, 999):
+        h = G.generate_history(ents, "k", tombstones=n)
+        assert h.filter("is_deleted").count() == min(n, 300)
+    assert "Limit" not in h._jdf.queryExecution().optimizedPlan().toString()

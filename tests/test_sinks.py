@@ -2,7 +2,7 @@
 
 import json
 import os
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -380,7 +380,7 @@ def test_job_sets_rows_without_id_aside(spark, tmp_path):
 def test_job_prunes_and_exports_ready_snapshots(spark, tmp_path):
     src, exp = str(tmp_path / "hist"), str(tmp_path / "exp")
     R.events(spark, SF).write.parquet(src)
-    needed = J._needed(read_history(spark, src), R.EVENTS, "contract", False, False)
+    needed = ENC.needed(read_history(spark, src), R.EVENTS)
     assert "props" not in needed.columns and {"user_id", "ts", "event_id", "is_deleted", "value"} <= set(needed.columns)
     J.materialize(spark, src, R.EVENTS, online_root=str(tmp_path / "a"), export_path=exp)
     res = J.materialize(spark, exp, R.EVENTS, online_root=str(tmp_path / "b"), ready_snapshot=True, recursive=True)
@@ -432,3 +432,26 @@ def test_scale_conf_sizes_from_input():
     conf = scale_conf(100 << 40, executors_cores=8000, streaming_state=True)
     assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert "RocksDB" in conf["spark.sql.streaming.stateStore.providerClass"]
+
+
+def test_kv_replace_removes_stale_keys_and_fields(spark, tmp_path, kv):
+    url, src = str(tmp_path / "kv"), str(tmp_path / "src")
+    reader = CLIENT.partition(":")[0] + ":read"
+    run = lambda **k: J.materialize(spark, src, C, kv_url=url, kv_client=CLIENT, kv_reader=reader, strict=False, **k)
+    spark.createDataFrame([("a", T1, 1.0, False), ("b", T1, 2.0, False)], SCHEMA).write.parquet(src)
+    os.makedirs(url)
+    assert run().index == "idx:fs:g" and run().ok  # safe to repeat
+    assert json.load(open(url + "/index.json"))[:2] == ["idx:fs:g", "fs:g:"]
+    spark.createDataFrame([("a", T2, None, False)], SCHEMA).write.mode("overwrite").parquet(src)
+    assert run().ok
+    assert {k: sorted(v) for k, v in kv.state(url).items()} == {"fs:g:a": ["id", "t"]}
+    with pytest.raises(ValueError, match="reader"):
+        J.materialize(spark, src, C, kv_url=url, kv_client=CLIENT)
+
+
+def test_kv_deadline_counts_from_the_event(spark, tmp_path, kv):
+    url, src = str(tmp_path / "kv"), str(tmp_path / "src")
+    spark.createDataFrame([("a", T1, 1.0, False)], SCHEMA).write.parquet(src)
+    c = C.with_(ttl_seconds=60)
+    J.materialize(spark, src, c, kv_url=url, kv_client=CLIENT, mode="merge", ttl_anchor="event", strict=False)
+    assert [x[2] for b in kv.commands(url) for x in b if x[0] == "expireat"] == [int(T1.replace(tzinfo=timezone.utc).timestamp()) + 60]
