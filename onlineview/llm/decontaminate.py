@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import staged
+from .tables import staged, unused
 from .text import FOLD, PUNCTUATION, U64, Words, blob, bytes_of, chunks, mapped, set_batches
 
 WINDOW = 13
 #: A document is contaminated if at least 1 in this many of its words is hit.
 ONE_IN = 20
 #: Bytes of item texts that one automaton is built from.
-PART_BYTES = 8 << 20
+PART_BYTES = 1 << 20
 
 
 class Matcher:
@@ -194,8 +194,9 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, one_
     matcher = _matcher(spark, parts[0], window) if len(parts) == 1 else None
     at, rows, n = docs.columns.index("text"), docs, len(docs.columns)
     if matcher is None:
-        merged = _merged(docs, parts, window).drop("found").withColumnsRenamed({"mkey": "__mkey", "hits": "__hits"})
-        rows = docs.join(merged, _key(docs["text"].cast("string").cast("binary")) == merged["__mkey"], "left").drop("__mkey")
+        mkey, hits = unused(docs.columns, "mkey"), unused(docs.columns, "hits")
+        merged = _merged(docs, parts, window).drop("found").withColumnsRenamed({"mkey": mkey, "hits": hits})
+        rows = docs.join(merged, _key(F.col("text").cast("string").cast("binary")) == F.col(mkey), "left").drop(mkey)
     set_batches(spark)
 
     def run(batches):

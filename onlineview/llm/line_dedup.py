@@ -1,18 +1,18 @@
 """Line dedup by site-relative frequency.
 
-Pages are grouped by host; a line's ratio is the share of the host's pages that contain
-it. Lines over ``max_ratio`` that occur on at least ``min_pages`` pages are boilerplate of
+Pages are grouped by host; a line's ratio is the share of the host's pages that contain it.
+Lines whose ratio is over ``max_ratio`` by more than ``errors`` standard errors are boilerplate of
 that host and are dropped from its pages. Exact copies of a page count as one page of
 their host, so that a page copied many times is not taken for boilerplate.
 
-The ratio lies where the measured ratios part: licence lines and the like stand on 0.2 % of a site's
-pages or more in large sites, lines that only near copies share nearly all on less. In sites of under
-``min_pages / max_ratio`` pages the page floor decides; at 3 a pair of near copies in one site keeps
-its text, and a line on one or two pages of a site is never boilerplate of it.
+``max_ratio`` lies where the measured ratios part: licence lines and the like stand on 0.2 % of a site's
+pages or more in large sites, lines that only near copies share nearly all on less. The error term makes that hold at every size:
+in a host of few pages a few pages are a high ratio by chance, so with the defaults a line has to be on more than 4.4 % of 50
+pages, 0.77 % of 500, 0.33 % of 5,000 and 0.2 % of a very large host; one or two pages are never enough.
 
 Defined results: a null text stays null; a text whose lines all go becomes empty; empty
 lines are kept and never counted; rows with a null host are one host; repeated rows stay
-repeated; all columns but the text are unchanged, whatever their names; an empty table
+repeated, and ties (lines exactly at the threshold) stay; very long texts are taken whole; all columns but the text are unchanged, whatever their names; an empty table
 gives an empty result.
 """
 
@@ -21,17 +21,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import staged
+from .tables import staged, unused
 
 MAX_RATIO = 0.002
-MIN_PAGES = 3
+ERRORS = 2.0
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def boilerplate(pages: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(pages: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO, errors: float = ERRORS) -> DataFrame:
     """(host, bad): each host's boilerplate lines as 64-bit hashes.
 
     A host's lines over the ratio number at most (mean lines of a page) / ``max_ratio``.
@@ -47,20 +47,23 @@ def boilerplate(pages: DataFrame, host: str = "source", text: str = "text", max_
     counted = (once.select("host", F.explode(F.concat(F.array(F.lit(None).cast("long")), "lines")).alias("line"))
                .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")))
     totals = counted.filter(F.col("line").isNull()).select(F.col("host").alias("h"), F.col("n").alias("pages"))
-    often = counted.filter(F.col("line").isNotNull() & (F.col("n") >= min_pages))
+    # a line on errors pages or less is over no host's threshold
+    often = counted.filter(F.col("line").isNotNull() & (F.col("n") > errors))
+    usual = max_ratio * F.col("pages")  # pages of a line that is just no boilerplate
     return (often.join(totals, F.col("host").eqNullSafe(F.col("h")))
-            .filter(F.col("n") > max_ratio * F.col("pages"))
+            .filter(F.col("n") > usual + errors * F.sqrt(usual + 1))
             .groupBy("host").agg(F.collect_list("line").alias("bad")))
 
 
-def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO, errors: float = ERRORS) -> DataFrame:
     """``pages`` without each host's boilerplate lines; every row and column stays.
 
     The boilerplate table is written first, so that its true size decides how it is joined: the pages
     are shuffled only if it is too large to broadcast.
     """
-    bad = staged(boilerplate(pages, host, text, max_ratio, min_pages), "line-boilerplate").select(F.col("host").alias("__host"), F.col("bad").alias("__bad"))
-    kept = F.array_join(F.filter(_lines(F.col("__p.`" + text + "`")), lambda x: (x == "") | ~F.array_contains(F.col("__bad"), F.xxhash64(x))), "\n")
-    new = F.when(F.col("__bad").isNull(), F.col("__p.`" + text + "`")).otherwise(kept)
-    joined = pages.alias("__p").join(bad.alias("__b"), F.col(f"__p.`{host}`").eqNullSafe(F.col("__host")), "left")
-    return joined.select(*[new.alias(c) if c == text else F.col(f"__p.`{c}`") for c in pages.columns])
+    site, lines = unused(pages.columns, "site"), unused(pages.columns, "boilerplate")
+    bad = staged(boilerplate(pages, host, text, max_ratio, errors), "line-boilerplate").select(F.col("host").alias(site), F.col("bad").alias(lines))
+    own = F.col(f"`{text}`")
+    kept = F.array_join(F.filter(_lines(own), lambda x: (x == "") | ~F.array_contains(F.col(lines), F.xxhash64(x))), "\n")
+    joined = pages.join(bad, F.col(f"`{host}`").eqNullSafe(F.col(site)), "left")
+    return joined.select(*[F.when(F.col(lines).isNull(), own).otherwise(kept).alias(c) if c == text else F.col(f"`{c}`") for c in pages.columns])

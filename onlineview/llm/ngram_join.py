@@ -35,8 +35,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .tables import staged
+from .tables import staged, unused
 from .text import FOLD, U64, Words, blob, bytes_of, chunks, mapped, mix, mix_int, windows
 
 #: Bits of a bitmap, by size of the set: about as many as shingles, within these bounds.
@@ -46,8 +47,6 @@ BLOCK = 256
 #: Bitmaps compared at a time.
 COMPARED = 8192
 BANDS_TO = 1 << 40
-#: Rows of (class, doc_id, text key) that are broadcast at most: 24 bytes each, 24 MB in all.
-BROADCAST_ROWS = 1_000_000
 
 
 class Tiles:
@@ -212,8 +211,6 @@ def class_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int) ->
     """cls, items (sorted 64-bit hashes) of the classes in ``pairs``, made from one of their documents; written once."""
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     one = staged(classes.join(wanted, "cls", "left_semi").select("cls", "doc_id", "tkey"), "ngram-wanted")
-    if one.count() <= BROADCAST_ROWS:  # three numbers a row; beyond, the texts are shuffled
-        one = F.broadcast(one)
     texts = docs.select(F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("t"), bytes_of("text"))
     found = texts.join(one, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("tkey"))).select("cls", "text")
 
@@ -433,13 +430,17 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Data
     own = rows.filter("n > 0").join(labels, "cls", "left").select("doc_id", "tkey", F.coalesce("comp", "cls").alias("comp"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "tkey")
     first = own.groupBy("comp").agg(F.min(order).alias("f"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    d, t = unused(docs.columns, "gone_id"), unused(docs.columns, "gone_text")
     gone = (own.join(first, "comp").filter(~(F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("tkey") == F.col("f.tkey"))))
-            .select(F.col("doc_id").alias("__d"), F.col("tkey").alias("__t")).distinct())
-    here = F.col("doc_id").cast("long")
-    kept = docs.join(gone, here.eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__t")), "left_anti")
+            .select(F.col("doc_id").alias(d), F.col("tkey").alias(t)).distinct())
+    match = F.col("doc_id").cast("long").eqNullSafe(F.col(d)) & (F.xxhash64("text") == F.col(t))
+    kept = docs.join(gone, match, "left_anti")
     again = staged(own.groupBy("doc_id", "tkey").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-                   .select(F.col("doc_id").alias("__d"), F.col("tkey").alias("__t")), "ngram-repeats")
+                   .select(F.col("doc_id").alias(d), F.col("tkey").alias(t)), "ngram-repeats")
     if again.isEmpty():
         return kept
-    match = here.eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__t"))
-    return kept.join(again, match, "left_anti").union(kept.join(again, match, "left_semi").dropDuplicates(["doc_id", "text"]))
+    # of rows with one id and text the least stays, by all columns that have an order
+    columns = [F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, T.MapType)]
+    one = kept.join(again, match, "left_semi").groupBy(F.col("doc_id").alias(d), F.col("text").alias(t)).agg(
+        F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct(*columns)).alias("row"))
+    return kept.join(again, match, "left_anti").unionByName(one.select("row.*"))

@@ -37,7 +37,7 @@ tot AS (SELECT source, count(*) AS pages FROM p GROUP BY source),
 l AS (SELECT DISTINCT source, text, unnest(string_split(text, chr(10))) AS line FROM p),
 often AS (SELECT source, line, count(*) AS n FROM l WHERE line <> '' GROUP BY source, line),
 bad AS (SELECT often.source, list(line) AS bad FROM often JOIN tot ON often.source IS NOT DISTINCT FROM tot.source
-        WHERE n >= {line_dedup.MIN_PAGES} AND n > {line_dedup.MAX_RATIO} * pages GROUP BY often.source)
+        WHERE n > {line_dedup.MAX_RATIO} * pages + {line_dedup.ERRORS} * sqrt({line_dedup.MAX_RATIO} * pages + 1) GROUP BY often.source)
 SELECT d.doc_id, d.source,
        CASE WHEN bad IS NULL THEN text
             ELSE coalesce(array_to_string([x FOR x IN string_split(text, chr(10)) IF x = '' OR NOT list_contains(bad, x)], chr(10)), '') END AS text

@@ -43,7 +43,8 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.scan(read(spark, sf_dir, "documents"))
+    docs = read(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, (*secret_scan.WORDS, *secret_scan.corpus_words(docs)))
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

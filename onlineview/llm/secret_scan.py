@@ -4,7 +4,9 @@ The guess cost of a value is found by dynamic programming over its cheapest
 segmentation into ranked words, dates, repeats, keyboard walks and brute-force
 characters (log10 guesses, each further segment costing a factor of two). A value
 after a credential name that costs at least ``MIN_COST`` and touches no pattern span
-is added as a ``guess`` span, whatever its length. A value that opens with a quote ends
+is added as a ``guess`` span, whatever its length. Words are ranked by a list of common password words, then by
+the number of documents that hold them (:func:`corpus_words`), so prose after a name is cheap. Placeholders, calls and addresses
+are references, not secrets; what follows ``Bearer`` or ``Basic`` is a value. A value that opens with a quote ends
 at the closing quote of its line; any other ends at white space, or at a separator before the next
 credential name, less trailing punctuation and unmatched closing brackets. Code points
 beyond ASCII count as one more alphabet.
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import bytes_of, mapped
+from .text import FOLD, Words, blob, bytes_of, chunks, mapped
 
 ASSIGN = re.compile(rb"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
@@ -36,7 +38,14 @@ MIN_ACCESS = 18
 
 _NAMES = rb"""(?i:pass(?:word|wd|phrase|code)?|pwd|secret(?:[_-]?key)?|token|api[_-]?key|access[_-]?key|private[_-]?key|auth(?:orization)?|credentials?|login)["']?[\x20\t]*(?:=>|:=|[:=])"""
 #: Names that make what follows a credential value: quoted, or up to white space or a separator before the next name.
-CONTEXT = re.compile(_NAMES + rb"""[\x20\t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|["'`]?((?:(?![,;&|?]["']?""" + _NAMES + rb""")[^\x00-\x20\x7f])+))""")
+CONTEXT = re.compile(_NAMES + rb"""[\x20\t]*(?:(?i:bearer|basic)[\x20\t]+)?(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|["'`]?((?:(?![,;&|?]["']?""" + _NAMES + rb""")[^\x00-\x20\x7f])+))""")
+#: Values that only name where a secret comes from: placeholders, variables, calls and lookups, and addresses without a password.
+REFERENCE = re.compile(r"""\$\{[^{}]*\}|\$\([^()]*\)|\{\{.*\}\}|<[^<>]*>|%\w+%|\$[A-Za-z_]\w*|[A-Za-z_][\w.]*(?:\(.*\)|\[.*\])|[A-Za-z][A-Za-z0-9+.-]*://[^\s@]*""", re.A | re.S)
+#: Words of the corpus that extend the list of password words, by the number of documents they stand in.
+CORPUS_WORDS = 5000
+#: Documents that a word has to stand in, so that pieces of a secret are no words.
+CORPUS_LEAST = 3
+_WORD_LETTERS = (3, 24)
 _WHITE = re.compile(r"\s")
 _OPENERS = {")": "(", "]": "[", "}": "{", ">": "<"}
 _HINTS = (b"pass", b"pwd", b"secret", b"token", b"key", b"auth", b"credential", b"login")
@@ -172,7 +181,7 @@ def guess_spans(text: bytes, base: list[tuple[int, int, int]], words: dict[str,
         if any(a < en and st < b for a, _, b in base):
             if m.lastindex < 4:  # names inside the quotes have values of their own
                 pos = st
-        elif value and guess_cost(value, words)[0] >= min_cost:
+        elif value and not REFERENCE.fullmatch(value) and guess_cost(value, words)[0] >= min_cost:
             out.append((st, 3, en))
     return out
 
@@ -192,6 +201,33 @@ def ranked(words=WORDS) -> dict[str, int]:
     return {w.lower(): i for i, w in reversed(list(enumerate(words, 1)))}
 
 
+def corpus_words(docs: DataFrame, top: int = CORPUS_WORDS, least: int = CORPUS_LEAST) -> list[str]:
+    """The ``top`` words in most documents, ``least`` or more (ASCII letters, lower-cased; ties by the word), from most to fewest."""
+    letters = np.ones(256, bool)
+    letters[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = False  # all else separates
+
+    def each(b):
+        data, offs = blob(b.column(0))
+        out = []
+        for i, j in chunks(offs):
+            d = FOLD[data[offs[i]:offs[j]]]
+            w = Words(d, offs[i:j + 1] - offs[i], letters)
+            size = w.en - w.st
+            at = np.concatenate(([0], np.cumsum(size)))
+            coded = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(at), pa.py_buffer(d[~letters[d]])]).dictionary_encode()
+            ids = coded.indices.to_numpy()
+            fit = (size >= _WORD_LETTERS[0]) & (size <= _WORD_LETTERS[1])
+            once = np.unique(w.doc[fit] * len(coded.dictionary) + ids[fit])  # a document counts once
+            n = np.bincount(once % max(len(coded.dictionary), 1), minlength=len(coded.dictionary))
+            out.append((coded.dictionary.cast(pa.binary()).filter(pa.array(n > 0)), n[n > 0]))
+        words = pa.concat_arrays([w for w, _ in out]).cast(pa.string())
+        return {"word": words, "n": pa.array(np.concatenate([n for _, n in out]), pa.int64())}
+
+    texts = docs.select(bytes_of("text")).filter("text IS NOT NULL")
+    counted = mapped(texts, each, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return [r.word for r in counted.filter(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(top).collect()]  # top rows
+
+
 def scan(docs: DataFrame, words=WORDS, min_cost: float = MIN_COST) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans for every row."""
     table = ranked(words)

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 _WINDOW = 1 << 20
-_LONG_WORD = 1 << 16
+#: Longer words are hashed by xxh3: the sum below is too regular for them (some words of 1,024 bytes over two letters collide).
+_LONG_WORD = 64
 CHUNK_BYTES = 2 << 20
 
 

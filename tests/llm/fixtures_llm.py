@@ -11,6 +11,10 @@ SCHEMA = T.StructType([
     T.StructField("shard", T.StringType()), T.StructField("score", T.StringType()), T.StructField("cls", T.StringType()),
     T.StructField("key", T.StringType()), T.StructField("host", T.StringType()), T.StructField("n", T.StringType()), T.StructField("hit", T.StringType())])
 
+#: More names that operators use or used for columns of their own, all with the value "x".
+CLASHES = "site boilerplate gone_id gone_text mkey hits __bad __host __d __t __mkey __hits".split()
+SCHEMA = T.StructType([*SCHEMA.fields, *[T.StructField(n, T.StringType()) for n in CLASHES]])
+
 SYLLABLES = "an on the ti re éa ß ñ in of th ed ing 日 er".split()
 
 
@@ -42,7 +46,7 @@ def rows():
     out.append((None, base[-1], None, None, None, None, None, None, None, None, None, None))
     out.append((None, None, None, None, None, None, None, None, None, None, None, None))
     out.append((20, "the same id with another text", "en", None, 5, "s", "0", "c", "k", "h", "n", "hit"))
-    return out
+    return [(*r, *["x"] * len(CLASHES)) for r in out]
 
 
 def documents(spark, parts=3):

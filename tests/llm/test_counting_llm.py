@@ -1,6 +1,7 @@
 """Sharding, packing, secrets, URL rules, counting rules, line dedup and decontamination against brute force."""
 
 import hashlib
+import math
 import os
 import re
 import sys
@@ -14,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import fixtures_llm as fx  # noqa: E402
 
-from onlineview.llm import decontaminate, line_dedup, packing, quality_rules, secret_scan, sharding, url_filter  # noqa: E402
+from onlineview.llm import decontaminate, line_dedup, ngram_join, packing, quality_rules, secret_scan, sharding, url_filter  # noqa: E402
 
 WORDS = re.compile("[^\x20\x09-\x0d]+")
 SF = "/root/testdata/sf0.001"
@@ -42,7 +43,9 @@ def test_sharding_counts_slots_and_home(spark, make):
     full = {s for s in range(8) if counts[s] >= len(got) / 8}
     assert all(r.home in full or counts[r.home] == min(counts) for r in got if r["shard"] != r.home)
     homes = Counter(r.home for r in got)
-    assert moved == sum(max(0, homes[s] - counts[s]) for s in range(8)) or moved <= len(got)
+    # at the least what full shards cannot hold moves, and no more than twice that, as some pass a shard that fills later
+    over = sum(max(0, homes[s] - counts[s]) for s in range(8))
+    assert over <= moved <= 2 * over
 
 
 def test_sharding_hot_text_is_split(spark):
@@ -69,7 +72,7 @@ def test_ring_plan_moves_little_when_a_shard_is_added():
             out[a:b] = [s] * (b - a)
         return out
     a, b = place(8), place(9)
-    assert None not in a and sum(x != y for x, y in zip(a, b)) < 0.45 * len(keys)
+    assert None not in a and sum(x != y for x, y in zip(a, b)) < 0.16 * len(keys)
 
 
 def test_sharding_empty(spark):
@@ -306,28 +309,35 @@ def test_url_model_learns_the_rules(spark):
     assert np.mean([(r.p_block >= 0.5) == (r.ruled == "block") for r in held]) > 0.95
 
 
-def brute_lines(docs, ratio, least):
+def brute_lines(docs, ratio, errors):
     pages = defaultdict(set)
     for r in docs:
         if r.text is not None:
             pages[r.source].add(r.text)
     count = Counter((s, line) for s, texts in pages.items() for t in texts for line in set(t.split("\n")) if line)
-    bad = {k for k, n in count.items() if n >= least and n > ratio * len(pages[k[0]])}
+    bad = {k for k, n in count.items() if n > ratio * len(pages[k[0]]) + errors * math.sqrt(ratio * len(pages[k[0]]) + 1)}
     return [None if r.text is None else "\n".join(x for x in r.text.split("\n") if (r.source, x) not in bad) for r in docs]
 
 
 @pytest.mark.parametrize("make", [fx.documents, real])
 def test_line_dedup(spark, make):
     docs = make(spark)
-    for ratio, least in ((line_dedup.MAX_RATIO, line_dedup.MIN_PAGES), (0.01, 2)):
+    for ratio, errors in ((line_dedup.MAX_RATIO, line_dedup.ERRORS), (0.01, 1.0)):
         rows = docs.collect()
-        want = Counter((*(r[c] for c in docs.columns if c != "text"), t) for r, t in zip(rows, brute_lines(rows, ratio, least)))
-        out = line_dedup.drop_boilerplate(docs, max_ratio=ratio, min_pages=least)
+        want = Counter((*(r[c] for c in docs.columns if c != "text"), t) for r, t in zip(rows, brute_lines(rows, ratio, errors)))
+        out = line_dedup.drop_boilerplate(docs, max_ratio=ratio, errors=errors)
         assert out.columns == docs.columns
         assert Counter((*(r[c] for c in docs.columns if c != "text"), r.text) for r in out.collect()) == want
     assert line_dedup.drop_boilerplate(fx.empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("pages, kept, dropped", [(50, 2, 3), (500, 3, 4), (5000, 16, 17)])
+def test_the_ratio_decides_at_every_host_size(spark, pages, kept, dropped):
+    rows = [("host", "\n".join([f"page {i}", *["below"] * (i < kept), *["above"] * (i < dropped)])) for i in range(pages)]
+    out = [r.text for r in line_dedup.drop_boilerplate(spark.createDataFrame(rows, "source string, text string")).collect()]
+    assert sum("below" in t for t in out) == kept and not any("above" in t for t in out)
+
+
 def test_licence_line_over_many_sites_and_in_a_hot_one_is_dropped(spark):
     licence, copied = "Licensed under the Apache License, Version 2.0.", "a line that only two near copies share"
     rows = [("hot", f"page {i}\n{licence}" if i % 150 == 0 else f"page {i}") for i in range(3000)]
@@ -411,3 +421,42 @@ def test_decontamination_spans_and_empty_tables(spark):
     assert [text[s.start:s.end] for s in r.spans] == ["Alpha-beta (GAMMA", "alpha beta gamma"]
     assert decontaminate.digest(decontaminate.scan(docs, bench.limit(0))).first().n_hit == 0
     assert decontaminate.scan(docs.limit(0), bench).count() == 0
+
+
+def test_regular_long_words_have_different_hashes():
+    """Thue-Morse words, which polynomial hashes modulo 2^64 cannot tell from their complements."""
+    from onlineview.llm.text import Words
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+        other = word.translate(str.maketrans("ab", "ba"))
+        data = np.frombuffer(f"{word} {other} {word}".encode(), np.uint8)
+        h = Words(data, np.array([0, len(data)])).hash
+        assert h[0] == h[2] != h[1]
+
+
+def test_keep_one_takes_the_least_of_repeated_rows(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text, f"s{k}") for k in (5, 3, 4)] + [(2, "other words here", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __d string").repartition(3)
+    assert sorted(tuple(r) for r in ngram_join.keep_one(df).collect()) == [(1, text, "s3"), (2, "other words here", "a")]
+
+
+def test_secrets_among_prose_and_references(spark):
+    rng = np.random.default_rng(3)
+    words = "required recommended forgiveness disabled experts settings because yesterday mountain river letters number people".split()
+    corpus = [" ".join(rng.choice(words, 40)) for _ in range(50)]
+    chars = np.array(list("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789!#%*"))
+    planted = ["".join(rng.choice(chars, 10)) for _ in range(40)]
+    forms = ["password: {}", "pwd={}", "Authorization: Bearer {}", "api_key = '{}'", "login: https://me:{}@host/x"]
+    plain = [f"{name}: {w}" for name in ("password", "secret", "auth") for w in words] + [
+        "password: ${DB_PASSWORD}", 'api_key = os.environ["KEY"]', "secret = get_secret('db')", "login: https://example.com/start", "token: <your token>",
+        "password: {{ vault.password }}", "pwd=$PASSWORD", "auth: %USER%"]
+    rows = corpus + [forms[i % 5].format(p) for i, p in enumerate(planted)] + plain
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    listed = secret_scan.corpus_words(df)
+    assert set(words) <= set(listed) and listed == sorted(listed, key=lambda w: (-sum(w in re.findall("[a-z]{3,24}", t.lower()) for t in rows), w))
+    got = {r.doc_id for r in secret_scan.scan(df, (*secret_scan.WORDS, *listed)).filter("n_guess + n_assign > 0").collect()}
+    want = set(range(50, 90))
+    assert len(got & want) >= 39 and not got - want  # recall and precision
+    assert secret_scan.corpus_words(df.limit(0)) == []
