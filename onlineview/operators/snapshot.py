@@ -103,11 +103,12 @@ def latest(df: DataFrame, c: Contract, *, drop_tombstones: bool = True) -> DataF
     return out
 
 
-def latest_by_max_by(df: DataFrame, c: Contract, *, drop_tombstones: bool = True) -> DataFrame:
+def latest_by_max_by(df: DataFrame, c: Contract, *, drop_tombstones: bool = True, unranked: tuple[str, ...] = ()) -> DataFrame:
     """Same result as :func:`latest`, as an aggregate (``max_by`` over a struct).
 
     Partial aggregation keeps one candidate per entity per map task. This is
     the form Structured Streaming can keep in state (see streaming.refresh).
+    Columns in ``unranked`` go along with their row and never break a tie.
     """
     if not c.dedupe_enabled:
         return df
@@ -115,7 +116,7 @@ def latest_by_max_by(df: DataFrame, c: Contract, *, drop_tombstones: bool = True
     payload = F.struct(*[F.col(x) for x in cols])
     out = (df.filter(F.col(c.entity_column).isNotNull())
              .groupBy(c.entity_column)
-             .agg(F.max_by(payload, ordering_struct(df, c)).alias("__r"))
+             .agg(F.max_by(payload, ordering_struct(df.drop(*unranked), c)).alias("__r"))
              .select("__r.*"))
     live = not_deleted(c, df)
     if drop_tombstones and live is not None:

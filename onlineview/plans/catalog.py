@@ -528,6 +528,34 @@ def incremental_latest(spark, sf):
     return ON.typed_view(OT.read_online(spark, root, "events", typed=R.EVENTS), R.EVENTS)
 
 
+def _bootstrapped(spark, sf):
+    """Three quarters of the events as history, handed over; then the last quarter arrives. Table root and rows read."""
+    from ..streaming import bootstrap as BS
+    src, root, path, ck = (scratch_path(spark, n) for n in ("stream-src", "online", "hand-over", "stream-ckpt"))
+    ev = R.table(spark, sf, "events")
+    arrival = F.pmod("event_id", F.lit(STREAM_SLICES))
+    ev.filter(arrival != STREAM_SLICES - 1).write.parquet(f"{src}/arrival=0")
+    with_flag = lambda d: R.flag_column(d, "is_deleted", "event_type = 'error'")
+    h = BS.bootstrap(spark, f"{src}/*", ev.schema, R.EVENTS, root, path, adapter=with_flag, overlap=0)
+    ev.filter(arrival == STREAM_SLICES - 1).write.parquet(f"{src}/arrival=1")
+    BS.adopt(spark, f"{src}/*", ev.schema, h, adapter=with_flag)
+    q = BS.refresh_from(spark, f"{src}/*", ev.schema, R.EVENTS, root, ck, h, adapter=with_flag)
+    q.awaitTermination()
+    return root, sum(p["numInputRows"] for p in q.recentProgress)
+
+
+def bootstrap_latest(spark, sf):
+    """The refresh stream started from a batch snapshot of the earlier history."""
+    root, _ = _bootstrapped(spark, sf)
+    return ON.typed_view(OT.read_online(spark, root, "events", typed=R.EVENTS), R.EVENTS)
+
+
+def bootstrap_input(spark, sf):
+    """Rows that the stream has read after the hand-over: one for each entity of the snapshot, and the new events."""
+    _, read = _bootstrapped(spark, sf)
+    return spark.range(1).select(F.lit(read).cast("long").alias("rows_read"))
+
+
 QUERIES = {
     "latest_events": latest_events,
     "latest_orders_tiebreak": latest_orders_tiebreak,
@@ -586,6 +614,8 @@ QUERIES = {
     "observed_writes": observed_writes,
     "digest_reconcile": digest_reconcile,
     "late_arrivals": late_arrivals,
+    "bootstrap_latest": bootstrap_latest,
+    "bootstrap_input": bootstrap_input,
 }
 
 
@@ -743,6 +773,10 @@ ORACLE = {
     "incremental_latest": ORACLE_TYPED_VIEW,
 }
 ORACLE["changes_since"] = ORACLE["snapshot_changes"]
+ORACLE["bootstrap_latest"] = ORACLE_TYPED_VIEW
+ORACLE["bootstrap_input"] = f"""
+SELECT count(DISTINCT CASE WHEN event_id % {STREAM_SLICES} <> {STREAM_SLICES - 1} THEN user_id END)
+     + count_if(event_id % {STREAM_SLICES} = {STREAM_SLICES - 1}) AS rows_read FROM events"""
 
 _TIED = """(SELECT o_orderkey, o_custkey, date_trunc('month', o_orderdate) AS o_orderdate, o_totalprice,
                    o_orderpriority, o_orderstatus = 'F' AS is_deleted FROM orders) AS t"""

@@ -106,10 +106,14 @@ def refresh(spark: SparkSession, source: str, schema: T.StructType, c: Contract,
     stream = history_stream(spark, source, schema, max_files_per_trigger=max_files_per_trigger)
     if adapter is not None:
         stream = adapter(stream)
-    w = (latest_stream(stream, c).writeStream
-         .outputMode("update")
-         .option("checkpointLocation", checkpoint)
-         .foreachBatch(sink or changes_to_online(spark, online_root, c)))
+    return start(latest_stream(stream, c), checkpoint, sink or changes_to_online(spark, online_root, c),
+                 available_now=available_now, processing_time=processing_time)
+
+
+def start(changes: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], *, available_now: bool = True,
+          processing_time: str | None = None) -> StreamingQuery:
+    """Run ``sink`` on each micro-batch of changed entities."""
+    w = changes.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(sink)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start()
 
