@@ -9,8 +9,8 @@ Token ids are made once and written to the shared folder; only row numbers, keys
 lengths are sorted. The driver sees one total per range part.
 
 Defined results: a null text is empty and packs as the end id alone; ties of the key
-are broken by row number; repeated rows are packed each; other columns are never read;
-an empty table gives an empty result.
+are broken by row number; repeated rows are packed each; a very long text is cut over as many sequences
+as it fills; other columns are never read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ SEQUENCE = 1024
 END_ID = 0
 DIMENSIONS = 3
 CELL_BITS = 10
-#: Words whose ids a worker remembers.
+#: About how many words' ids a worker remembers.
 REMEMBERED = 400_000
 
 
@@ -50,11 +50,11 @@ class ByteBpe:
     spaces, and the BPE never merges over such a split, so ids of words can be joined. Other
     texts, texts that hold the literal of an added token, which becomes that token's id, and
     words with unusual characters go to the tokenizer as they are. Plain words
-    use the rank file of the same vocabulary, which gives the same ids faster.
+    use the rank file of the same vocabulary, which gives the same ids faster, all new words
+    of a text in one call.
     """
 
-    _beside = re.compile(r" \s|\s |^\s|\s$").search
-    _plain = re.compile("[\n!-~\xa1-ɏ]+").fullmatch
+    _plain = re.compile("[ \n!-~\xa1-ɏ]+").fullmatch
 
     def __init__(self, vocabulary: str, ranks: str | None):
         from tokenizers import Tokenizer
@@ -62,6 +62,9 @@ class ByteBpe:
         self.full.no_truncation()
         specials = [re.escape(t.content) for t in self.full.get_added_tokens_decoder().values()]
         self._special = re.compile("|".join(specials)).search if specials else lambda text: None
+        self.code = "H" if self.full.get_vocab_size() <= 1 << 16 else "I"
+        self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
+        self.words: dict[str, bytes] = {}
         self.ranks = None
         if ranks:
             import public_tokenizers
@@ -69,34 +72,44 @@ class ByteBpe:
             with open(ranks, "rb") as f:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.ranks = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-        self.code = "H" if self.full.get_vocab_size() <= 1 << 16 else "I"
-        self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
-        self.words = _Words(self)
-
-    def ids(self, text: str) -> list[int]:
-        return self.full.encode(text, add_special_tokens=False).ids
-
-    def word(self, w: str) -> bytes:
-        if self.ranks is not None and self._plain(w):
-            return array(self.code, self.ranks.encode_ordinary(" " + w)).tobytes()
-        return array(self.code, self.ids(" " + w)).tobytes()
+            self.opens = np.zeros(max(table.values()) + 1, bool)  # ids whose bytes begin with a space
+            self.opens[[i for token, i in table.items() if token[:1] == b" "]] = True
+
+    def ids(self, text: str) -> bytes:
+        return array(self.code, self.full.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def new_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words, each with the space before it; plain ones in one call, cut at ids that begin with a space."""
+        plain = []
+        if self.ranks is not None:
+            plain = words if self._plain(" ".join(words)) else [w for w in words if self._plain(w)]
+        out = {}
+        if plain:
+            ids = np.array(self.ranks.encode_ordinary(" " + " ".join(plain)), self.dtype)
+            raw = ids.tobytes()
+            cut = (np.append(np.flatnonzero(self.opens[ids]), len(ids)) * self.dtype.itemsize).tolist()
+            out = {w: raw[i:j] for w, i, j in zip(plain, cut[:-1], cut[1:], strict=True)}  # raises if the rank file cuts words otherwise
+        return out | {w: self.ids(" " + w) for w in words if w not in out}
 
     def encode(self, text: str) -> bytes:
-        if not text or self._beside(text) or self._special(text):
-            return array(self.code, self.ids(text)).tobytes()
         head, *rest = text.split(" ")
-        return array(self.code, self.ids(head)).tobytes() + b"".join(map(self.words.__getitem__, rest))
-
-
-class _Words(dict):
-    def __init__(self, owner: ByteBpe):
-        self.owner = owner
-
-    def __missing__(self, w: str) -> bytes:
-        out = self.owner.word(w)
-        if len(self) < REMEMBERED and len(w) < 64:
-            self[w] = out
-        return out
+        if _loose(head) or self._special(text):
+            return self.ids(text)
+        found = list(map(self.words.get, rest))
+        if None in found:
+            words = list({w for w, ids in zip(rest, found) if ids is None})
+            if any(map(_loose, words)):
+                return self.ids(text)
+            new = self.new_words(words)
+            found = [new[w] if ids is None else ids for w, ids in zip(rest, found)]
+            if len(self.words) < REMEMBERED:
+                self.words.update((w, ids) for w, ids in new.items() if len(w) < 64)
+        return self.ids(head) + b"".join(found)
+
+
+def _loose(word: str) -> bool:
+    """Empty, or white space at an end: such words do not stand alone beside a space."""
+    return not word or word[0].isspace() or word[-1].isspace()
 
 
 _LOADED: dict[tuple, ByteBpe] = {}

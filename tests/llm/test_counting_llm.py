@@ -3,6 +3,7 @@
 import hashlib
 import math
 import os
+import random
 import re
 import sys
 import zlib
@@ -122,6 +123,17 @@ def test_special_token_literals_are_their_ids(spark):
     assert ids[0] == [3826, 220, 50256, 994, 0]
 
 
+def test_words_joined_have_the_ids_of_whole_texts():
+    bpe = packing.ByteBpe(*packing.default_tokenizer())
+    rng = random.Random(5)
+    letters = "ab cé1 '\n\t ü,.\x85\xa0中 \u3000\nst日re <|endoftext|>"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(5000)]
+    texts += [" ".join("".join(rng.choice("abcdefgß'-.,0123456789\n") for _ in range(rng.randint(1, 12))) for _ in range(400)) for _ in range(50)]
+    for text in texts + ["x" * 3000 + " y" * 3000]:
+        assert bpe.encode(text) == bpe.ids(text), text
+    assert bpe.words
+
+
 def test_hilbert_is_a_curve():
     for dims, bits in ((2, 4), (3, 3)):
         grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), -1).reshape(-1, dims)
