@@ -12,7 +12,8 @@ part at a time, whatever the benchmark's size; the time grows with the number of
 
 Defined results: a null or empty text has no words and no hits; an item without words has
 no window; a null item_id marks words but is not listed; items that share an id are one;
-repeated rows get equal results; an empty table gives an empty result.
+very long texts are scanned whole; a share of hit words at the limit is contaminated; repeated
+rows get equal results; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -22,8 +22,9 @@ but counts reaches the driver.
 
 Defined results: a null or empty text has an empty set and is linked with nothing; a text
 shorter than a shingle is one shingle; null ids are linked like others but never name a
-component unless all its ids are null; repeated rows are equal documents; an empty
-table gives an empty result.
+component unless all its ids are null; repeated rows are equal documents; a similarity at
+the threshold links; very long texts are taken whole, one at a time; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations

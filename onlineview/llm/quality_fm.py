@@ -4,7 +4,8 @@ score = sigmoid(w0 + sum w_f x_f + sum_{f<g} <v_f, v_g> x_f x_g); the pairwise p
 computed in linear time as half of (square of sums minus sum of squares) per factor.
 
 Defined results: a null or empty text has no words and is scored from its (empty)
-structure; repeated rows get equal scores; other columns are never read. Without
+structure; very long texts are read whole; repeated rows get equal scores; a score at the
+threshold is kept; other columns are never read. Without
 both classes among the labels every score is the smoothed share of label 1 and the
 filter keeps every row. An empty table gives an empty result.
 """

@@ -5,8 +5,8 @@ probability, calibrated on a quarter of the labelled sample it was not fitted on
 is compared with a fixed threshold.
 
 Defined results: a null or empty text has no words and fails the word-count rule;
-repeated rows get equal results; other columns are never read; an empty table gives
-an empty result. Without both classes among the labels the regression keeps every text.
+very long texts are read whole; repeated rows get equal results; a score at the threshold
+is kept; other columns are never read; an empty table gives an empty result. Without both classes among the labels the regression keeps every text.
 """
 
 from __future__ import annotations

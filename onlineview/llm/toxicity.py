@@ -9,7 +9,8 @@ log(1 + count), and log(1 + count per hundred words). Labels are 0/1, so the tra
 their count of label-1 evidence (grades 1 to 3); label 0 is grade 0.
 
 Defined results: a null or empty text has no features and gets the base severity;
-repeated rows get equal results; other columns are never read; an empty table gives
+repeated rows get equal results; ties of features at the limit go to the smaller feature;
+very long texts are read whole; other columns are never read; an empty table gives
 an empty result. Without both classes among the labels every severity is 0.
 """
 

@@ -4,9 +4,10 @@ The regression learns from a small labelled URL table (url, label: 1 block, 0 al
 default that table is a bounded sample of the URLs that a rule decides.
 
 Defined results: a null url or one without ``://`` has an empty host and path, fits no rule
-and is judged by the regression's bias; repeated rows get equal results; other columns are
-never read; an empty table gives an empty result. With one class or none in the labelled
-table the regression allows.
+and is judged by the regression's bias; very long urls are read whole; repeated rows get
+equal results; a probability at the threshold blocks; other columns are never read; an empty
+table gives an empty result. With one class or none in the labelled table the regression
+allows.
 """
 
 from __future__ import annotations
