@@ -161,20 +161,30 @@ def _class(s: np.ndarray) -> int:
     return int(np.array([mix_int(a)], U64).view(np.int64)[0])
 
 
-def _long(a: np.ndarray) -> pa.Array:
-    return pa.array(a.view(np.int64))
+def documents(docs: DataFrame, k: int, tiles: Tiles) -> DataFrame:
+    """doc_id, tkey (hash of the text), n (set size), cls, bits (bitmap), keys for every row, written once.
 
+    Shingles are made here and, for the classes of pairs that the bitmaps allow, in ``class_sets``; nowhere
+    else. A task gives the keys of a class once (null in its other rows), so copies add no keys.
+    """
+    seen = set()  # each task has its own copy
 
-def documents(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, tkey (hash of the text), n (set size), cls, bits (bitmap) for every row, written once; thin."""
     def each(b):
-        sets = list(shingle_sets(b.column(2), k))
-        return {"doc_id": b.column(0), "tkey": b.column(1), "n": pa.array([len(s) for s in sets], pa.int64()),
-                "cls": pa.array([_class(s) for s in sets], pa.int64()),
-                "bits": pa.array([bitmap(s).tobytes() if len(s) else None for s in sets], pa.binary())}
+        n, cls, bits, keys = [], [], [], []
+        for s in shingle_sets(b.column(2), k):
+            c = _class(s)
+            new = len(s) > 0 and c not in seen
+            if new:
+                seen.add(c)
+            n.append(len(s))
+            cls.append(c)
+            bits.append(bitmap(s).tobytes() if len(s) else None)
+            keys.append(keys_of(s, tiles).view(np.int64) if new else None)
+        return {"doc_id": b.column(0), "tkey": b.column(1), "n": pa.array(n, pa.int64()), "cls": pa.array(cls, pa.int64()),
+                "bits": pa.array(bits, pa.binary()), "keys": pa.array(keys, pa.list_(pa.int64()))}
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"), bytes_of("text"))
-    return staged(mapped(src, each, "doc_id long, tkey long, n long, cls long, bits binary"), "ngram-docs")
+    return staged(mapped(src, each, "doc_id long, tkey long, n long, cls long, bits binary, keys array<long>"), "ngram-docs")
 
 
 def class_table(rows: DataFrame, keys: DataFrame) -> DataFrame:
@@ -184,28 +194,15 @@ def class_table(rows: DataFrame, keys: DataFrame) -> DataFrame:
                   .select("cls", "n", "bits", "r.doc_id", "r.tkey"), "ngram-classes")
 
 
-def shared_keys(docs: DataFrame, k: int, tiles: Tiles) -> DataFrame:
+def shared_keys(rows: DataFrame) -> DataFrame:
     """key, cls for keys that at least two classes have, written once.
 
-    A task gives a class once. Keys are counted by partial minima and maxima and then joined back to
-    the rows, which are made again rather than kept, so no group of a key has to lie in one task.
+    Keys are counted by partial minima and maxima and then joined back to the rows, so no group
+    of a key has to lie in one task.
     """
-    seen = set()  # each task has its own copy
-
-    def each(b):
-        keys, cls = [], []
-        for s in shingle_sets(b.column(0), k):
-            c = _class(s)
-            if len(s) and c not in seen:
-                seen.add(c)
-                keys.append(keys_of(s, tiles))
-                cls.append(np.full(len(keys[-1]), c, np.int64))
-        none = np.zeros(0, np.int64)
-        return {"key": _long(np.concatenate([none.view(U64), *keys])), "cls": pa.array(np.concatenate([none, *cls]))}
-
-    rows = mapped(docs.select(bytes_of("text")), each, "key long, cls long")
-    shared = staged(rows.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("key"), "ngram-shared")
-    return staged(rows.join(shared, "key", "left_semi").repartition("key", "cls").distinct(), "ngram-keys")
+    all_keys = rows.select(F.explode("keys").alias("key"), "cls")
+    shared = staged(all_keys.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("key"), "ngram-shared")
+    return staged(all_keys.join(shared, "key", "left_semi").repartition("key", "cls").distinct(), "ngram-keys")
 
 
 def class_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
@@ -396,8 +393,8 @@ def leftovers(keys: DataFrame, labels: DataFrame, classes: DataFrame, tiles: Til
 def linked(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """(rows, labels): doc_id, tkey, n, cls for every document, and cls, comp for classes that link with others."""
     tiles = Tiles(num, den)
-    rows = documents(docs, k)
-    keys = shared_keys(docs, k, tiles)
+    rows = documents(docs, k, tiles)
+    keys = shared_keys(rows)
     classes = class_table(rows, keys)
     pairs = staged(plausible(stars(keys), classes, tiles), "ngram-pairs")
     links = verified(docs, classes, pairs, k, tiles, "ngram-stars")

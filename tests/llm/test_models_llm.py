@@ -144,7 +144,7 @@ def test_shared_keys_are_those_of_two_classes(spark):
         for key in ngram_join.keys_of(s, tiles):
             by[int(key.view(np.int64))].add(ngram_join._class(s))
     docs = spark.createDataFrame([(i, t) for i, t in enumerate([*sets] * 40)], "doc_id long, text string").repartition(5)
-    got = Counter((r.key, r.cls) for r in ngram_join.shared_keys(docs, 5, tiles).collect())
+    got = Counter((r.key, r.cls) for r in ngram_join.shared_keys(ngram_join.documents(docs, 5, tiles)).collect())
     assert got == Counter((k, c) for k, found in by.items() if len(found) > 1 for c in found) and got
 
 
