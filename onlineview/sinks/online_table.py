@@ -27,7 +27,7 @@ Change sets never conflict, as they are added on top. (The rename must be atomic
 Beside the field map, files hold each contract feature as a typed column (``f_<name>``: double
 for NUMERIC, text for TAG), made from the map whenever a bucket is written. A read that names
 its contract gets them, so that aggregates read only the columns they use and push filters down. Files are sorted
-by key and carry a Bloom filter of it, so a point read skips row groups that cannot hold the key.
+by key and carry a Bloom filter of it, sized by the keys it holds, so a point read skips row groups that cannot hold the key.
 
 A stored record whose deadline has passed counts as absent in merge and in reads. Versions
 and files stay for ``retain`` seconds after they were replaced, for the readers that still use them.
@@ -48,6 +48,7 @@ from pyspark.sql import functions as F
 from ..contract import Contract
 from ..functions.text import parse_number
 from ..operators.encode import DOC, FIELDS, KEY, TYPED, doc_column, field_value, fields_column, online_key
+from ..session import adaptive
 
 GROUP = "feature_group"
 ENTITY = "entity"
@@ -84,6 +85,9 @@ DEFAULT_BUCKETS = 16
 RETAIN = 3600
 #: Change sets on a bucket from which the refresh stream folds them in.
 COMPACT_AFTER = 8
+#: Filters are tried in ten sizes, from 1 MB down, of which each row group keeps the smallest that fits its keys.
+_BLOOM = {"parquet.bloom.filter.enabled#key": "true", "parquet.bloom.filter.adaptive.enabled": "true",
+          "parquet.bloom.filter.candidates.number#key": "10"}
 
 
 def records(snapshot: DataFrame, c: Contract, *, mode: str = "contract", keep_metadata: bool = False,
@@ -292,16 +296,18 @@ def _write_files(spark: SparkSession, root: str, c: Contract, out: DataFrame, bu
         out = out.withColumn(GONE, F.lit(False))
     seen = Observation(write)
     # REBALANCE: a bucket is one task's file, and AQE splits one that is too large. Rows are counted after it, in the
-    # tasks that write them, so a task that is run again counts once.
-    (_with_typed(out, c).withColumn(BUCKET, bucket_of(KEY, buckets)).hint("rebalance", BUCKET)
-        .sortWithinPartitions(BUCKET, KEY).observe(seen, F.count(F.lit(1)).alias("n"))
-        .write.mode("errorifexists").option("parquet.bloom.filter.enabled#key", "true").partitionBy(BUCKET).parquet(data))
-    written = int(seen.get["n"] or 0)
-    if not _listed(spark, data, BUCKET):
-        return write, 0, {}
-    back = (spark.read.schema(_data_schema()).option("basePath", data).parquet(data)
-            .groupBy(BUCKET).agg(F.count(F.lit(1)).alias("keys"), *[F.bit_xor(h).alias(h) for h in DIGESTS],
-                                 _utc(F.min(EXPIRES_AT)).alias("deadline")).collect())  # a row for each bucket
+    # tasks that write them, so a task that is run again counts once. Without AQE (the stream's batches) every task would
+    # write a file to every bucket, and without the adaptive size every file a filter of 1 MB.
+    with adaptive(out.sparkSession):
+        (_with_typed(out, c).withColumn(BUCKET, bucket_of(KEY, buckets)).hint("rebalance", BUCKET)
+            .sortWithinPartitions(BUCKET, KEY).observe(seen, F.count(F.lit(1)).alias("n"))
+            .write.mode("errorifexists").options(**_BLOOM).partitionBy(BUCKET).parquet(data))
+        written = int(seen.get["n"] or 0)
+        if not _listed(spark, data, BUCKET):
+            return write, 0, {}
+        back = (spark.read.schema(_data_schema()).option("basePath", data).parquet(data)
+                .groupBy(BUCKET).agg(F.count(F.lit(1)).alias("keys"), *[F.bit_xor(h).alias(h) for h in DIGESTS],
+                                     _utc(F.min(EXPIRES_AT)).alias("deadline")).collect())  # a row for each bucket
     if sum(r["keys"] for r in back) != written:
         raise RuntimeError(f"{written} records were written, but the files hold {sum(r['keys'] for r in back)}")
     return write, written, {r[BUCKET]: Bucket(write, (), r["keys"], (r["h1"], r["h2"]), r["deadline"]) for r in back}

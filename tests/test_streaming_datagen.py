@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from onlineview.operators import datagen as G
 from onlineview.operators import encode as ENC
+from onlineview.operators import online as ON
 from onlineview.operators import snapshot as S
 from onlineview.plans import roles as R
 from onlineview.session import scratch_path
@@ -33,6 +34,20 @@ def test_stream_equals_batch_with_shuffled_files(spark):
     assert got == want and len(got) == 120
 
 
+def test_stream_batch_writes_a_small_file_for_each_bucket(spark):
+    src, root, ck = (scratch_path(spark, n) for n in ("src", "online", "ck"))
+    ev = spark.range(4000).select(F.col("id").alias("event_id"), F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz").alias("ts"),
+                                  (F.col("id") % 1000).alias("user_id"), F.lit("view").alias("event_type"), F.rand(1).alias("value"))
+    ev.repartition(2).write.parquet(src)
+    q = RF.refresh(spark, src, ev.schema, R.EVENTS, root, ck, adapter=_flag, max_files_per_trigger=1)
+    q.awaitTermination()
+    files = OT._files(spark, root, None, [f"{root}/data"]).select("write", "bucket", "_metadata.file_path", "_metadata.file_size").distinct().collect()
+    assert len({r["write"] for r in files}) == 2
+    assert len(files) == len({(r["write"], r["bucket"]) for r in files}) <= 2 * OT.DEFAULT_BUCKETS
+    assert max(r["file_size"] for r in files) < 100_000  # a filter of full size alone has 1 MB
+    assert ON.get(OT.read_online(spark, root, "events", key="fs:events:7"), "fs:events:7").count() == 1
+
+
 def test_late_old_row_does_not_resurrect(spark):
     schema = "id string, t timestamp, x long, is_deleted boolean"
     c = R.EVENTS.with_(entity_column="id", event_time_column="t", write_time_column="", key_prefix="fs:t",
