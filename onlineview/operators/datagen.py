@@ -79,8 +79,8 @@ def generate_history(entities: DataFrame, id_column: str, *, tombstone_share: fl
                      tombstones: int | None = None, salt: str = "42", base: datetime = DEFAULT_BASE) -> DataFrame:
     """History rows for every entity of ``entities``.
 
-    A share of the entities is tombstoned (narrow: no shuffle), or exactly ``tombstones`` of them: those
-    with the smallest hashes.
+    A share of the entities is tombstoned, or exactly ``tombstones`` of them: those with the smallest hashes.
+    The ids alone are shuffled, so that the hashing is spread over tasks however few files the entities lie in.
     """
     s = F.lit(salt)
     ids = entity_ids(entities, id_column)
@@ -93,7 +93,9 @@ def generate_history(entities: DataFrame, id_column: str, *, tombstone_share: fl
         tomb = _smallest(ids.distinct(), md5_int(s, F.lit("d"), cid), cid, tombstones)
     # hours without replacement: rotate [0,1,2] by a hash and keep the first n
     rot = F.pmod(md5_int(s, F.lit("h"), cid), F.lit(3)).cast("int")
-    per_entity = ids.select(cid, n_versions.alias("n"), tomb.alias("tomb"), rot.alias("rot"))
+    # a number, as AQE would merge ids, which are small, into few tasks
+    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_entity = ids.repartition(tasks).select(cid, n_versions.alias("n"), tomb.alias("tomb"), rot.alias("rot"))
     live = (per_entity
             .select(cid, "tomb", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("v"), "rot")
             .withColumn("hour_idx", F.pmod(F.col("v") + F.col("rot"), F.lit(HOURS)))

@@ -45,8 +45,14 @@ def append_history(df: DataFrame, path: str, ts_column: str, *, writers: int = 1
     """
     out = df.select("*", *hour_columns(df, ts_column))
     share = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(writers))
-    for k in range(writers):
-        part = out if writers == 1 else out.filter(share == k)
-        (part.hint("rebalance", "year", "month", "day", "hour")
-             .write.mode("append").partitionBy("year", "month", "day", "hour").parquet(path))
+    if writers > 1:
+        out = out.persist()  # the records are made once, not for each writer
+    try:
+        for k in range(writers):
+            part = out if writers == 1 else out.filter(share == k)
+            (part.hint("rebalance", "year", "month", "day", "hour")
+                 .write.mode("append").partitionBy("year", "month", "day", "hour").parquet(path))
+    finally:
+        if writers > 1:
+            out.unpersist()
     return path

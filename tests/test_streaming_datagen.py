@@ -119,3 +119,20 @@ def test_generator_invariants_and_layout(spark):
     # deterministic: same rows for a different partitioning of the input
     again = G.generate_history(ents.repartition(7), "k", tombstone_share=0.03)
     assert again.exceptAll(hist).count() == 0
+
+
+def test_generator_spreads_entities_of_one_file(spark):
+    hist = G.generate_history(spark.range(0, 1000, 1, 1).withColumnRenamed("id", "k"), "k")
+    rows = [r["count"] for r in hist.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(rows) > 4 and max(rows) < sum(rows) / 4
+
+
+def test_append_makes_records_once_for_all_writers(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(k):
+        made.add(1)
+        return k
+    df = spark.range(50).select(F.udf(counted, "long")("id").alias("k"), F.lit(datetime(2024, 1, 1)).alias("t"))
+    path = EX.append_history(df, scratch_path(spark, "gen"), "t", writers=3)
+    assert made.value == 50 and sorted(r["k"] for r in read_history(spark, path).collect()) == list(range(50))
