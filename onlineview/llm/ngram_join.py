@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import staged, unused
+from .tables import narrowed, staged, unused
 from .text import FOLD, U64, Words, blob, bytes_of, chunks, mapped, mix, mix_int, windows
 
 #: Bits of a bitmap, by size of the set: about as many as shingles, within these bounds.
@@ -198,19 +198,22 @@ def shared_keys(rows: DataFrame) -> DataFrame:
     """key, cls for keys that at least two classes have, written once.
 
     Keys are counted by partial minima and maxima and then joined back to the rows, so no group
-    of a key has to lie in one task.
+    of a key has to lie in one task. Most keys are of one class; bitmaps keep them out of the second shuffle.
     """
     all_keys = rows.select(F.explode("keys").alias("key"), "cls")
     shared = staged(all_keys.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("key"), "ngram-shared")
-    return staged(all_keys.join(shared, "key", "left_semi").repartition("key", "cls").distinct(), "ngram-keys")
+    return staged(narrowed(all_keys, ["key"], shared).join(shared, "key", "left_semi").repartition("key", "cls").distinct(), "ngram-keys")
 
 
 def class_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """cls, items (sorted 64-bit hashes) of the classes in ``pairs``, made from one of their documents; written once."""
+    """cls, items (sorted 64-bit hashes) of the classes in ``pairs``, made from one of their documents; written once.
+
+    Only texts whose id and hash may be wanted are shuffled.
+    """
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     one = staged(classes.join(wanted, "cls", "left_semi").select("cls", "doc_id", "tkey"), "ngram-wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("t"), bytes_of("text"))
-    found = texts.join(one, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("tkey"))).select("cls", "text")
+    found = narrowed(texts, ["d", "t"], one.select("doc_id", "tkey")).join(one, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("tkey"))).select("cls", "text")
 
     def each(b):
         return {"cls": b.column(0), "items": pa.array([s.tobytes() for s in shingle_sets(b.column(1), k)], pa.binary())}

@@ -101,6 +101,30 @@ def test_join_chain_and_hot_group(spark):
     assert Counter(tuple(r) for r in ngram_join.join(docs).select("doc_id", "n_shingles", "component_id").collect()) == Counter(want)
 
 
+def test_few_rows_without_a_key_pass_to_the_join(spark):
+    from pyspark.sql import functions as F
+
+    from onlineview.llm import tables
+    df = spark.range(100_000).select("id", F.when(F.col("id") % 1000 != 7, F.col("id") * 3).alias("b"), F.lit(1).alias("map_bits"))
+    for step in (1, 50, 4000):
+        keys = df.filter(F.col("id") % step == 0).select("id", "b")
+        got = tables.narrowed(df, ["id", "b"], keys)
+        assert got.columns == df.columns and keys.exceptAll(got.select("id", "b")).isEmpty()
+        assert got.count() - keys.count() < 100_000 / 12
+    assert tables.narrowed(df, ["id"], keys.limit(0).select("id")).isEmpty()
+
+
+def test_join_shuffles_no_unwanted_texts_and_keys(spark, monkeypatch):
+    """Rows that reach the joins of class_sets and shared_keys: those of few documents with a near copy."""
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    docs = spark.createDataFrame([(i, text(i)) for i in range(2000)] + [(5000, text(7) + " end")], "doc_id long, text string").repartition(4)
+    passed, narrow = [], ngram_join.narrowed
+    monkeypatch.setattr(ngram_join, "narrowed", lambda df, by, keys: passed.append((df.count(), narrow(df, by, keys).count())) or narrow(df, by, keys))
+    got = {r.doc_id: r.component_id for r in ngram_join.join(docs).collect()}
+    assert got[5000] == 7 and len(set(got.values())) == 2000
+    assert len(passed) > 1 and all(few < rows / 8 for rows, few in passed)
+
+
 def test_join_empty(spark):
     assert ngram_join.join(fx.empty(spark)).count() == 0
     assert ngram_join.keep_one(fx.empty(spark)).count() == 0
