@@ -105,7 +105,7 @@ def test_few_rows_without_a_key_pass_to_the_join(spark):
     from pyspark.sql import functions as F
 
     from onlineview.llm import tables
-    df = spark.range(100_000).select("id", F.when(F.col("id") % 1000 != 7, F.col("id") * 3).alias("b"), F.lit(1).alias("map_bits"))
+    df = spark.range(100_000).select("id", F.when(F.col("id") % 1000 != 7, F.col("id") * 3).alias("b"), F.lit(1).alias("map_words"))
     for step in (1, 50, 4000):
         keys = df.filter(F.col("id") % step == 0).select("id", "b")
         got = tables.narrowed(df, ["id", "b"], keys)
